@@ -49,17 +49,27 @@ def folded(text: Column) -> Column:
     return F.lower(F.translate(text, _FOLD_FROM, _FOLD_TO))
 
 
-def rule_matches(pattern: str, text: Column, low: Column | None = None) -> Column:
-    hit = text.rlike(FLAGS + pattern)
-    literal = gate_literal(pattern) if low is not None else ""
+def rule_matches(pattern: str, text: Column, low: Column) -> Column:
+    """One rule: its gate, where it has one, before its pattern."""
+    hit, literal = text.rlike(FLAGS + pattern), gate_literal(pattern)
     return low.contains(literal) & hit if literal else hit
 
 
-def first_rule(rules, text: Column, low: Column | None = None) -> Column:
-    """Zero-based position of the first rule that matches, or NULL."""
-    return F.coalesce(
-        *[F.when(rule_matches(p, text, low), F.lit(i)) for i, (p, _) in enumerate(rules)]
-    )
+def first_rule(rules, text: Column) -> Column:
+    """Zero-based position of the first rule that matches, or NULL.
+
+    The chain sits in a lambda over a one-element array, which binds the text
+    and its folded copy once. It also keeps some ninety branches out of the
+    generated code of a stage: as one method they exceed what the JIT compiles,
+    and the lambda runs two to three times as fast.
+    """
+    bound = F.array(F.struct(text.alias("text"), folded(text).alias("low")))
+
+    def chain(x: Column) -> Column:
+        hits = [rule_matches(pattern, x["text"], x["low"]) for pattern, _ in rules]
+        return F.coalesce(*[F.when(hit, F.lit(i)) for i, hit in enumerate(hits)])
+
+    return F.get(F.transform(bound, chain), 0)
 
 
 def rule_value(rules, position: Column) -> Column:

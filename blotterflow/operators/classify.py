@@ -40,8 +40,7 @@ def with_lookup(
     )
     return (
         df.withColumn("_text", fold_text(text))
-        .withColumn("_low", R.folded(F.col("_text")))
-        .withColumn("_rule", R.first_rule(cfg.place_rules, F.col("_text"), F.col("_low")))
+        .withColumn("_rule", R.first_rule(cfg.place_rules, F.col("_text")))
         .withColumn("_lot", F.when(F.col("_rule").isNull(), R.lot_number(F.col("_text"))))
         .withColumn(
             out,
@@ -49,7 +48,7 @@ def with_lookup(
                 R.lot_zone(F.col("_lot"), cfg).isNotNull(), parked
             ),
         )
-        .drop("_low", "_rule", "_lot")
+        .drop("_rule", "_lot")
     )
 
 

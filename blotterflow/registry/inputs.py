@@ -78,10 +78,40 @@ def classified_documents(spark: SparkSession, sf: str) -> DataFrame:
     return classify_pending(raw_documents(spark, sf))
 
 
+_written: dict[tuple[str, str, str], str] = {}
+
+
+def written(spark: SparkSession, sf: str, name: str, build) -> str:
+    """The folder of a derived table, which ``build(folder)`` writes once per application."""
+    app = spark.sparkContext.applicationId
+    if (app, sf, name) not in _written:
+        scale = sf.rstrip("/").rsplit("/", 1)[-1]
+        folder = f"{shared_dir(spark)}/{name}-{app}-{scale}"
+        build(folder)
+        _written[app, sf, name] = folder
+    return _written[app, sf, name]
+
+
+def landed(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents as landed and classified, the multi-date ones normalized.
+
+    Classification is the costly step, and it is stored with the documents:
+    whatever reads them afterwards does not repeat it.
+    """
+    done = F.col("is_multi_date_beat")
+
+    def build(folder: str) -> None:
+        docs = classified_documents(spark, sf).withColumn("normalized", done)
+        docs.write.mode("overwrite").parquet(folder)
+
+    return spark.read.parquet(written(spark, sf, "landed", build))
+
+
 def clean_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """Beats, incidents and dates of all documents, as plans."""
-    docs = last_seen(classified_documents(spark, sf), ["raw_text_hash"], DOCUMENT_ORDER)
-    beats = last_seen(to_beats(raw_documents(spark, sf)), ["beat_url"], BEAT_ORDER)
+    """Beats, incidents and dates of all landed documents, as plans."""
+    documents = landed(spark, sf)
+    docs = last_seen(documents, ["raw_text_hash"], DOCUMENT_ORDER)
+    beats = last_seen(to_beats(documents), ["beat_url"], BEAT_ORDER)
     return {"beats": beats, "incidents": to_incidents(docs), "incident_dates": to_dates(docs)}
 
 
@@ -121,26 +151,20 @@ def _shift(day: str, days: int) -> str:
     return (pd.Timestamp(day) + pd.Timedelta(days=days)).strftime("%Y-%m-%d")
 
 
-_written: dict[tuple[str, str], str] = {}
-
-
 def star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """Clean store and marts as written tables, built once per application.
+    """Clean store and marts as written tables.
 
     Report queries read the built marts, as a dashboard does, instead of
-    classifying every document again for each chart.
+    building the star again for each chart.
     """
-    app = spark.sparkContext.applicationId
-    if (app, sf) not in _written:
-        scale = sf.rstrip("/").rsplit("/", 1)[-1]
-        root = f"{shared_dir(spark)}/marts-{app}-{scale}"
+
+    def build(folder: str) -> None:
         for name, df in clean_tables(spark, sf).items():
-            df.write.mode("overwrite").parquet(f"{root}/{name}")
-        staged = M.stg_incidents(spark.read.parquet(f"{root}/incidents"))
-        write_marts(M.marts(staged, calendar(spark)), root)
-        _written[app, sf] = root
-    root = _written[app, sf]
-    tables = read_tables(spark, root, (*STORE_TABLES, *MARTS))
+            df.write.mode("overwrite").parquet(f"{folder}/{name}")
+        staged = M.stg_incidents(spark.read.parquet(f"{folder}/incidents"))
+        write_marts(M.marts(staged, calendar(spark)), folder)
+
+    tables = read_tables(spark, written(spark, sf, "star", build), (*STORE_TABLES, *MARTS))
     return {**tables, **M.staging(tables), "academic_calendar": calendar(spark)}
 
 

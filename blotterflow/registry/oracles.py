@@ -565,7 +565,7 @@ ORACLES["check_suite"] = on_star(
         ]
     )
 )
-ORACLES["check_suite_failures"] = on_star(
+ORACLES["check_suite_failures"] = (
     "\nUNION ALL ".join(
         [
             _failures("unique", "orders", "o_orderkey", "SELECT count(*) FROM (SELECT 1 FROM orders GROUP BY o_orderkey HAVING count(*) > 1)"),
@@ -573,7 +573,8 @@ ORACLES["check_suite_failures"] = on_star(
             _failures("not_null", "orders", "o_orderdate", "SELECT count(*) FROM orders WHERE o_orderdate IS NULL"),
             _failures("accepted_values", "orders", "o_orderstatus", "SELECT count(DISTINCT o_orderstatus) FROM orders WHERE o_orderstatus NOT IN ('F', 'O')"),
             _failures("relationships", "customer", "c_nationkey", "SELECT count(*) FROM customer WHERE c_nationkey NOT IN (SELECT n_nationkey FROM nation)"),
-            _failures("relationships", "customer", "c_nationkey_few", "SELECT count(*) FROM customer WHERE c_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_nationkey < 20)"),
+            _failures("accepted_values", "customer", "c_mktsegment", "SELECT count(DISTINCT c_mktsegment) FROM customer"),
+            _failures("relationships", "few_nations", "c_nationkey", "SELECT count(*) FROM customer WHERE c_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_nationkey < 20)"),
         ]
     )
 )
