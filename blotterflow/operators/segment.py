@@ -23,51 +23,48 @@ from blotterflow.functions.text import (
 )
 
 INCIDENTS_TYPE = "array<struct<incident_type:string,incident_text:string>>"
+BLANK_ENDS = r"\A\n+|\n+\z"
 # A heading, one further line whatever it is, then lines that are no headings.
 # Each line carries its tag (H or T) in front. The last group is possessive:
 # Java runs it as a loop, so a long incident cannot exhaust the stack.
 FLAT_INCIDENT = r"(?md)^H[^\n]*\n[HT][^\n]*\n(?:T[^\n]*\n)*+"
 
 
-def cut_at_marker(lines: Column, cfg: PipelineConfig = DEFAULT) -> Column:
-    """The lines before the first marker line."""
-    at = F.array_position(F.transform(lines, lambda x: has_marker(x, cfg)), True)
-    return F.when(at > 0, F.slice(lines, 1, (at - 1).cast("int"))).otherwise(lines)
-
-
-def trim_blank_lines(lines: Column) -> Column:
-    """No blank lines at the ends, inner ones kept."""
-    joined = F.regexp_replace(F.array_join(lines, "\n"), r"\A\n+|\n+\z", "")
-    return F.when(joined == "", F.array().cast("array<string>")).otherwise(F.split(joined, "\n"))
-
-
 def with_clean_lines(
     df: DataFrame, text_col: str, out: str = "lines", cfg: PipelineConfig = DEFAULT
 ) -> DataFrame:
-    """Raw text to clean lines: T1 per line, T13, T8, T12."""
+    """Raw text to clean lines: T1 per line, T13, T8, T12.
+
+    T13 keeps the lines before the first marker line, T12 drops blank lines at
+    the ends. Steps that are used twice are columns of their own, so that they
+    run once per row.
+    """
+    marked = F.array_position(F.transform("_all", lambda x: has_marker(x, cfg)), True)
+    before = F.when(F.col("_mark") == 0, F.col("_all")).otherwise(
+        F.slice("_all", 1, (F.col("_mark") - 1).cast("int"))
+    )
+    kept = F.array_join(F.filter(before, lambda x: ~is_noise_line(x, cfg)), "\n")
     return (
         df.withColumn("_all", F.transform(split_lines(F.col(text_col)), collapse_ws))
-        .withColumn("_cut", cut_at_marker(F.col("_all"), cfg))
-        .withColumn("_kept", F.filter("_cut", lambda x: ~is_noise_line(x, cfg)))
-        .withColumn(out, trim_blank_lines(F.col("_kept")))
-        .drop("_all", "_cut", "_kept")
+        .withColumn("_mark", marked)
+        .withColumn("_kept", F.regexp_replace(kept, BLANK_ENDS, ""))
+        .withColumn(
+            out,
+            F.when(F.col("_kept") == "", F.array().cast("array<string>")).otherwise(
+                F.split("_kept", "\n")
+            ),
+        )
+        .drop("_all", "_mark", "_kept")
     )
 
 
 def nonempty_blocks(lines: Column) -> Column:
     """G1: runs of non-blank lines, each an array of lines."""
-    text = F.regexp_replace(F.array_join(lines, "\n"), r"\A\n+|\n+\z", "")
+    text = F.regexp_replace(F.array_join(lines, "\n"), BLANK_ENDS, "")
     blocks = F.filter(F.split(text, r"\n\n+"), lambda b: b != "")
     return F.transform(blocks, lambda b: F.split(b, "\n"))
 
 
-def _incident(incident_type: Column, text_lines: Column) -> Column:
-    return F.struct(
-        clean_type(incident_type).alias("incident_type"),
-        collapse_ws(F.array_join(text_lines, " ")).alias("incident_text"),
-    )
-
-
 def with_block_incidents(
     df: DataFrame, lines: str = "lines", out: str = "block", cfg: PipelineConfig = DEFAULT
 ) -> DataFrame:
@@ -78,7 +75,10 @@ def with_block_incidents(
     )
     found = F.transform(
         F.filter("_bodies", lambda b: F.size(b) >= 2),
-        lambda b: _incident(F.get(b, 0), F.slice(b, 2, F.size(b))),
+        lambda b: F.struct(
+            clean_type(F.get(b, 0)).alias("incident_type"),
+            collapse_ws(F.array_join(F.slice(b, 2, F.size(b)), " ")).alias("incident_text"),
+        ),
     )
     return (
         df.withColumn("_bodies", body)
@@ -113,10 +113,11 @@ def with_flat_incidents(
     chunks = F.regexp_extract_all(F.array_join("_tagged", ""), F.lit(FLAT_INCIDENT), F.lit(0))
 
     def to_incident(chunk: Column) -> Column:
-        parts = F.split(F.rtrim(chunk, F.lit("\n")), "\n")
-        return _incident(
-            F.substring(F.get(parts, 0), 2, 1 << 30),
-            F.transform(F.slice(parts, 2, F.size(parts)), lambda p: F.substring(p, 2, 1 << 30)),
+        # newlines left between the text lines are whitespace to T1
+        heading = F.substring(F.substring_index(chunk, "\n", 1), 2, 1 << 30)
+        text = F.regexp_replace(chunk, r"\A[^\n]*\n|(?md)^[HT]", "")
+        return F.struct(
+            clean_type(heading).alias("incident_type"), collapse_ws(text).alias("incident_text")
         )
 
     return (
@@ -173,21 +174,37 @@ def best_candidate(found: DataFrame) -> DataFrame:
     """The container with most incidents, the earlier one on ties.
 
     The containers of a page come from one task, so the map side of the
-    aggregate already leaves one row per page for the shuffle.
+    aggregate already leaves one row per page for the shuffle. Containers
+    without incidents are dropped after it: a filter in front would be pushed
+    below the segmentation and repeat it.
     """
     rank = F.struct(F.size("incidents").alias("n"), (-F.col("candidate_no")).alias("first"))
     return (
-        found.filter(F.size("incidents") > 0)
-        .groupBy("url")
+        found.groupBy("url")
         .agg(F.max_by(F.struct("candidate_no", "incidents"), rank).alias("best"))
         .select("url", "best.candidate_no", "best.incidents")
+        .filter(F.size("incidents") > 0)
     )
 
 
-def explode_incidents(best: DataFrame) -> DataFrame:
-    return best.select(
-        "url", F.posexplode("incidents").alias("incident_no", "incident")
-    ).select("url", "incident_no", "incident.incident_type", "incident.incident_text")
+def unfold(df: DataFrame, column: str, position: str, value: str) -> DataFrame:
+    """One row per element of a computed array.
+
+    The outer form, with its one row for an empty array taken out afterwards:
+    the plain form lets Spark infer a filter on the array's size, which is
+    pushed below whatever computes the array and repeats it.
+    """
+    kept = [c for c in df.columns if c != column]
+    unfolded = df.select(*kept, F.posexplode_outer(column).alias(position, value))
+    return unfolded.filter(F.col(position).isNotNull())
+
+
+def explode_incidents(df: DataFrame, column: str = "incidents") -> DataFrame:
+    """One row per incident, numbered in page order."""
+    kept = [c for c in df.columns if c not in (column, "candidate_no")]
+    return unfold(df.select(*kept, column), column, "incident_no", "incident").select(
+        *kept, "incident_no", "incident.incident_type", "incident.incident_text"
+    )
 
 
 def skipped_pages(pages: DataFrame, best: DataFrame) -> DataFrame:

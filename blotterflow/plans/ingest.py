@@ -9,7 +9,7 @@ from blotterflow.config import CSV_COLUMNS, DEFAULT, PipelineConfig
 from blotterflow.functions.dates import date_range, is_multi_date, with_candidate_dates
 from blotterflow.functions.text import incident_hash
 from blotterflow.operators.dedup import first_seen
-from blotterflow.operators.segment import best_candidate, container_incidents
+from blotterflow.operators.segment import best_candidate, container_incidents, unfold
 from blotterflow.schemas import RAW_INCIDENTS
 from blotterflow.sources.html_pages import extract_containers, extract_list_items
 
@@ -69,10 +69,11 @@ def assemble_raw(
         "date_range_raw",
         "incident_dates",
         "is_multi_date_beat",
-        F.explode("incidents").alias("incident"),
+        "incidents",
     )
     return as_raw_document(
-        rows.withColumn("incident_type", F.col("incident.incident_type"))
+        unfold(rows, "incidents", "incident_no", "incident")
+        .withColumn("incident_type", F.col("incident.incident_type"))
         .withColumn("incident_text", F.col("incident.incident_text"))
         .withColumn("scraped_at", scraped_at)
     )

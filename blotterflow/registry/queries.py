@@ -149,16 +149,12 @@ def clean_lines(spark, sf):
 
 @query
 def blocks(spark, sf):
-    found = _lines(spark, sf).select("key", F.posexplode(G.nonempty_blocks(F.col("lines"))))
-    return found.select(
-        "key", F.col("pos").alias("block_no"), F.array_join("col", "\n").alias("block")
-    )
+    found = _lines(spark, sf).select("key", G.nonempty_blocks(F.col("lines")).alias("blocks"))
+    return G.unfold(found, "blocks", "block_no", "block").withColumn("block", F.array_join("block", "\n"))
 
 
 def _incidents(df, column):
-    return df.select("key", F.posexplode(column).alias("incident_no", "i")).select(
-        "key", "incident_no", "i.incident_type", "i.incident_text"
-    )
+    return G.explode_incidents(df.select("key", column), column)
 
 
 @query

@@ -22,10 +22,20 @@ from blotterflow.config import DEFAULT, PipelineConfig
 from blotterflow.functions.dates import date_range, is_multi_date
 from blotterflow.functions.text import collapse_ws
 from blotterflow.schemas import CONTAINERS, LIST_PAGES
-from blotterflow.sources.html_walk import PageWalk, containers
+from blotterflow.sources.html_walk import PageWalk, Selector, containers
 
 FLUSH_CHARS = 8 << 20
 
+CONTAINER = tuple(Selector(s) for s in C.CONTAINER_SELECTORS)
+DROPPED_TAGS = frozenset(s for s in C.DROPPED_SELECTORS if not s.startswith("."))
+DROPPED_CLASSES = frozenset(s[1:] for s in C.DROPPED_SELECTORS if s.startswith("."))
+BLOCKS = frozenset(C.BLOCK_TAGS)
+LIST_ITEM = Selector(C.LIST_ITEM_SELECTOR)
+LIST_TITLE = Selector(C.LIST_TITLE_SELECTOR)
+DATE_BOX = Selector(C.LIST_DATE_BOX_SELECTOR)
+BOXED_DATE, PLAIN_DATE = (Selector(s) for s in C.LIST_DATE_SELECTORS)
+NEXT_BUTTON = Selector(C.LIST_NEXT_BUTTON_SELECTOR)
+
 
 def _batches(rows: Iterator[tuple[dict, int]], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     """Group ``(row, weight)`` pairs into record batches of bounded weight."""
@@ -54,9 +64,9 @@ def extract_containers(pages: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataF
         for batch in batches:
             for url, html in zip(batch.column(0), batch.column(1)):
                 walk = PageWalk(html.as_py() or "")
-                found = containers(walk, C.CONTAINER_SELECTORS, C.MARKED_CONTAINER_TAGS, marker)
+                found = containers(walk, CONTAINER, C.MARKED_CONTAINER_TAGS, marker)
                 for number, node in enumerate(found):
-                    raw = walk.line_text(node, C.DROPPED_SELECTORS, C.BLOCK_TAGS)
+                    raw = walk.line_text(node, DROPPED_TAGS, DROPPED_CLASSES, BLOCKS)
                     base, end = walk.text_span(node)
                     spans = [walk.text_span(p) for p in walk.within(node) if p.name == "p"]
                     yield {
@@ -76,18 +86,17 @@ def extract_containers(pages: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataF
 
 def _list_item(walk: PageWalk, item, page_url: str) -> dict | None:
     links = [a for a in walk.within(item) if a.name == "a" and "href" in a.attrs]
-    link = next((a for a in links if a.inside(C.LIST_TITLE_SELECTOR)), None)
+    link = next((a for a in links if a.inside(LIST_TITLE)), None)
     if link is None:
         wanted = re.compile(C.LINK_TEXT_PATTERN, re.IGNORECASE)
         link = next((a for a in links if wanted.search(walk.sole_string(a) or "")), None)
     if link is None or not link.attrs["href"]:
         return None
-    boxed, plain = C.LIST_DATE_SELECTORS
     date = next(
         (
             e
             for e in walk.within(item)
-            if e.matches(plain) or (e.matches(boxed) and e.inside(C.LIST_DATE_BOX_SELECTOR))
+            if PLAIN_DATE.matches(e) or (BOXED_DATE.matches(e) and e.inside(DATE_BOX))
         ),
         None,
     )
@@ -103,7 +112,7 @@ def _next_page(walk: PageWalk, page_url: str) -> str | None:
     buttons = [
         (e, e.attrs["data-url"])
         for e in walk.elements
-        if "data-url" in e.attrs and e.matches(C.LIST_NEXT_BUTTON_SELECTOR)
+        if "data-url" in e.attrs and NEXT_BUTTON.matches(e)
     ]
     links = [(e, e.attrs["href"]) for e in walk.elements if e.name == "a" and "href" in e.attrs]
     for node, target in buttons + links:
@@ -123,7 +132,7 @@ def scan_list_pages(pages: DataFrame) -> DataFrame:
         for batch in batches:
             for page_no, url, html in zip(*batch.columns):
                 page_url, walk = url.as_py(), PageWalk(html.as_py() or "")
-                items = [e for e in walk.elements if e.matches(C.LIST_ITEM_SELECTOR)]
+                items = [e for e in walk.elements if LIST_ITEM.matches(e)]
                 found = [_list_item(walk, item, page_url) for item in items]
                 yield {
                     "page_no": page_no.as_py(),

@@ -22,22 +22,31 @@ OPAQUE_TAGS = frozenset(("script", "style", "template", "rt", "rp"))
 OPEN, CLOSE, TEXT, OTHER = range(4)
 
 
+class Selector:
+    """``tag``, ``.class`` or ``tag.class``."""
+
+    __slots__ = ("tag", "cls")
+
+    def __init__(self, text: str):
+        self.tag, _, self.cls = text.partition(".")
+
+    def matches(self, node: Element) -> bool:
+        return (not self.tag or self.tag == node.name) and (
+            not self.cls or self.cls in node.classes
+        )
+
+
 class Element:
     __slots__ = ("name", "classes", "attrs", "parent", "start", "end")
 
     def __init__(self, name, attrs, parent, start):
         self.name, self.attrs, self.parent = name, attrs, parent
-        self.classes = frozenset((attrs.get("class") or "").split())
+        self.classes = tuple((attrs.get("class") or "").split())
         self.start, self.end = start, -1
 
-    def matches(self, selector: str) -> bool:
-        """``tag``, ``.class`` or ``tag.class``."""
-        tag, _, cls = selector.partition(".")
-        return (not tag or tag == self.name) and (not cls or cls in self.classes)
-
-    def inside(self, selector: str) -> bool:
+    def inside(self, selector: Selector) -> bool:
         node = self.parent
-        while node is not None and not node.matches(selector):
+        while node is not None and not selector.matches(node):
             node = node.parent
         return node is not None
 
@@ -173,7 +182,7 @@ class PageWalk(HTMLParser):
             if kind == OPEN:
                 yield value
 
-    def line_text(self, node: Element, dropped, blocks) -> str:
+    def line_text(self, node: Element, dropped_tags, dropped_classes, blocks) -> str:
         """Text nodes joined by newlines, with newlines around blocks and for br."""
         pieces: list[str] = []
         joinable = False  # is the last piece a text with no tag after it
@@ -189,7 +198,9 @@ class PageWalk(HTMLParser):
                 joinable = True
                 continue
             joinable = False
-            if kind == OPEN and any(value.matches(s) for s in dropped):
+            if kind == OPEN and (
+                value.name in dropped_tags or not dropped_classes.isdisjoint(value.classes)
+            ):
                 i = value.end
             elif kind == OPEN and value.name == "br":
                 pieces.append("\n")
@@ -207,11 +218,12 @@ class PageWalk(HTMLParser):
 
 def containers(walk: PageWalk, selectors, marked_tags, marker: re.Pattern) -> list[Element]:
     """Content containers by selector order, then those that hold the marker."""
-    found: dict[int, Element] = {}
-    for selector in selectors:
-        for node in walk.elements:
-            if node.matches(selector):
-                found.setdefault(id(node), node)
+    ranked = {}
+    for order, node in enumerate(walk.elements):
+        ranks = [rank for rank, selector in enumerate(selectors) if selector.matches(node)]
+        if ranks:
+            ranked[ranks[0], order] = node
+    found = {id(node): node for _, node in sorted(ranked.items())}
     marks = [m.span() for m in marker.finditer(walk.text)]
     for node in walk.elements if marks else ():
         if node.name in marked_tags:
