@@ -18,7 +18,7 @@ from blotterflow.plans.ingest import as_raw_document, with_title_dates
 from blotterflow.registry import samples
 from blotterflow.session import shared_dir
 from blotterflow.sources.store import BEAT_ORDER, DOCUMENT_ORDER
-from blotterflow.sources.tables import MARTS, STORE_TABLES, read_tables, write_marts
+from blotterflow.sources.tables import MARTS, STORE_TABLES, read_tables, spread, write_marts
 
 # the years the given orders fall in
 FIRST_YEAR, LAST_YEAR = 1995, 2001
@@ -28,6 +28,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def costly(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table for per-row work that is worth all cores."""
+    return spread(table(spark, sf, name).select(*columns))
+
+
 def _pick(values, position: Column) -> Column:
     return F.get(F.array(*[F.lit(v) for v in values]), position.cast("int"))
 
@@ -38,7 +43,9 @@ def _slash(day: Column) -> Column:
 
 def order_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as scraped documents, before dates and hash are worked out."""
-    orders = table(spark, sf, "orders").withColumn("day", F.to_date("o_orderdate"))
+    orders = costly(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderdate").withColumn(
+        "day", F.to_date("o_orderdate")
+    )
     day, key = F.col("day"), F.col("o_orderkey")
     title = F.concat(
         F.lit("Police Beat - "),
@@ -180,7 +187,7 @@ def cleaned_frames(spark: SparkSession, sf: str, threshold: int) -> tuple[DataFr
 
 def report_texts(spark: SparkSession, sf: str) -> DataFrame:
     """All documents, and one report per order, as ``key`` and whole ``text``."""
-    docs = table(spark, sf, "documents").select(
+    docs = costly(spark, sf, "documents", "doc_id", "text").select(
         F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("key"), "text"
     )
     o = order_documents(spark, sf)

@@ -50,7 +50,7 @@ def strings(dates: str) -> F.Column:
 # ---- text and dates -----------------------------------------------------------
 @query
 def text_whitespace(spark, sf):
-    docs = src.table(spark, sf, "documents")
+    docs = src.costly(spark, sf, "documents", "doc_id", "text")
     return docs.select("doc_id", X.collapse_ws(F.col("text")).alias("clean"))
 
 
@@ -175,7 +175,7 @@ def pick_form(spark, sf):
 # ---- pages -----------------------------------------------------------------------
 @query
 def page_lines(spark, sf):
-    found = H.extract_containers(src.table(spark, sf, "pages"))
+    found = H.extract_containers(src.costly(spark, sf, "pages", "url", "html"))
     lines = G.with_clean_lines(found, "raw_text")
     kept = F.filter("lines", lambda x: x != "")
     return lines.select("url", "candidate_no", F.array_join(kept, "\n").alias("lines"))
@@ -183,12 +183,12 @@ def page_lines(spark, sf):
 
 @query
 def page_incidents(spark, sf):
-    return G.explode_incidents(I.page_incidents(src.table(spark, sf, "pages")))
+    return G.explode_incidents(I.page_incidents(src.costly(spark, sf, "pages", "url", "html")))
 
 
 @query
 def paragraph_fallback(spark, sf):
-    found = H.extract_containers(src.table(spark, sf, "pages"))
+    found = H.extract_containers(src.costly(spark, sf, "pages", "url", "html"))
     texts = G.paragraph_incidents(F.col("flat_text"), F.col("paragraph_spans"))
     return found.select("url", F.posexplode(texts).alias("paragraph_no", "i")).select(
         "url", "paragraph_no", "i.incident_text"

@@ -218,8 +218,10 @@ class PageWalk(HTMLParser):
 
 def containers(walk: PageWalk, selectors, marked_tags, marker: re.Pattern) -> list[Element]:
     """Content containers by selector order, then those that hold the marker."""
-    ranked = {}
+    ranked, tags = {}, {selector.tag for selector in selectors}
     for order, node in enumerate(walk.elements):
+        if not node.classes and node.name not in tags:
+            continue
         ranks = [rank for rank, selector in enumerate(selectors) if selector.matches(node)]
         if ranks:
             ranked[ranks[0], order] = node
