@@ -1,6 +1,6 @@
 """Ordered rules.
 
-A rule chain over long text is CPU-bound: a text that names no place is tried
+Trying rules over long text is CPU-bound: a text that names no place is tried
 against every pattern. Each pattern therefore gets a *gate*, a literal its
 matches must contain, tested by a plain substring search on a lower-cased copy
 of the text. The pattern itself runs only when its gate holds, so a miss costs
@@ -49,37 +49,35 @@ def folded(text: Column) -> Column:
     return F.lower(F.translate(text, _FOLD_FROM, _FOLD_TO))
 
 
-def rule_matches(pattern: str, text: Column, low: Column) -> Column:
-    """One rule: its gate, where it has one, before its pattern."""
-    hit, literal = text.rlike(FLAGS + pattern), gate_literal(pattern)
-    return low.contains(literal) & hit if literal else hit
-
-
 def first_rule(rules, text: Column) -> Column:
     """Zero-based position of the first rule that matches, or NULL.
 
-    The chain sits in a lambda over a one-element array, which binds the text
-    and its folded copy once. It also keeps some ninety branches out of the
-    generated code of a stage: as one method they exceed what the JIT compiles,
-    and the lambda runs two to three times as fast.
+    The rules are two literal arrays, gates and patterns, walked by position.
+    A plan with one branch per rule is a hundred times larger, takes longer to
+    analyse than a small table takes to scan, and its generated method exceeds
+    what the JIT compiles. The one-element array binds the folded copy once.
     """
+    gates = F.lit([gate_literal(pattern) for pattern, _ in rules])
+    patterns = F.lit([FLAGS + pattern for pattern, _ in rules])
     bound = F.array(F.struct(text.alias("text"), folded(text).alias("low")))
 
-    def chain(x: Column) -> Column:
-        hits = [rule_matches(pattern, x["text"], x["low"]) for pattern, _ in rules]
-        return F.coalesce(*[F.when(hit, F.lit(i)) for i, hit in enumerate(hits)])
+    def walk(x: Column) -> Column:
+        low, whole = x["low"], x["text"]
+        gated = F.transform(gates, lambda gate, i: F.when(low.contains(gate), i))
+        open_rules = F.filter(gated, lambda i: i.isNotNull())
+        return F.get(F.filter(open_rules, lambda i: F.rlike(whole, F.get(patterns, i))), 0)
 
-    return F.get(F.transform(bound, chain), 0)
+    return F.get(F.transform(bound, walk), 0)
 
 
 def rule_value(rules, position: Column) -> Column:
     """The zone or category a rule position stands for."""
-    return F.get(F.array(*[F.lit(value) for _, value in rules]), position)
+    return F.get(F.lit([value for _, value in rules]), position)
 
 
 def rule_matched_text(rules, position: Column, text: Column) -> Column:
     """The matched text in its original case."""
-    patterns = F.array(*[F.lit(FLAGS + p) for p, _ in rules])
+    patterns = F.lit([FLAGS + pattern for pattern, _ in rules])
     return F.regexp_substr(text, F.get(patterns, position))
 
 

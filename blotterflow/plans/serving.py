@@ -21,25 +21,40 @@ FLAGS = ("is_finals", "is_break", "is_game_day", "is_weekend")
 EXPLORER_COLUMNS = ("date", "zone", "category", "type", "narrative")
 
 
-def incident_detail(t: Mapping[str, DataFrame]) -> DataFrame:
-    """Facts with their dimensions; a NULL zone drops the row."""
-    days = t["dim_date"].select(F.col("date_day").alias("occurred_date"), "semester", *FLAGS)
-    return (
-        t["fct_incidents"]
-        .join(t["dim_location"].select("location_zone", "zone_label", "is_unknown"), "location_zone")
-        .join(t["dim_incident_type"], "incident_type", "left")
-        .join(days, "occurred_date", "left")
-        .select(
-            F.col("occurred_date").alias("date"),
-            F.col("zone_label").alias("zone"),
-            F.col("is_unknown").alias("zone_unknown"),
-            F.coalesce("incident_category", F.lit("Uncategorized")).alias("category"),
-            F.col("incident_type").alias("type"),
-            F.col("incident_text").alias("narrative"),
-            "semester",
-            *[F.coalesce(flag, F.lit(False)).alias(flag) for flag in FLAGS],
-        )
+DETAIL_COLUMNS = (
+    "date", "zone", "zone_unknown", "category", "type", "narrative", "semester", *FLAGS,
+)
+
+
+def incident_detail(
+    t: Mapping[str, DataFrame], columns: Sequence[str] = DETAIL_COLUMNS
+) -> DataFrame:
+    """Facts with their dimensions; a NULL zone drops the row.
+
+    Only dimensions that give one of ``columns`` are joined. Spark cannot drop
+    an unused left join itself, as it does not know the dimension keys to be
+    unique.
+    """
+    dated = [c for c in ("semester", *FLAGS) if c in columns]
+    out = t["fct_incidents"].join(
+        t["dim_location"].select("location_zone", "zone_label", "is_unknown"), "location_zone"
     )
+    if "category" in columns:
+        out = out.join(t["dim_incident_type"], "incident_type", "left")
+    if dated:
+        days = t["dim_date"].select(F.col("date_day").alias("occurred_date"), *dated)
+        out = out.join(days, "occurred_date", "left")
+    source = {
+        "date": F.col("occurred_date"),
+        "zone": F.col("zone_label"),
+        "zone_unknown": F.col("is_unknown"),
+        "category": F.coalesce(F.col("incident_category"), F.lit("Uncategorized")),
+        "type": F.col("incident_type"),
+        "narrative": F.col("incident_text"),
+        "semester": F.col("semester"),
+        **{flag: F.coalesce(F.col(flag), F.lit(False)) for flag in FLAGS},
+    }
+    return out.select(*[source[c].alias(c) for c in DETAIL_COLUMNS if c in columns])
 
 
 def half_even(c: Column, digits: int = 2) -> Column:
@@ -81,10 +96,9 @@ def exclude_days(frame: DataFrame, days: DataFrame, column: str) -> DataFrame:
 
 
 def without_outliers(
-    detail: DataFrame, spine: DataFrame, cfg: PipelineConfig = DEFAULT
+    detail: DataFrame, spine: DataFrame, days: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
-    """V3: both frames without outlier days."""
-    days = outlier_days(detail, cfg)
+    """V3: both frames without the given outlier days."""
     return exclude_days(detail, days, "date"), exclude_days(spine, days, "date_day")
 
 

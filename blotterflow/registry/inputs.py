@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import replace
 
 import pandas as pd
@@ -16,9 +17,10 @@ from blotterflow.plans import serving as V
 from blotterflow.plans import warehouse as M
 from blotterflow.plans.ingest import as_raw_document, with_title_dates
 from blotterflow.registry import samples
+from blotterflow.schemas import RAW_INCIDENTS
 from blotterflow.session import shared_dir
 from blotterflow.sources.store import BEAT_ORDER, DOCUMENT_ORDER
-from blotterflow.sources.tables import MARTS, STORE_TABLES, read_tables, spread, write_marts
+from blotterflow.sources.tables import read_tables, spread, write_marts
 
 # the years the given orders fall in
 FIRST_YEAR, LAST_YEAR = 1995, 2001
@@ -111,7 +113,7 @@ def landed(spark: SparkSession, sf: str) -> DataFrame:
         docs = classified_documents(spark, sf).withColumn("normalized", done)
         docs.write.mode("overwrite").parquet(folder)
 
-    return spark.read.parquet(written(spark, sf, "landed", build))
+    return spark.read.schema(RAW_INCIDENTS).parquet(written(spark, sf, "landed", build))
 
 
 def clean_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
@@ -168,21 +170,35 @@ def star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     def build(folder: str) -> None:
         for name, df in clean_tables(spark, sf).items():
             df.write.mode("overwrite").parquet(f"{folder}/{name}")
-        staged = M.stg_incidents(spark.read.parquet(f"{folder}/incidents"))
-        write_marts(M.marts(staged, calendar(spark)), folder)
+        incidents = read_tables(spark, folder, ["incidents"])["incidents"]
+        write_marts(M.marts(M.stg_incidents(incidents), calendar(spark)), folder)
 
-    tables = read_tables(spark, written(spark, sf, "star", build), (*STORE_TABLES, *MARTS))
+    return read_tables(spark, written(spark, sf, "star", build))
+
+
+def checked_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """Everything the declared checks look at."""
+    tables = star(spark, sf)
     return {**tables, **M.staging(tables), "academic_calendar": calendar(spark)}
 
 
-def cleaned_frames(spark: SparkSession, sf: str, threshold: int) -> tuple[DataFrame, DataFrame]:
-    """Detail and spine without outlier days."""
-    t = star(spark, sf)
-    return V.without_outliers(
-        V.incident_detail(t),
-        t["mart_daily_summary"].select("date_day", "semester", *V.FLAGS),
-        replace(DEFAULT, outlier_day_threshold=threshold),
-    )
+def outlier_days(spark: SparkSession, sf: str, threshold: int) -> DataFrame:
+    detail = V.incident_detail(star(spark, sf), ["date"])
+    return V.outlier_days(detail, replace(DEFAULT, outlier_day_threshold=threshold))
+
+
+def usual_detail(
+    spark: SparkSession, sf: str, threshold: int, columns: Sequence[str] = V.DETAIL_COLUMNS
+) -> DataFrame:
+    """V3: incident detail without outlier days."""
+    detail = V.incident_detail(star(spark, sf), columns)
+    return V.exclude_days(detail, outlier_days(spark, sf, threshold), "date")
+
+
+def usual_spine(spark: SparkSession, sf: str, threshold: int) -> DataFrame:
+    """V3: the spine without outlier days."""
+    spine = star(spark, sf)["mart_daily_summary"].select("date_day", "semester", *V.FLAGS)
+    return V.exclude_days(spine, outlier_days(spark, sf, threshold), "date_day")
 
 
 def report_texts(spark: SparkSession, sf: str) -> DataFrame:

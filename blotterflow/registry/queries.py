@@ -443,7 +443,7 @@ def check_relationship(spark, sf):
 
 @query
 def check_suite(spark, sf):
-    return Q.run_suite(M.model_checks(src.star(spark, sf)))
+    return Q.run_suite(M.model_checks(src.checked_tables(spark, sf)))
 
 
 @query
@@ -465,18 +465,26 @@ def check_suite_failures(spark, sf):
 
 
 # ---- reports -------------------------------------------------------------------------------
-def _frames(spark, sf):
-    return src.cleaned_frames(spark, sf, OUTLIER_THRESHOLD)
+def _detail(spark, sf, *columns):
+    return src.usual_detail(spark, sf, OUTLIER_THRESHOLD, columns or V.DETAIL_COLUMNS)
 
 
-def _filtered(spark, sf, search=""):
-    detail, spine = _frames(spark, sf)
-    return (
-        V.filter_incidents(detail, START, END, SEMESTERS, ZONES, CATEGORIES, search),
-        V.filter_spine(spine, START, END, SEMESTERS),
+def _spine(spark, sf):
+    return src.usual_spine(spark, sf, OUTLIER_THRESHOLD)
+
+
+def _filtered(spark, sf, *columns, search=""):
+    # the filtered columns are always needed
+    needed = {"date", "semester", "zone", "category", *columns} if columns else ()
+    return V.filter_incidents(
+        _detail(spark, sf, *needed), START, END, SEMESTERS, ZONES, CATEGORIES, search
     )
 
 
+def _filtered_spine(spark, sf):
+    return V.filter_spine(_spine(spark, sf), START, END, SEMESTERS)
+
+
 @query
 def incident_detail(spark, sf):
     return V.newest_first(V.incident_detail(src.star(spark, sf)))
@@ -489,93 +497,93 @@ def spine(spark, sf):
 
 @query
 def outlier_days(spark, sf):
-    detail = V.incident_detail(src.star(spark, sf))
-    return V.outlier_days(detail, replace(DEFAULT, outlier_day_threshold=OUTLIER_THRESHOLD))
+    return src.outlier_days(spark, sf, OUTLIER_THRESHOLD)
 
 
 @query
 def outliers_excluded(spark, sf):
-    return _frames(spark, sf)[0].select("date", "zone", "category", "type", "narrative")
+    return _detail(spark, sf, "date", "zone", "category", "type", "narrative")
 
 
 @query
 def spine_filtered(spark, sf):
-    return _filtered(spark, sf)[1]
+    return _filtered_spine(spark, sf)
 
 
 @query
 def filtered(spark, sf):
-    return _filtered(spark, sf)[0]
+    return _filtered(spark, sf)
 
 
 @query
 def search(spark, sf):
-    return V.filter_incidents(_frames(spark, sf)[0], search=SEARCH)
+    return V.filter_incidents(_detail(spark, sf), search=SEARCH)
 
 
 @query
 def search_literal(spark, sf):
-    return V.filter_incidents(_frames(spark, sf)[0], search="LOT #41.", literal=True)
+    return V.filter_incidents(_detail(spark, sf), search="LOT #41.", literal=True)
 
 
 @query
 def headline(spark, sf):
-    return V.headline(*_filtered(spark, sf))
+    return V.headline(_filtered(spark, sf, "zone", "zone_unknown"), _filtered_spine(spark, sf))
 
 
 @query
 def daily_trend(spark, sf):
-    return V.daily_trend(*_filtered(spark, sf))
+    return V.daily_trend(_filtered(spark, sf, "date"), _filtered_spine(spark, sf))
 
 
 @query
 def daily_trend_all(spark, sf):
-    return V.daily_trend(*_frames(spark, sf))
+    return V.daily_trend(_detail(spark, sf, "date"), _spine(spark, sf))
 
 
 @query
 def calendar_effect(spark, sf):
-    return V.calendar_effect(*_frames(spark, sf))
+    return V.calendar_effect(_detail(spark, sf, "date"), _spine(spark, sf))
 
 
 @query
 def by_zone(spark, sf):
-    return V.by_zone(_frames(spark, sf)[0])
+    return V.by_zone(_detail(spark, sf, "date", "zone", "zone_unknown"))
 
 
 @query
 def by_category(spark, sf):
-    return V.by_category(_frames(spark, sf)[0])
+    return V.by_category(_detail(spark, sf, "date", "category"))
 
 
 @query
 def zone_category_grid(spark, sf):
-    return V.zone_category_grid(_frames(spark, sf)[0])
+    return V.zone_category_grid(_detail(spark, sf, "date", "zone", "zone_unknown", "category"))
 
 
 @query
 def weekday_profile(spark, sf):
-    return V.weekday_profile(_frames(spark, sf)[0])
+    return V.weekday_profile(_detail(spark, sf, "date"))
 
 
 @query
 def filter_options(spark, sf):
-    return V.filter_options(_frames(spark, sf)[0])
+    return V.filter_options(_detail(spark, sf, "date", "semester", "zone", "category"))
 
 
 @query
 def spine_bounds(spark, sf):
-    return V.spine_bounds(_frames(spark, sf)[1])
+    return V.spine_bounds(_spine(spark, sf))
 
 
 @query
 def explorer(spark, sf):
-    return V.explorer(_filtered(spark, sf, SEARCH)[0])
+    return V.explorer(_filtered(spark, sf, "type", "narrative", search=SEARCH))
 
 
 @query
 def explorer_counts(spark, sf):
-    return V.match_counts(_filtered(spark, sf, SEARCH)[0], _frames(spark, sf)[0])
+    found = _filtered(spark, sf, "narrative", search=SEARCH)
+    return V.match_counts(found, _detail(spark, sf, "date"))
 
 
 # ---- incremental -----------------------------------------------------------------------------

@@ -60,6 +60,66 @@ CALENDAR = _struct(
     ("period_type", STR), ("label", STR), ("start_date", DATE), ("end_date", DATE)
 )
 
+# ---- marts ------------------------------------------------------------------
+DIM_DATE = _struct(
+    ("date_day", DATE),
+    ("day_of_week", INT),
+    ("day_name", STR),
+    ("is_weekend", BOOL),
+    ("semester", STR),
+    ("is_finals", BOOL),
+    ("is_break", BOOL),
+    ("is_game_day", BOOL),
+)
+
+DIM_LOCATION = _struct(
+    ("location_zone", STR),
+    ("zone_label", STR),
+    ("is_residential", BOOL),
+    ("is_academic", BOOL),
+    ("is_on_campus", BOOL),
+    ("is_unknown", BOOL),
+)
+
+DIM_INCIDENT_TYPE = _struct(("incident_type", STR), ("incident_category", STR))
+
+FCT_INCIDENTS = _struct(
+    ("incident_id", STR),
+    ("occurred_date", DATE),
+    ("location_zone", STR),
+    ("incident_type", STR),
+    ("beat_url", STR),
+    ("location_source", STR),
+    ("location_confidence", STR),
+    ("incident_text", STR),
+    ("incident_count", INT),
+)
+
+DAILY_SUMMARY = _struct(
+    ("date_day", DATE),
+    ("day_name", STR),
+    ("is_weekend", BOOL),
+    ("semester", STR),
+    ("is_finals", BOOL),
+    ("is_break", BOOL),
+    ("is_game_day", BOOL),
+    ("total_incidents", LONG),
+    ("located_incidents", LONG),
+    ("distinct_zones", LONG),
+)
+
+TABLES = {
+    "raw_incidents": RAW_INCIDENTS,
+    "beats": BEATS,
+    "incidents": INCIDENTS,
+    "incident_dates": INCIDENT_DATES,
+    "dim_date": DIM_DATE,
+    "dim_location": DIM_LOCATION,
+    "dim_incident_type": DIM_INCIDENT_TYPE,
+    "fct_incidents": FCT_INCIDENTS,
+    "mart_daily_summary": DAILY_SUMMARY,
+}
+
 # ---- what the HTML walk returns -------------------------------------------
 CONTAINERS = _struct(
     ("url", STR),

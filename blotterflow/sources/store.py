@@ -26,10 +26,7 @@ COMMITS = T.StructType(
     ]
 )
 TABLES = {
-    "raw_incidents": S.RAW_INCIDENTS,
-    "beats": S.BEATS,
-    "incidents": S.INCIDENTS,
-    "incident_dates": S.INCIDENT_DATES,
+    **{n: S.TABLES[n] for n in ("raw_incidents", "beats", "incidents", "incident_dates")},
     "commits": COMMITS,
 }
 # which of several writes of one beat is the last, with no ties left

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from blotterflow.config import CALENDAR_CSV
 from blotterflow.plans.ingest import flatten_for_csv
-from blotterflow.schemas import CALENDAR
+from blotterflow.schemas import CALENDAR, TABLES
 
 MARTS = ("dim_date", "dim_location", "dim_incident_type", "fct_incidents", "mart_daily_summary")
 STORE_TABLES = ("beats", "incidents", "incident_dates")
@@ -69,9 +69,11 @@ def write_explorer_csv(table: DataFrame, path: str) -> None:
     write_csv(table, path)
 
 
-def read_tables(spark: SparkSession, root: str, names: Iterable[str]) -> dict[str, DataFrame]:
-    """Written tables by name."""
-    return {name: spark.read.parquet(f"{root}/{name}") for name in names}
+def read_tables(
+    spark: SparkSession, root: str, names: Iterable[str] = (*STORE_TABLES, *MARTS)
+) -> dict[str, DataFrame]:
+    """Written tables by name, with declared schemas and so without a job."""
+    return {name: spark.read.schema(TABLES[name]).parquet(f"{root}/{name}") for name in names}
 
 
 def register_views(tables: Mapping[str, DataFrame]) -> None:
