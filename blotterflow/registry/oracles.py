@@ -239,8 +239,10 @@ def decoded(c: str) -> str:
     return c
 
 
+ARTICLES = """
+articles AS (SELECT url, regexp_extract(html, '(?s)<article>(.*)</article>', 1) AS body FROM pages)"""
+
 PAGE_LINES = rf"""
-articles AS (SELECT url, regexp_extract(html, '(?s)<article>(.*)</article>', 1) AS body FROM pages),
 broken AS (
   SELECT url, regexp_replace(regexp_replace(body, '{_BLOCK_TAG}', chr(10) || chr(10), 'g'),
                              '(?:<[^>]*>)+', chr(10), 'g') AS body FROM articles),
@@ -249,14 +251,13 @@ split1 AS (SELECT key, unnest(parts) AS raw, generate_subscripts(parts, 1) - 1 A
 split AS (SELECT key, CAST(line_no AS INTEGER) AS line_no, {ws(decoded('raw'))} AS line FROM split1)"""
 
 ORACLES["page_lines"] = (
-    with_(PAGE_LINES, flags("split", "flagged"), SEGMENTS)
+    with_(ARTICLES, PAGE_LINES, flags("split", "flagged"), SEGMENTS)
     + " SELECT key AS url, CAST(0 AS INTEGER) AS candidate_no, "
     "string_agg(line, chr(10) ORDER BY line_no) AS lines FROM kept WHERE line <> '' GROUP BY key"
 )
 
 # Paragraphs: a p runs to its own end tag, or, unclosed, to the end of the article.
 PARAGRAPHS = rf"""
-articles AS (SELECT url, regexp_extract(html, '(?s)<article>(.*)</article>', 1) AS body FROM pages),
 pieces0 AS (SELECT url, regexp_extract_all(body, '(?s)<[^>]*>|[^<]+') AS parts FROM articles),
 pieces AS (
   SELECT url, piece, n, CASE WHEN piece = '<p>' THEN 1 WHEN piece = '</p>' THEN -1 ELSE 0 END AS step
@@ -281,14 +282,76 @@ paragraph_form AS (
     AND NOT starts_with(lower(line), 'police beat') AND NOT regexp_matches(line, '{TITLE}'))"""
 
 ORACLES["paragraph_fallback"] = (
-    with_(PARAGRAPHS)
+    with_(ARTICLES, PARAGRAPHS)
     + " SELECT url, CAST(paragraph_no AS INTEGER) AS paragraph_no, incident_text FROM paragraph_form"
 )
+FOUND_IN_PAGES = """
+found AS (
+  SELECT key AS url, CAST(incident_no AS INTEGER) AS incident_no, incident_type, incident_text FROM picked
+  UNION ALL SELECT url, CAST(paragraph_no AS INTEGER), '', incident_text FROM paragraph_form
+  WHERE url NOT IN (SELECT key FROM picked))"""
 ORACLES["page_incidents"] = (
-    with_(PAGE_LINES, flags("split", "flagged"), SEGMENTS, PARAGRAPHS.replace("articles AS", "articles2 AS", 1).replace("FROM articles)", "FROM articles2)", 1))
-    + " SELECT key AS url, CAST(incident_no AS INTEGER) AS incident_no, incident_type, incident_text FROM picked"
-    " UNION ALL SELECT url, CAST(paragraph_no AS INTEGER), '', incident_text FROM paragraph_form"
-    " WHERE url NOT IN (SELECT key FROM picked)"
+    with_(ARTICLES, PAGE_LINES, flags("split", "flagged"), SEGMENTS, PARAGRAPHS, FOUND_IN_PAGES)
+    + " SELECT * FROM found"
+)
+
+# Report pages made of orders. Their nested containers hold the same incidents,
+# so the first container by order of preference stands for all.
+_PAGE = (
+    f"replace(replace(replace(({items(samples.PAGES)})[o_orderkey % {len(samples.PAGES)} + 1], "
+    "'{type}', incident_type), '{text}', incident_text), '{day}', strftime(day, '%m/%d/%Y'))"
+)
+_BODIES = (
+    r"<div class=''RichTextArticleBody-body''>(.*?)</div>", "<article>(.*)</article>", "<main>(.*)</main>",
+    "<section>(.*)</section>",
+)
+REPORT_ARTICLES = rf"""
+report_pages AS (
+  SELECT o_orderkey, 'https://beat.example/report/' || o_orderkey AS url, {_PAGE} AS html FROM docs0),
+articles AS (
+  SELECT url, regexp_replace(body, '(?s)<script>.*?</script>', '<script>', 'g') AS body
+  FROM (SELECT url, coalesce({", ".join(f"nullif(regexp_extract(html, '(?s){b}', 1), '')" for b in _BODIES)}) AS body
+        FROM report_pages) WHERE body IS NOT NULL)"""
+REPORTED = (DOCS, REPORT_ARTICLES, PAGE_LINES, flags("split", "flagged"), SEGMENTS, PARAGRAPHS, FOUND_IN_PAGES)
+ORACLES["report_page_incidents"] = with_(*REPORTED) + " SELECT * FROM found"
+ORACLES["report_pages_skipped"] = (
+    with_(*REPORTED) + " SELECT url FROM report_pages WHERE url NOT IN (SELECT url FROM found)"
+)
+ORACLES["pages_to_documents"] = (
+    with_(*REPORTED)
+    + " SELECT sha256(url || chr(10) || found.incident_type || chr(10) || found.incident_text) AS raw_text_hash, "
+    f"url AS beat_url, found.incident_type, found.incident_text, {joined()} AS dates "
+    "FROM found JOIN report_pages USING (url) JOIN docs USING (o_orderkey)"
+)
+
+# List pages made of orders: their markup again, taken apart with patterns
+_ITEM = (
+    "'<div class=item><a href=\"' || {url} || '\">' || {text} || '</a><i> ' || beat_published_at || ' </i></div>'"
+)
+LISTED = rf"""
+lists AS (
+  SELECT o_orderkey AS page_no, 'https://beat.example/?page=' || (o_orderkey + 1) AS next_page_url,
+         {_ITEM.format(url="'/report/' || o_orderkey", text="beat_title")}
+         || {_ITEM.format(url="'/other'", text="'Campus  news'")}
+         || {_ITEM.format(url="'report/' || greatest(o_orderkey - 1, 0)", text="'POLICE&nbsp;Beat 01/02/1996 01/03/1996'")}
+         AS html FROM docs),
+parts AS (
+  SELECT page_no, next_page_url, unnest(found) AS item, generate_subscripts(found, 1) - 1 AS item_no
+  FROM (SELECT *, regexp_extract_all(html, '<div class=item>.*?</div>') AS found FROM lists)),
+links AS (
+  SELECT page_no, CAST(item_no AS INTEGER) AS item_no,
+         'https://beat.example/' || ltrim(regexp_extract(item, 'href="([^"]*)"', 1), '/') AS url,
+         {ws("replace(regexp_extract(item, '<a[^>]*>([^<]*)</a>', 1), '&nbsp;', ' ')")} AS title,
+         {ws("regexp_extract(item, '<i>([^<]*)</i>', 1)")} AS published_at, next_page_url
+  FROM parts),
+listed0 AS (SELECT *, {range_of('title')} AS date_range_raw FROM links WHERE starts_with(lower(title), 'police beat')),
+listed AS (
+  SELECT *, len(regexp_extract_all(date_range_raw, '{DATE}')) > 1 AS is_multi_date_beat FROM listed0)"""
+ORACLES["list_items"] = with_(DOCS, LISTED) + " SELECT * FROM listed"
+ORACLES["report_summaries"] = (
+    with_(DOCS, LISTED)
+    + " SELECT * EXCLUDE (next_page_url) FROM listed "
+    "QUALIFY row_number() OVER (PARTITION BY url ORDER BY page_no, item_no) = 1"
 )
 
 # ---- classification -----------------------------------------------------------------
