@@ -14,6 +14,8 @@ from blotterflow.functions.text import fold_text
 
 Model = Callable[[pd.Series], pd.Series]
 
+# a run cap up to this many keys is broadcast; a larger one is shuffled
+BROADCAST_KEYS = 500_000
 LOOKUP_TYPE = "struct<zone:string,source:string,reasoning:string>"
 NO_MODEL_REASON = "no explicit location in text"
 NO_PLACE_REASON = "model found no explicit location"
@@ -156,6 +158,8 @@ def classify_pending(
         marked = raw.withColumn("_pending", pending)
     else:
         chosen = pending_keys(raw, pending, limit, key).withColumn("_pending", F.lit(True))
+        if limit <= BROADCAST_KEYS:
+            chosen = F.broadcast(chosen)
         marked = raw.join(chosen, key, "left")
     done = classify(marked, cfg=cfg, model=model, only=F.col("_pending"))
     fields = {

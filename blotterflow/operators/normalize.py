@@ -1,11 +1,18 @@
-"""Raw documents to relational rows."""
+"""Raw documents to relational rows (N1-N4, N8) and new table states."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blotterflow.functions.text import empty_to_null
+from blotterflow.operators.dedup import last_seen, replace_children, upsert
+
+# which of several writes of one key is the last, with no ties left
+BEAT_ORDER = ("scraped_at", "beat_title", "date_range_raw", "published_at")
+DOCUMENT_ORDER = ("scraped_at", "beat_title", "date_range_raw", "location_zone", "location_source")
 
 
 def is_ready() -> Column:
@@ -13,6 +20,12 @@ def is_ready() -> Column:
     return ~F.col("normalized") & F.col("location_zone").isNotNull()
 
 
+def ready_documents(raw: DataFrame, limit: int | None = None, key: str = "raw_text_hash") -> DataFrame:
+    """The documents to normalize, in key order if capped."""
+    ready = raw.filter(is_ready())
+    return ready if limit is None else ready.orderBy(key).limit(limit)
+
+
 def real_dates(dates: Column) -> Column:
     """The non-blank candidate dates; accepts ISO strings or dates."""
     return F.filter(dates.cast("array<string>"), lambda d: d.isNotNull() & (d != "")).cast("array<date>")
@@ -58,3 +71,24 @@ def mark_normalized(raw: DataFrame, written: DataFrame, key: str = "raw_text_has
     flags = written.select(key).distinct().withColumn("_written", F.lit(True))
     flag = F.coalesce("_written", F.col("normalized"))
     return raw.join(flags, key, "left").withColumn("normalized", flag).select(*raw.columns)
+
+
+def normalize_pending(
+    raw: DataFrame, tables: Mapping[str, DataFrame], limit: int | None = None
+) -> dict[str, DataFrame]:
+    """N1-N8 as plans: the new state of the clean tables and of the raw table.
+
+    Write the clean tables first and ``raw_incidents`` last. A run that dies in
+    between is repeated by the next one, which upserts the same rows again.
+    """
+    ready = ready_documents(raw, limit)
+    documents = last_seen(ready, ["raw_text_hash"], DOCUMENT_ORDER)
+    incidents, dates = to_incidents(documents), to_dates(documents)
+    return {
+        "beats": upsert(tables["beats"], to_beats(ready), "beat_url", BEAT_ORDER),
+        "incidents": upsert(tables["incidents"], incidents, "raw_text_hash", ["beat_url"]),
+        "incident_dates": replace_children(
+            tables["incident_dates"], dates, documents, "raw_text_hash"
+        ),
+        "raw_incidents": mark_normalized(raw, documents),
+    }

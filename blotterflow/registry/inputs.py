@@ -12,14 +12,19 @@ from pyspark.sql import functions as F
 from blotterflow.config import DEFAULT
 from blotterflow.operators.classify import classify_pending
 from blotterflow.operators.dedup import last_seen
-from blotterflow.operators.normalize import to_beats, to_dates, to_incidents
+from blotterflow.operators.normalize import (
+    BEAT_ORDER,
+    DOCUMENT_ORDER,
+    to_beats,
+    to_dates,
+    to_incidents,
+)
 from blotterflow.plans import serving as V
 from blotterflow.plans import warehouse as M
 from blotterflow.plans.ingest import as_raw_document, with_title_dates
 from blotterflow.registry import samples
 from blotterflow.schemas import RAW_INCIDENTS
 from blotterflow.session import shared_dir
-from blotterflow.sources.store import BEAT_ORDER, DOCUMENT_ORDER
 from blotterflow.sources.tables import read_tables, spread, write_marts
 
 # the years the given orders fall in

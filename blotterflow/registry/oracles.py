@@ -453,6 +453,11 @@ _LAST_BEAT = (
 ORACLES["norm_pending"] = on_lookup(
     "SELECT beat_url, count(*) AS documents FROM classified WHERE NOT is_multi_date_beat GROUP BY 1"
 )
+ORACLES["norm_limit"] = on_lookup(
+    "SELECT DISTINCT raw_text_hash FROM (SELECT raw_text_hash FROM classified WHERE NOT is_multi_date_beat "
+    "ORDER BY 1 LIMIT 100)"
+)
+ORACLES["norm_snapshot"] = on_lookup(f"SELECT {_INCIDENT_COLUMNS} FROM classified QUALIFY {_LAST_DOC}")
 ORACLES["norm_beats"] = on_docs(f"SELECT {_BEAT_COLUMNS} FROM docs")
 ORACLES["norm_incidents"] = on_lookup(f"SELECT {_INCIDENT_COLUMNS} FROM classified")
 ORACLES["norm_dates"] = on_docs("SELECT raw_text_hash, unnest(incident_dates) AS incident_date FROM docs")

@@ -24,7 +24,7 @@ from blotterflow.plans import warehouse as M
 from blotterflow.registry import inputs as src
 from blotterflow.session import shared_dir
 from blotterflow.sources import html_pages as H
-from blotterflow.sources.store import BEAT_ORDER, DOCUMENT_ORDER, IncidentStore
+from blotterflow.sources.store import IncidentStore
 from blotterflow.streaming.catchup import run_available
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -314,6 +314,21 @@ def norm_dates(spark, sf):
     return N.to_dates(src.raw_documents(spark, sf))
 
 
+@query
+def norm_limit(spark, sf):
+    return N.ready_documents(src.landed(spark, sf), 100).select("raw_text_hash").distinct()
+
+
+@query
+def norm_snapshot(spark, sf):
+    """The incidents after a run over what an earlier, partial run left."""
+    raw = src.landed(spark, sf)
+    done = raw.filter("normalized")
+    seen = K.last_seen(done, ["raw_text_hash"], N.DOCUMENT_ORDER)
+    tables = {"beats": N.to_beats(done).limit(0), "incidents": N.to_incidents(seen), "incident_dates": N.to_dates(seen)}
+    return N.normalize_pending(raw, tables)["incidents"]
+
+
 def _two_batches(spark, sf):
     """Overlapping halves; the later one has changed titles, types and dates."""
     docs = src.keyed_documents(spark, sf).withColumn("location_zone", F.lit("UNKNOWN"))
@@ -345,19 +360,19 @@ def insert_counts(spark, sf):
 @query
 def upsert_beats(spark, sf):
     old, new = (N.to_beats(batch) for batch in _two_batches(spark, sf))
-    existing = K.last_seen(old, ["beat_url"], BEAT_ORDER)
-    return K.upsert(existing, new, "beat_url", BEAT_ORDER).drop("scraped_at")
+    existing = K.last_seen(old, ["beat_url"], N.BEAT_ORDER)
+    return K.upsert(existing, new, "beat_url", N.BEAT_ORDER).drop("scraped_at")
 
 
 @query
 def upsert_incidents(spark, sf):
-    old, new = (K.last_seen(b, ["raw_text_hash"], DOCUMENT_ORDER) for b in _two_batches(spark, sf))
+    old, new = (K.last_seen(b, ["raw_text_hash"], N.DOCUMENT_ORDER) for b in _two_batches(spark, sf))
     return K.upsert(N.to_incidents(old), N.to_incidents(new), "raw_text_hash", ["beat_url"])
 
 
 @query
 def replace_dates(spark, sf):
-    old, new = (K.last_seen(b, ["raw_text_hash"], DOCUMENT_ORDER) for b in _two_batches(spark, sf))
+    old, new = (K.last_seen(b, ["raw_text_hash"], N.DOCUMENT_ORDER) for b in _two_batches(spark, sf))
     return K.replace_children(N.to_dates(old), N.to_dates(new), new, "raw_text_hash")
 
 

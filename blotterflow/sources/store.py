@@ -2,10 +2,10 @@
 
 Every batch writes its own ``batch_id=N`` folder in each table and then one
 row in ``commits``; readers take committed batches only. A run that dies half
-way leaves nothing visible, and its repetition replaces the same folders. The
-cost of a write follows the batch, not the store: earlier rows are never
-rewritten. Where keys recur, the last committed batch wins when the store is
-read, which is the upsert of N5-N7.
+way leaves nothing visible, and the next batch replaces its folders. The cost
+of a write follows the batch, not the store: earlier rows are never rewritten.
+Where keys recur, the last committed batch wins when the store is read, which
+is the upsert of N5-N7. A store has one writer at a time.
 """
 
 from __future__ import annotations
@@ -16,7 +16,13 @@ from pyspark.sql import types as T
 
 from blotterflow import schemas as S
 from blotterflow.operators.dedup import last_seen
-from blotterflow.operators.normalize import to_beats, to_dates, to_incidents
+from blotterflow.operators.normalize import (
+    BEAT_ORDER,
+    DOCUMENT_ORDER,
+    to_beats,
+    to_dates,
+    to_incidents,
+)
 
 COMMITS = T.StructType(
     [
@@ -29,9 +35,6 @@ TABLES = {
     **{n: S.TABLES[n] for n in ("raw_incidents", "beats", "incidents", "incident_dates")},
     "commits": COMMITS,
 }
-# which of several writes of one beat is the last, with no ties left
-BEAT_ORDER = ("scraped_at", "beat_title", "date_range_raw", "published_at")
-DOCUMENT_ORDER = ("scraped_at", "beat_title", "date_range_raw", "location_zone", "location_source")
 
 
 class IncidentStore:
@@ -56,8 +59,10 @@ class IncidentStore:
     def commits(self) -> DataFrame:
         return self._all("commits")
 
-    def is_committed(self, batch_id: int) -> bool:
-        return not self.commits().filter(F.col("batch_id") == batch_id).isEmpty()
+    def next_batch_id(self) -> int:
+        """One above the last commit, whatever stream or checkpoint it came from."""
+        last = self.commits().agg(F.max("batch_id")).first()[0]
+        return 0 if last is None else last + 1
 
     def committed(self, name: str) -> DataFrame:
         """All committed rows of a table with their batch."""
@@ -92,13 +97,14 @@ class IncidentStore:
         }
 
     # ---- writing ------------------------------------------------------------
-    def write_batch(self, classified: DataFrame, batch_id: int, received: int | None = None) -> None:
+    def write_batch(self, classified: DataFrame, received: int | None = None) -> int:
         """Land classified documents and their clean rows as one unit.
 
         The landed table is read back for the clean rows, so rules and model
         run once however often a later write is retried. N8's flag is raised in
         the landed rows: they become visible together with the clean rows.
         """
+        batch_id = self.next_batch_id()
         documents = last_seen(classified, ["raw_text_hash"], DOCUMENT_ORDER)
         self._write(documents.withColumn("normalized", F.lit(True)), "raw_incidents", batch_id)
         landed = self._all("raw_incidents").filter(F.col("batch_id") == batch_id)
@@ -106,6 +112,19 @@ class IncidentStore:
         self._write(to_incidents(landed), "incidents", batch_id)
         self._write(to_dates(landed), "incident_dates", batch_id)
         inserted = landed.count()
-        skipped = (received if received is not None else inserted) - inserted
-        commit = self.spark.createDataFrame([(batch_id, inserted, skipped)], COMMITS)
-        self._write(commit, "commits", batch_id)
+        self._commit(batch_id, inserted, (inserted if received is None else received) - inserted)
+        return batch_id
+
+    def _commit(self, batch_id: int, inserted: int, skipped: int) -> None:
+        row = self.spark.createDataFrame([(batch_id, inserted, skipped)], COMMITS)
+        self._write(row, "commits", batch_id)
+
+    def compact_to(self, root: str) -> IncidentStore:
+        """The current state as one batch of a new store, without past versions."""
+        target = IncidentStore(self.spark, root)
+        batch_id = target.next_batch_id()
+        target._write(self.raw_incidents(), "raw_incidents", batch_id)
+        for name, df in self.tables().items():
+            target._write(df, name, batch_id)
+        target._commit(batch_id, target._all("incidents").count(), 0)
+        return target

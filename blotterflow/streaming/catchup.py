@@ -7,23 +7,21 @@ from pyspark.sql import DataFrame, SparkSession
 from blotterflow.config import DEFAULT, PipelineConfig
 from blotterflow.operators.classify import Model, classify_pending
 from blotterflow.operators.dedup import new_rows
+from blotterflow.operators.normalize import DOCUMENT_ORDER
 from blotterflow.schemas import RAW_INCIDENTS
-from blotterflow.sources.store import DOCUMENT_ORDER, IncidentStore
+from blotterflow.sources.store import IncidentStore
 
 
 def land_batch(
-    store: IncidentStore,
-    batch: DataFrame,
-    batch_id: int,
-    cfg: PipelineConfig = DEFAULT,
-    model: Model | None = None,
-) -> None:
-    """I2, C7, N5-N8 for one batch; a batch that was committed before is left alone."""
-    if store.is_committed(batch_id):
-        return
-    landed = store.raw_incidents()
-    fresh = new_rows(landed, batch, "raw_text_hash", DOCUMENT_ORDER)
-    store.write_batch(classify_pending(fresh, cfg, model), batch_id, received=batch.count())
+    store: IncidentStore, batch: DataFrame, cfg: PipelineConfig = DEFAULT, model: Model | None = None
+) -> int:
+    """I2, C7, N5-N8 for one batch.
+
+    Repeating a batch is harmless: what it committed before has landed, so
+    nothing of it is new.
+    """
+    fresh = new_rows(store.raw_incidents(), batch, "raw_text_hash", DOCUMENT_ORDER)
+    return store.write_batch(classify_pending(fresh, cfg, model), received=batch.count())
 
 
 def run_available(
@@ -45,9 +43,7 @@ def run_available(
         spark.readStream.schema(RAW_INCIDENTS)
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(landing)
-        .writeStream.foreachBatch(
-            lambda batch, batch_id: land_batch(store, batch, batch_id, cfg, model)
-        )
+        .writeStream.foreachBatch(lambda batch, _: land_batch(store, batch, cfg, model))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -76,6 +76,27 @@ def test_pending_and_mark(spark):
     assert marked == {"a": True, "b": True, "c": False}
 
 
+def test_a_normalizing_run(spark):
+    raw = frame(
+        spark,
+        doc(raw_text_hash="a", beat_title="new"),
+        doc(raw_text_hash="b", incident_dates=[]),
+        doc(raw_text_hash="c", normalized=True),
+        doc(raw_text_hash="d", location_zone=None),
+    )
+    old = frame(spark, doc(raw_text_hash="b", scraped_at=datetime(2020, 1, 1), beat_title="old"))
+    tables = {"beats": N.to_beats(old), "incidents": N.to_incidents(old), "incident_dates": N.to_dates(old)}
+    new = N.normalize_pending(raw, tables)
+    assert {r.raw_text_hash: r.normalized for r in new["raw_incidents"].collect()} == {
+        "a": True, "b": True, "c": True, "d": False,
+    }
+    assert {r.raw_text_hash for r in new["incidents"].collect()} == {"a", "b"}
+    assert {r.raw_text_hash for r in new["incident_dates"].collect()} == {"a"}
+    assert [r.beat_title for r in new["beats"].collect()] == ["new"]
+    capped = N.normalize_pending(raw, tables, limit=1)
+    assert capped["raw_incidents"].filter("normalized").count() == 2
+
+
 def test_upsert_and_children(spark):
     old = spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int")
     new = spark.createDataFrame([("b", 2), ("c", 2), ("b", 3)], "k string, v int")

@@ -33,8 +33,8 @@ def keys(df):
 
 
 def test_batches_land_once(spark, store):
-    land_batch(store, frame(spark, doc("a"), doc("b", "u2"), doc("a")), 0)
-    land_batch(store, frame(spark, doc("b", "u2"), doc("c", "u2", "in Lot 999")), 1)
+    land_batch(store, frame(spark, doc("a"), doc("b", "u2"), doc("a")))
+    land_batch(store, frame(spark, doc("b", "u2"), doc("c", "u2", "in Lot 999")))
     assert keys(store.incidents()) == ["a", "b", "c"]
     assert {tuple(r) for r in store.commits().filter("batch_id >= 0").collect()} == {(2, 1, 0), (1, 1, 1)}
     zones = {r.raw_text_hash: r.location_zone for r in store.incidents().collect()}
@@ -43,14 +43,17 @@ def test_batches_land_once(spark, store):
     assert store.beats().count() == 2 and store.incident_dates().count() == 3
 
 
-def test_a_committed_batch_is_left_alone(spark, store):
-    land_batch(store, frame(spark, doc("a")), 0)
-    land_batch(store, frame(spark, doc("z")), 0)
-    assert keys(store.incidents()) == ["a"]
+def test_repeating_a_batch_changes_nothing(spark, store):
+    batch = frame(spark, doc("a", dates=2), doc("b", "u2"))
+    land_batch(store, batch)
+    before = {name: sorted(map(str, df.collect())) for name, df in store.tables().items()}
+    land_batch(store, batch)
+    assert {name: sorted(map(str, df.collect())) for name, df in store.tables().items()} == before
+    assert store.raw_incidents().count() == 2
 
 
 def test_a_run_that_dies_before_its_commit_is_repeated(spark, store, monkeypatch):
-    land_batch(store, frame(spark, doc("a")), 0)
+    land_batch(store, frame(spark, doc("a")))
     real = IncidentStore._write
 
     def dying(self, df, name, batch_id, mode="overwrite"):
@@ -60,21 +63,21 @@ def test_a_run_that_dies_before_its_commit_is_repeated(spark, store, monkeypatch
 
     monkeypatch.setattr(store_module.IncidentStore, "_write", dying)
     with pytest.raises(RuntimeError):
-        land_batch(store, frame(spark, doc("b")), 1)
+        land_batch(store, frame(spark, doc("b"), doc("x")))
     assert keys(store.incidents()) == ["a"] and keys(store.raw_incidents()) == ["a"]
     monkeypatch.undo()
-    land_batch(store, frame(spark, doc("b")), 1)
+    land_batch(store, frame(spark, doc("b")))
     assert keys(store.incidents()) == ["a", "b"] and keys(store.incident_dates()) == ["a", "b"]
 
 
-def test_later_batches_win_and_replace_children(spark, store):
-    first = frame(spark, doc("a", title="old", dates=3), doc("b", dates=2))
-    store.write_batch(first.withColumn("location_zone", first.incident_type), 0)
-    again = frame(spark, doc("a", title="new", day=9, at=2, dates=0))
-    store.write_batch(again, 1)
-    assert {r.raw_text_hash: r.earliest_date for r in store.incidents().collect()} == {"a": None, "b": date(2024, 1, 1)}
-    assert keys(store.incident_dates()) == ["b", "b"]
-    assert [r.beat_title for r in store.beats().collect()] == ["new"]
+def test_later_batches_win_and_replace_children(spark, store, tmp_path):
+    store.write_batch(frame(spark, doc("a", title="old", dates=3), doc("b", dates=2)))
+    store.write_batch(frame(spark, doc("a", title="new", day=9, at=2, dates=0)))
+    for current in (store, store.compact_to(str(tmp_path / "compact"))):
+        ends = {r.raw_text_hash: r.earliest_date for r in current.incidents().collect()}
+        assert ends == {"a": None, "b": date(2024, 1, 1)}
+        assert keys(current.incident_dates()) == ["b", "b"]
+        assert [r.beat_title for r in current.beats().collect()] == ["new"]
 
 
 def test_catch_up_runs_see_only_new_files(spark, store, tmp_path):
@@ -95,6 +98,9 @@ def test_catch_up_runs_see_only_new_files(spark, store, tmp_path):
     assert got == {"a": ("ACADEMIC_CORE", "landmark"), "b": ("OFF_CAMPUS", "llm"), "c": ("UNKNOWN", "guardrail")}
     assert sorted(asked.read_text().splitlines()) == ["a trip", "the Widtsoe Building"]
     assert store.commits().filter("batch_id >= 0").count() == 2
+    # a lost checkpoint reads everything again and lands nothing twice
+    run_available(spark, landing, store, checkpoint + "-new", model=model)
+    assert keys(store.raw_incidents()) == ["a", "b", "c"]
 
 
 def test_shared_folder_comes_from_the_session(spark):
