@@ -21,12 +21,16 @@ def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], tak
 
 
 def first_seen(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """The first row per key; ``order`` must tell the rows of a key apart."""
+    """The first row per key; ``order`` must tell the rows of a key apart.
+
+    Select the columns you need beforehand: the row travels as one struct, and
+    Spark does not prune the fields of an aggregated struct.
+    """
     return _pick(df, keys, order, F.min_by)
 
 
 def last_seen(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """The last row per key."""
+    """The last row per key, otherwise as ``first_seen``."""
     return _pick(df, keys, order, F.max_by)
 
 

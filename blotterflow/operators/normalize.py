@@ -12,7 +12,9 @@ from blotterflow.operators.dedup import last_seen, replace_children, upsert
 
 # which of several writes of one key is the last, with no ties left
 BEAT_ORDER = ("scraped_at", "beat_title", "date_range_raw", "published_at")
-DOCUMENT_ORDER = ("scraped_at", "beat_title", "date_range_raw", "location_zone", "location_source")
+DOCUMENT_ORDER = (
+    "scraped_at", "beat_title", "date_range_raw", "beat_published_at", "location_zone", "location_source",
+)
 
 
 def is_ready() -> Column:

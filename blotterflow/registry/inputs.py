@@ -21,11 +21,12 @@ from blotterflow.operators.normalize import (
 )
 from blotterflow.plans import serving as V
 from blotterflow.plans import warehouse as M
+from blotterflow.plans.build import build_marts
 from blotterflow.plans.ingest import as_raw_document, with_title_dates
 from blotterflow.registry import samples
 from blotterflow.schemas import RAW_INCIDENTS
 from blotterflow.session import shared_dir
-from blotterflow.sources.tables import read_tables, spread, write_marts
+from blotterflow.sources.tables import MARTS, STORE_TABLES, read_tables, spread
 
 # the years the given orders fall in
 FIRST_YEAR, LAST_YEAR = 1995, 2001
@@ -122,11 +123,17 @@ def landed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def clean_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """Beats, incidents and dates of all landed documents, as plans."""
-    documents = landed(spark, sf)
-    docs = last_seen(documents, ["raw_text_hash"], DOCUMENT_ORDER)
-    beats = last_seen(to_beats(documents), ["beat_url"], BEAT_ORDER)
-    return {"beats": beats, "incidents": to_incidents(docs), "incident_dates": to_dates(docs)}
+    """Beats, incidents and dates of all landed documents, as written tables."""
+
+    def build(folder: str) -> None:
+        documents = landed(spark, sf)
+        docs = last_seen(documents, ["raw_text_hash"], DOCUMENT_ORDER)
+        beats = last_seen(to_beats(documents), ["beat_url"], BEAT_ORDER)
+        beats.write.mode("overwrite").parquet(f"{folder}/beats")
+        to_incidents(docs).write.mode("overwrite").parquet(f"{folder}/incidents")
+        to_dates(docs).write.mode("overwrite").parquet(f"{folder}/incident_dates")
+
+    return read_tables(spark, written(spark, sf, "clean", build), STORE_TABLES)
 
 
 def staged_incidents(spark: SparkSession, sf: str) -> DataFrame:
@@ -166,25 +173,22 @@ def _shift(day: str, days: int) -> str:
 
 
 def star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """Clean store and marts as written tables.
+    """The marts as written tables.
 
     Report queries read the built marts, as a dashboard does, instead of
     building the star again for each chart.
     """
 
     def build(folder: str) -> None:
-        for name, df in clean_tables(spark, sf).items():
-            df.write.mode("overwrite").parquet(f"{folder}/{name}")
-        incidents = read_tables(spark, folder, ["incidents"])["incidents"]
-        write_marts(M.marts(M.stg_incidents(incidents), calendar(spark)), folder)
+        build_marts(spark, staged_incidents(spark, sf), calendar(spark), folder)
 
-    return read_tables(spark, written(spark, sf, "star", build))
+    return read_tables(spark, written(spark, sf, "star", build), MARTS)
 
 
 def checked_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """Everything the declared checks look at."""
-    tables = star(spark, sf)
-    return {**tables, **M.staging(tables), "academic_calendar": calendar(spark)}
+    store = clean_tables(spark, sf)
+    return {**store, **M.staging(store), **star(spark, sf), "academic_calendar": calendar(spark)}
 
 
 def outlier_days(spark: SparkSession, sf: str, threshold: int) -> DataFrame:

@@ -10,6 +10,8 @@ is the upsert of N5-N7. A store has one writer at a time.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,12 +74,17 @@ class IncidentStore:
     def raw_incidents(self) -> DataFrame:
         return self.committed("raw_incidents").drop("batch_id")
 
-    def _current_incidents(self) -> DataFrame:
-        return last_seen(self.committed("incidents"), ["raw_text_hash"], ["batch_id"])
+    def _current_incidents(self, columns: Sequence[str]) -> DataFrame:
+        rows = self.committed("incidents").select("raw_text_hash", *columns, "batch_id")
+        return last_seen(rows, ["raw_text_hash"], ["batch_id"])
+
+    def incidents(self, *columns: str) -> DataFrame:
+        """One row per hash, from the last batch that wrote it.
 
-    def incidents(self) -> DataFrame:
-        """One row per hash, from the last batch that wrote it."""
-        return self._current_incidents().drop("batch_id")
+        With ``columns`` only these are read and shuffled, next to the hash.
+        """
+        names = columns or [c for c in S.INCIDENTS.fieldNames() if c != "raw_text_hash"]
+        return self._current_incidents(names).drop("batch_id")
 
     def beats(self) -> DataFrame:
         """One row per page, from the last batch that wrote it."""
@@ -85,7 +92,7 @@ class IncidentStore:
 
     def incident_dates(self) -> DataFrame:
         """The dates written together with each incident's current row."""
-        current = self._current_incidents().select("raw_text_hash", "batch_id")
+        current = self._current_incidents(())
         dates = self.committed("incident_dates")
         return dates.join(current, ["raw_text_hash", "batch_id"], "left_semi").drop("batch_id")
 

@@ -92,13 +92,12 @@ def write_facts(facts: DataFrame, path: str) -> None:
     facts.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
 
 
-def write_marts(marts: Mapping[str, DataFrame], root: str) -> None:
-    """Full rebuild of the marts as tables under ``root``."""
-    for name, df in marts.items():
-        if name == "fct_incidents":
-            write_facts(df, f"{root}/{name}")
-        else:
-            df.write.mode("overwrite").parquet(f"{root}/{name}")
+def write_mart(df: DataFrame, root: str, name: str) -> None:
+    """Full rebuild of one mart under ``root``."""
+    if name == "fct_incidents":
+        write_facts(df, f"{root}/{name}")
+    else:
+        df.write.mode("overwrite").parquet(f"{root}/{name}")
 
 
 def save_marts(marts: Mapping[str, DataFrame], database: str = "analytics") -> None:

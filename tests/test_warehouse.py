@@ -9,6 +9,7 @@ from blotterflow import schemas as S
 from blotterflow.operators import quality as Q
 from blotterflow.operators.calendar import with_periods
 from blotterflow.plans import warehouse as M
+from blotterflow.plans.build import build_marts
 from blotterflow.sources.tables import read_calendar
 
 AT = datetime(2026, 6, 23)
@@ -100,6 +101,14 @@ def test_overlapping_and_inverted_periods(spark):
     assert not any(r.is_break for r in got)
 
 
+def test_built_marts_equal_their_plans(spark, store, tables, tmp_path):
+    built = build_marts(spark, M.stg_incidents(store["incidents"]), read_calendar(spark), str(tmp_path))
+    assert set(built) == {"dim_date", "dim_location", "dim_incident_type", "fct_incidents", "mart_daily_summary"}
+    for name, df in built.items():
+        assert df.columns == tables[name].columns
+        assert sorted(map(str, df.collect())) == sorted(map(str, tables[name].collect()))
+
+
 def test_all_declared_checks_pass(tables):
     results = Q.run_suite(M.model_checks(tables)).collect()
     assert len(results) == 27 and sum(r.failures for r in results) == 0
