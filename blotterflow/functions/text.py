@@ -47,7 +47,7 @@ def incident_hash(url: Column, incident_type: Column, text: Column) -> Column:
 
 def clean_type(c: Column) -> Column:
     """T1, then all trailing colons off."""
-    return F.regexp_replace(collapse_ws(c), ":+$", "")
+    return F.rtrim(collapse_ws(c), F.lit(":"))
 
 
 def split_lines(c: Column) -> Column:

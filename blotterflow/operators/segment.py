@@ -23,7 +23,6 @@ from blotterflow.functions.text import (
 )
 
 INCIDENTS_TYPE = "array<struct<incident_type:string,incident_text:string>>"
-BLANK_ENDS = r"\A\n+|\n+\z"
 # A heading, one further line whatever it is, then lines that are no headings.
 # Each line carries its tag (H or T) in front. The last group is possessive:
 # Java runs it as a loop, so a long incident cannot exhaust the stack.
@@ -47,7 +46,7 @@ def with_clean_lines(
     return (
         df.withColumn("_all", F.transform(split_lines(F.col(text_col)), collapse_ws))
         .withColumn("_mark", marked)
-        .withColumn("_kept", F.regexp_replace(kept, BLANK_ENDS, ""))
+        .withColumn("_kept", F.btrim(kept, F.lit("\n")))
         .withColumn(
             out,
             F.when(F.col("_kept") == "", F.array().cast("array<string>")).otherwise(
@@ -60,7 +59,7 @@ def with_clean_lines(
 
 def nonempty_blocks(lines: Column) -> Column:
     """G1: runs of non-blank lines, each an array of lines."""
-    text = F.regexp_replace(F.array_join(lines, "\n"), BLANK_ENDS, "")
+    text = F.btrim(F.array_join(lines, "\n"), F.lit("\n"))
     blocks = F.filter(F.split(text, r"\n\n+"), lambda b: b != "")
     return F.transform(blocks, lambda b: F.split(b, "\n"))
 

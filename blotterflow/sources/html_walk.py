@@ -9,6 +9,7 @@ none; unclosed tags end with the page.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from html.entities import html5
 from html.parser import HTMLParser
 
@@ -121,6 +122,9 @@ class PageWalk(HTMLParser):
             self._flush()
         self._other()
 
+    def updatepos(self, i, j):
+        return j  # line numbers are not used
+
     # ---- token list -------------------------------------------------------
     def _other(self):
         self._flush()
@@ -230,6 +234,8 @@ def containers(walk: PageWalk, selectors, marked_tags, marker: re.Pattern) -> li
     for node in walk.elements if marks else ():
         if node.name in marked_tags:
             start, end = walk.text_span(node)
-            if any(start <= a and b <= end for a, b in marks):
+            # the first mark in reach is also the first to end
+            first = bisect_left(marks, (start, 0))
+            if first < len(marks) and marks[first][1] <= end:
                 found.setdefault(id(node), node)
     return list(found.values())

@@ -75,6 +75,13 @@ def test_a_long_incident_does_not_overflow(spark):
     assert len(found) == 1 and found[0].incident_text.endswith("item 199999.")
 
 
+def test_long_runs_cost_linear_time(spark):
+    text = "Theft\nA bike.\n" + "\n" * 300_000 + ":" * 300_000 + "x\nMore.\n" + "!" * 300_000 + "x\n" + " " * 300_000
+    df = spark.createDataFrame([(text,)], "text string")
+    found = G.segment_lines(G.with_clean_lines(df, "text")).first().incidents
+    assert [i.incident_type for i in found] == ["Theft"]
+
+
 def test_two_headings_make_one_incident(spark):
     df = spark.createDataFrame([(["Theft", "Lost Item", "It was found."],)], "lines array<string>")
     got = G.with_flat_incidents(df).first().flat
