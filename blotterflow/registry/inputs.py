@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import replace
 
@@ -191,23 +192,39 @@ def checked_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     return {**store, **M.staging(store), **star(spark, sf), "academic_calendar": calendar(spark)}
 
 
-def outlier_days(spark: SparkSession, sf: str, threshold: int) -> DataFrame:
+_thresholds: dict[tuple[str, str], int] = {}
+
+
+def outlier_threshold(spark: SparkSession, sf: str) -> int:
+    """A threshold that grows with the table: the mean day plus 2.4 deviations.
+
+    Read from the daily summary, which has one row per day at any scale.
+    """
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _thresholds:
+        mean = star(spark, sf)["mart_daily_summary"].agg(F.avg("total_incidents")).first()[0] or 0.0
+        _thresholds[key] = math.floor(mean + 2.4 * math.sqrt(mean))
+    return _thresholds[key]
+
+
+def outlier_days(spark: SparkSession, sf: str) -> DataFrame:
     detail = V.incident_detail(star(spark, sf), ["date"])
+    threshold = outlier_threshold(spark, sf)
     return V.outlier_days(detail, replace(DEFAULT, outlier_day_threshold=threshold))
 
 
 def usual_detail(
-    spark: SparkSession, sf: str, threshold: int, columns: Sequence[str] = V.DETAIL_COLUMNS
+    spark: SparkSession, sf: str, columns: Sequence[str] = V.DETAIL_COLUMNS
 ) -> DataFrame:
     """V3: incident detail without outlier days."""
     detail = V.incident_detail(star(spark, sf), columns)
-    return V.exclude_days(detail, outlier_days(spark, sf, threshold), "date")
+    return V.exclude_days(detail, outlier_days(spark, sf), "date")
 
 
-def usual_spine(spark: SparkSession, sf: str, threshold: int) -> DataFrame:
+def usual_spine(spark: SparkSession, sf: str) -> DataFrame:
     """V3: the spine without outlier days."""
     spine = star(spark, sf)["mart_daily_summary"].select("date_day", "semester", *V.FLAGS)
-    return V.exclude_days(spine, outlier_days(spark, sf, threshold), "date_day")
+    return V.exclude_days(spine, outlier_days(spark, sf), "date_day")
 
 
 def report_texts(spark: SparkSession, sf: str) -> DataFrame:

@@ -658,7 +658,10 @@ detail AS (
   FROM stg f JOIN dim_location l USING (location_zone) LEFT JOIN dim_type t USING (incident_type)
        LEFT JOIN dim_date d ON d.date_day = f.occurred_date),
 spine AS (SELECT date_day, semester, is_finals, is_break, is_game_day, is_weekend FROM daily),
-outliers AS (SELECT date, count(*) AS incidents FROM detail WHERE date IS NOT NULL GROUP BY 1 HAVING count(*) > 12),
+busy AS (SELECT floor(m + 2.4 * sqrt(m)) AS threshold FROM (SELECT avg(total_incidents) AS m FROM daily)),
+outliers AS (
+  SELECT date, count(*) AS incidents FROM detail WHERE date IS NOT NULL GROUP BY 1
+  HAVING count(*) > (SELECT threshold FROM busy)),
 usual AS (SELECT * FROM detail WHERE date IS NULL OR date NOT IN (SELECT date FROM outliers)),
 usual_days AS (SELECT * FROM spine WHERE date_day NOT IN (SELECT date FROM outliers)),
 chosen AS (

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +29,6 @@ from blotterflow.streaming.catchup import run_available
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-OUTLIER_THRESHOLD = 12
 START, END = date(1996, 3, 1), date(1998, 6, 30)
 SEMESTERS = ("Winter Semester 1996", "Fall Semester 1996", "Winter Semester 1997", "Fall Semester 1997")
 ZONES = ("Academic Core", "Stadium / Athletics", "Helaman Halls", "Unknown")
@@ -481,11 +479,11 @@ def check_suite_failures(spark, sf):
 
 # ---- reports -------------------------------------------------------------------------------
 def _detail(spark, sf, *columns):
-    return src.usual_detail(spark, sf, OUTLIER_THRESHOLD, columns or V.DETAIL_COLUMNS)
+    return src.usual_detail(spark, sf, columns or V.DETAIL_COLUMNS)
 
 
 def _spine(spark, sf):
-    return src.usual_spine(spark, sf, OUTLIER_THRESHOLD)
+    return src.usual_spine(spark, sf)
 
 
 def _filtered(spark, sf, *columns, search=""):
@@ -512,7 +510,7 @@ def spine(spark, sf):
 
 @query
 def outlier_days(spark, sf):
-    return src.outlier_days(spark, sf, OUTLIER_THRESHOLD)
+    return src.outlier_days(spark, sf)
 
 
 @query
