@@ -8,21 +8,73 @@ ORACLES["op1_substring_dedup"] = r"""
 WITH texts AS MATERIALIZED (
     SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
 ), placed AS MATERIALIZED (
-    SELECT doc_id, words, unnest(generate_series(1, len(words))) AS place FROM texts
+    SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM texts
 ), windows AS MATERIALIZED (
-    SELECT doc_id, place, array_to_string(list_slice(words, place, place + 19), ' ') AS run
-    FROM placed WHERE place + 19 <= len(words)
+    SELECT doc_id, place,
+           string_agg(word, ' ') OVER w AS run, count(*) OVER w AS n
+    FROM placed
+    WINDOW w AS (PARTITION BY doc_id ORDER BY place ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)
 ), ranked AS MATERIALIZED (
-    SELECT doc_id, place, row_number() OVER (PARTITION BY run ORDER BY doc_id, place) AS nth FROM windows
-), gone AS MATERIALIZED (
-    SELECT DISTINCT doc_id, place + step AS place
-    FROM ranked, (SELECT unnest(generate_series(0, 19)) AS step) WHERE nth > 1
+    SELECT doc_id, place, row_number() OVER (PARTITION BY run ORDER BY doc_id, place) > 1 AS again
+    FROM windows WHERE n = 20
+), covered AS (
+    SELECT doc_id, p.place, word,
+           coalesce(bool_or(again) OVER (
+               PARTITION BY doc_id ORDER BY p.place ROWS BETWEEN 19 PRECEDING AND CURRENT ROW
+           ), false) AS gone
+    FROM placed p LEFT JOIN ranked USING (doc_id, place)
 ), kept AS (
-    SELECT p.doc_id, count(*) AS n_kept, string_agg(p.words[p.place], ' ' ORDER BY p.place) AS kept
-    FROM placed p ANTI JOIN gone g ON p.doc_id = g.doc_id AND p.place = g.place GROUP BY p.doc_id
+    SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY place) AS kept
+    FROM covered WHERE NOT gone GROUP BY doc_id
 )
 SELECT t.doc_id, len(t.words)::BIGINT AS n_words,
        (len(t.words) - coalesce(k.n_kept, 0))::BIGINT AS n_removed,
        sha256(coalesce(k.kept, '')) AS kept_sha256
 FROM texts t LEFT JOIN kept k USING (doc_id)
 """
+
+ORACLES["op3_decontaminate"] = r"""
+WITH texts AS MATERIALIZED (
+    SELECT doc_id,
+           regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'
+           ) AS words
+    FROM documents
+), items AS MATERIALIZED (
+    SELECT item_id,
+           regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'
+           ) AS words
+    FROM benchmark
+), windows AS MATERIALIZED (
+    SELECT DISTINCT item_id, size, array_to_string(list_slice(words, spot, spot + size - 1), ' ') AS run
+    FROM (
+        SELECT item_id, words, least(13, len(words)) AS size,
+               unnest(generate_series(1, len(words) - least(13, len(words)) + 1)) AS spot
+        FROM items WHERE len(words) > 0
+    )
+), placed AS MATERIALIZED (
+    SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM texts
+), runs AS MATERIALIZED (
+    SELECT doc_id, place, string_agg(word, ' ') OVER w AS run
+    FROM placed
+    WINDOW w AS (PARTITION BY doc_id ORDER BY place ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)
+), found AS MATERIALIZED (
+    SELECT doc_id, place, item_id, size FROM runs JOIN windows USING (run) WHERE size = 13
+    UNION ALL
+    SELECT doc_id, place, item_id, size FROM runs JOIN windows w
+    ON w.size < 13 AND starts_with(runs.run || ' ', w.run || ' ')
+), hits AS (
+    SELECT doc_id, count(DISTINCT place + step) AS n_hit
+    FROM (SELECT doc_id, place, unnest(generate_series(0, size - 1)) AS step FROM found) GROUP BY doc_id
+), named AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS name FROM found) GROUP BY doc_id
+)
+SELECT t.doc_id, len(t.words)::BIGINT AS n_words, coalesce(h.n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n.n_items, 0)::BIGINT AS n_items, sha256(coalesce(n.names, '')) AS items_sha256,
+       coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= len(t.words) AS contaminated
+FROM texts t LEFT JOIN hits h USING (doc_id) LEFT JOIN named n USING (doc_id)
+"""

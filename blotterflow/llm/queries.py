@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotterflow.llm import simhash_dedup, substring_dedup
+import public_tokenizers
+
+from blotterflow.llm import decontaminate, sentencepiece_codec, simhash_dedup, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,3 +34,29 @@ def op1_substring_dedup(spark, sf):
 @query
 def op5_simhash_dedup(spark, sf):
     return simhash_dedup.near_duplicates(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+@query
+def op3_decontaminate(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    out = decontaminate.contamination(docs, table(spark, sf, "benchmark"))
+    return out.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+@query
+def op10_sentencepiece(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    out = sentencepiece_codec.encode_decode(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return out.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )

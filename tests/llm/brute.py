@@ -57,3 +57,26 @@ def components(prints, limit=4):
                 x, y = sorted((find(i), find(j)))
                 root[y] = x
     return {i: find(i) for i, _ in prints}
+
+
+ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def contamination(rows, items, window=13):
+    """rows: (doc_id, text); items: (item_id, text). doc_id -> (n_words, n_hit, items, contaminated)."""
+    windows = {}
+    for name, text in items:
+        w = ALNUM.findall(fold(text or ""))
+        size = min(window, len(w))
+        for at in range(len(w) - size + 1 if w else 0):
+            windows.setdefault(tuple(w[at : at + size]), set()).add(name)
+    sizes, out = {len(w) for w in windows}, {}
+    for i, text in rows:
+        w, hit, names = ALNUM.findall(fold(text or "")), set(), set()
+        for size in sizes:
+            for at in range(len(w) - size + 1):
+                if (run := tuple(w[at : at + size])) in windows:
+                    hit.update(range(at, at + size))
+                    names |= {str(n) for n in windows[run] if n is not None}
+        out[i] = (len(w), len(hit), sorted(names), bool(hit) and 20 * len(hit) >= len(w))
+    return out
