@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from blotterflow.llm import decontaminate, sentencepiece_codec, simhash_dedup, substring_dedup
+from blotterflow.llm import decontaminate, language_id, sentencepiece_codec, simhash_dedup, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -60,3 +60,10 @@ def op10_sentencepiece(spark, sf):
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op2_language_id(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    out = language_id.identify(docs)
+    return out.select("doc_id", language_id.held_out("doc_id").alias("held_out"), "lang_pred", "score", "similarity", "rejected")
