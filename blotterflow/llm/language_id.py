@@ -37,7 +37,7 @@ BUCKETS = 1 << 13
 GRAMS = (2, 3)
 #: At most so many texts of a language make its centroids.
 SAMPLE = 600
-CENTROIDS, ROUNDS = 4, 10
+CENTROIDS, ROUNDS, LEAST = 4, 10, 0.02
 REACH, SHARPNESS = 0.3, 0.05
 #: A text of fewer n-grams than this is expected to lie further off, by the square root.
 FULL = 200
@@ -162,6 +162,8 @@ def _cluster(idf: np.ndarray):
         if not len(v):
             return pd.DataFrame({"lang": [], "centroid": [], "floor": []})
         at = spherical_means(v, CENTROIDS, ROUNDS)
+        members = np.bincount((v @ at.T).argmax(axis=1), minlength=len(at))
+        at = at[members >= min(members.max(), LEAST * len(v))]  # a few odd texts are no part of a language
         floor = REACH * float(np.quantile((v @ at.T).max(axis=1), 0.05))
         return pd.DataFrame({"lang": rows["lang"].iloc[0], "centroid": [c.astype(np.float32).tobytes() for c in at], "floor": floor})
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from blotterflow.llm import decontaminate, language_id, sentencepiece_codec, simhash_dedup, substring_dedup
+from blotterflow.llm import decontaminate, language_id, quality_rules, sentencepiece_codec, simhash_dedup, substring_dedup, toxicity
+from blotterflow.llm.batches import without
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -67,3 +68,18 @@ def op2_language_id(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
     out = language_id.identify(docs)
     return out.select("doc_id", language_id.held_out("doc_id").alias("held_out"), "lang_pred", "score", "similarity", "rejected")
+
+
+@query
+def op4_quality_rules(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    trusted = table(spark, sf, "labels").where("quality = 1").select("doc_id")
+    return without(quality_rules.quality(docs, trusted), "text")
+
+
+@query
+def op9_toxicity(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf, "labels"))
+    out = toxicity.score(docs, model)
+    return out.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted")
