@@ -1,6 +1,7 @@
 """Toxicity: a linear classifier regularised by counterfactuals.
 
-A text is the set of its words; the classifier adds up word weights. In a labelled
+A text is the set of its words and of their beginnings of 4 to 6 bytes, as insults have
+many endings; the classifier adds up the weights of the set. In a labelled
 sentence that names a group, the group's term is swapped for every other term of its
 kind, and the squared change of the logit is a penalty (``PAIR``): the weights of
 groups are drawn together, and the words around them have to explain the label. An L1
@@ -32,11 +33,11 @@ from pyspark.sql.types import DoubleType, IntegerType, StructField
 from blotterflow.llm.batches import append_columns, pieces
 from blotterflow.llm.language_id import held_out
 from blotterflow.llm.tables import stored
-from blotterflow.llm.words import ALNUM, FOLD, split_words
+from blotterflow.llm.words import ALNUM, FOLD, Runs, mix, split_words
 
 #: At most so many texts of each label, and so many words, are learned from.
 SAMPLE, VOCABULARY, LEAST = 4_000, 1 << 16, 4
-ROUNDS, RATE, SPARSE, PAIR = 400, 0.3, 2e-3, 0.5
+ROUNDS, RATE, SPARSE, PAIR = 400, 0.3, 5e-4, 0.5
 THRESHOLD = 0.7
 
 #: Kinds of terms that name groups of people; terms of one kind stand for each other.
@@ -53,8 +54,25 @@ TEXT = "_llm_text"
 FIELDS = [StructField("score", DoubleType()), StructField("predicted", IntegerType())]
 
 
-def word_hash(word: str) -> int:
-    return int(split_words(pa.array([word]), ALNUM, FOLD).hashes()[0])
+BEGINNINGS = (4, 5, 6)
+
+
+def features(column: pa.Array):
+    """Hash and text number of every word and word beginning, and the number of texts."""
+    words = split_words(column, ALNUM, FOLD)
+    size, text = words.end - words.start, words.text_of()
+    runs = Runs(words.data.astype(np.uint64) + np.uint64(1))
+    hashes, rows = [runs.of(words.start, words.end)], [text]
+    for n in BEGINNINGS:
+        long = size >= n
+        hashes.append(mix(runs.of(words.start[long], words.start[long] + n) + np.uint64(n)))
+        rows.append(text[long])
+    return np.concatenate(hashes), np.concatenate(rows), len(column)
+
+
+def term_features(term: str) -> list[int]:
+    """The hashes of one word and of its beginnings."""
+    return features(pa.array([term]))[0].tolist()
 
 
 @dataclass
@@ -63,35 +81,40 @@ class Linear:
     weights: np.ndarray
     bias: float
 
-    def scores(self, words) -> np.ndarray:
-        n, hashes, text = len(words.counts), words.hashes(), words.text_of()
-        at = np.minimum(np.searchsorted(self.words, hashes), max(len(self.words) - 1, 0))
-        known = self.words[at] == hashes if len(self.words) else np.zeros(len(hashes), bool)
-        pair = np.unique(text[known] * max(len(self.words), 1) + at[known])
-        row, word = np.divmod(pair, max(len(self.words), 1))
-        logit = self.bias + np.bincount(row, self.weights[word], minlength=n)
+    def scores(self, column: pa.Array) -> np.ndarray:
+        hashes, text, n = features(column)
+        if len(self.words):
+            at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
+            known = self.words[at] == hashes
+            text, word = np.divmod(np.unique(text[known] * len(self.words) + at[known]), len(self.words))
+            logit = self.bias + np.bincount(text, self.weights[word], minlength=n)
+        else:
+            logit = np.full(n, self.bias)
         return 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
 
 
 def _word_sets(batches):
     for batch in batches:
         for piece in pieces(batch, TEXT):
-            words = split_words(piece.column(TEXT), ALNUM, FOLD)
-            hashes, first = words.hashes().view(np.int64), words.first
-            sets = [np.unique(hashes[a:b]) for a, b in zip(first, first[1:])]
-            places = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-            flat = np.concatenate([np.zeros(0, np.int64), *sets])
+            hashes, text, n = features(piece.column(TEXT))
+            order = np.lexsort((hashes, text))
+            hashes, text = hashes[order].view(np.int64), text[order]
+            new = np.ones(len(text), bool)
+            new[1:] = (text[1:] != text[:-1]) | (hashes[1:] != hashes[:-1])
+            places = np.searchsorted(text[new], np.arange(n + 1)).astype(np.int32)
+            flat = hashes[new]
             yield pa.RecordBatch.from_arrays(
                 [piece.column("label"), pa.ListArray.from_arrays(pa.array(places), pa.array(flat))], names=["label", "words"]
             )
 
 
-def swaps(words: list[int], kinds: Sequence[Sequence[int]]) -> list[list[int]]:
-    """A set of words with each group term swapped for every other of its kind."""
+def swaps(words: list[int], kinds: Sequence[Sequence[Sequence[int]]]) -> list[list[int]]:
+    """A set with each group term (a word, then its beginnings) swapped for every other of its kind."""
     own, out = set(words), []
     for kind in kinds:
-        for term in own.intersection(kind):
-            out += [sorted(own - {term} | {other}) for other in kind if other != term]
+        for term in kind:
+            if term[0] in own:
+                out += [sorted(own.difference(term).union(other)) for other in kind if other is not term]
     return out
 
 
@@ -113,7 +136,7 @@ class Rows:
 def train(sets: list, labels: np.ndarray, vocabulary: list[int], identities=IDENTITIES, pair: float = PAIR):
     """Weights of the vocabulary's words, and the bias; both labels weigh the same in all."""
     number = {h: i for i, h in enumerate(vocabulary)}
-    kinds = [[number[h] for t in kind if (h := word_hash(t)) in number] for kind in identities]
+    kinds = [[[number[h] for h in term_features(t)] for t in kind] for kind in identities]
     given = Rows(sets, len(vocabulary))
     original, swapped = [], []
     for s in sets:
@@ -166,7 +189,7 @@ def fit(
     often = sets.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     often = often.where(F.col("n") >= LEAST).orderBy(F.desc("n"), "word").limit(VOCABULARY)
     # group terms always have a weight, for a swap may bring in one that no text has
-    terms = [word_hash(t) for kind in identities for t in kind]
+    terms = [h for kind in identities for t in kind for h in term_features(t)]
     known_words = np.array(terms, np.uint64).view(np.int64)
     vocabulary = np.union1d(np.array([r.word for r in often.collect()], np.int64), known_words)
     sent = spark.sparkContext.broadcast(vocabulary)
@@ -207,7 +230,7 @@ def score(docs: DataFrame, model: Linear | None, text_col: str = "text") -> Data
             if model is None:
                 scores = np.zeros(piece.num_rows)
             else:
-                scores = model.scores(split_words(piece.column(TEXT), ALNUM, FOLD))
+                scores = model.scores(piece.column(TEXT))
             return pa.array(scores), pa.array((scores >= THRESHOLD).astype(np.int32))
 
         return work
