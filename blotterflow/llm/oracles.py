@@ -78,3 +78,20 @@ SELECT t.doc_id, len(t.words)::BIGINT AS n_words, coalesce(h.n_hit, 0)::BIGINT A
        coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= len(t.words) AS contaminated
 FROM texts t LEFT JOIN hits h USING (doc_id) LEFT JOIN named n USING (doc_id)
 """
+
+ORACLES["op8_warc"] = """
+WITH payloads AS MATERIALIZED (
+    SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS hex
+    FROM pages
+), firsts AS (
+    SELECT hex, min(page_id) AS first FROM payloads GROUP BY hex
+)
+SELECT page_id, payload_bytes,
+       list_aggregate(list_transform(generate_series(0, 31), lambda i: substr(
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           ((('0x' || substr(hex, 5 * (i // 4)::INT + 1, 5))::BIGINT >> (15 - 5 * (i % 4))::INT) & 31)::INT + 1, 1
+       )), 'string_agg', '') AS payload_digest,
+       CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first < page_id THEN first END AS refers_to
+FROM payloads JOIN firsts USING (hex)
+"""

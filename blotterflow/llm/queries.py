@@ -4,12 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import public_tokenizers
-
-from blotterflow.llm import decontaminate, language_id, quality_rules, sentencepiece_codec, simhash_dedup, substring_dedup, toxicity
+from blotterflow.llm import (
+    chat_format,
+    decontaminate,
+    language_id,
+    quality_rules,
+    sentencepiece_codec,
+    simhash_dedup,
+    substring_dedup,
+    toxicity,
+    url_filter,
+    warc,
+)
 from blotterflow.llm.batches import without
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,3 +93,26 @@ def op9_toxicity(spark, sf):
     model = toxicity.fit(docs, table(spark, sf, "labels"))
     out = toxicity.score(docs, model)
     return out.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
+@query
+def op6_url_filter(spark, sf):
+    return url_filter.judge_urls(table(spark, sf, "pages").select("page_id", "url")).drop("url")
+
+
+@query
+def op7_chat_format(spark, sf):
+    return chat_format.rotate_perspectives(table(spark, sf, "conversations"))
+
+
+@query
+def op8_warc(spark, sf):
+    records = warc.round_trip(table(spark, sf, "pages").select("page_id", "url", "html"))
+    page = F.regexp_extract("record_id", f"^{warc.PREFIX}(-?[0-9]+)$", 1).cast("long")
+    return records.select(
+        page.alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.regexp_extract("refers_to", f"^{warc.PREFIX}(-?[0-9]+)$", 1).cast("long").alias("refers_to"),
+    )
