@@ -32,7 +32,7 @@ from blotterflow.llm.words import NOT_BLANK, Runs, byte_class, covered, mix, spl
 BUCKETS = 10_000
 #: At most so many trusted texts make the trusted model.
 TRUSTED = 20_000
-STRAY, MARGIN = 0.005, 0.1
+STRAY, MARGIN, PRIOR = 0.005, 0.1, 2.0
 REPEAT = 5
 MIN_WORDS, MAX_REPEATED_PERCENT = 10, 20
 SYMBOL = byte_class(*[(ord(c), ord(c)) for c in "#*$%&|<>"])
@@ -140,8 +140,9 @@ def fit(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: s
         total[:, r.bucket] = r.corpus, r.trusted
     if not total[1].any():
         return None
-    share = (total + 1) / (total.sum(axis=1, keepdims=True) + BUCKETS)
-    ratio = Ratio(np.log(share[1] / share[0]), 0.0)
+    # trusted counts against those the corpus lets expect; where few are, both are drawn together
+    expected = total[0] * (total[1].sum() / total[0].sum())
+    ratio = Ratio(np.log((total[1] + PRIOR) / (expected + PRIOR)), 0.0)
     sent = spark.sparkContext.broadcast(ratio)
 
     def score(batches):
