@@ -38,6 +38,8 @@ GRAMS = (2, 3)
 #: At most so many texts of a language make its centroids.
 SAMPLE = 600
 CENTROIDS, ROUNDS, LEAST = 4, 10, 0.02
+#: A table of at most so many languages is sent to executors.
+LANGUAGES = 10_000
 REACH, SHARPNESS = 0.3, 0.05
 #: A text of fewer n-grams than this is expected to lie further off, by the square root.
 FULL = 200
@@ -183,6 +185,9 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
     idf = (np.log((1 + n) / (1 + seen)) + 1).astype(np.float32)
 
     share = known.groupBy("lang").agg(F.least(F.lit(1.0), 2.0 * SAMPLE / F.count("*")).alias("share"))
+    few = share.limit(LANGUAGES + 1).collect()
+    if len(few) <= LANGUAGES:  # else the texts have to be dealt by language
+        share = F.broadcast(known.sparkSession.createDataFrame(few, share.schema))
     hashed = known.withColumn("hash", F.xxhash64(TEXT))
     picked = hashed.join(share, "lang").where(F.pmod("hash", F.lit(1 << 20)) < F.col("share") * (1 << 20))
     sample = picked.select("lang", "hash", TEXT).dropDuplicates(["lang", "hash"])
