@@ -14,9 +14,8 @@ from blotterflow.functions.text import fold_text
 
 Model = Callable[[pd.Series], pd.Series]
 
-# a run cap up to this many keys is broadcast; a larger one is shuffled
-BROADCAST_KEYS = 500_000
 LOOKUP_TYPE = "struct<zone:string,source:string,reasoning:string>"
+# fixed values: the four reasons
 NO_MODEL_REASON = "no explicit location in text"
 NO_PLACE_REASON = "model found no explicit location"
 KEPT_REASON = "model matched an explicit place"
@@ -158,8 +157,6 @@ def classify_pending(
         marked = raw.withColumn("_pending", pending)
     else:
         chosen = pending_keys(raw, pending, limit, key).withColumn("_pending", F.lit(True))
-        if limit <= BROADCAST_KEYS:
-            chosen = F.broadcast(chosen)
         marked = raw.join(chosen, key, "left")
     done = classify(marked, cfg=cfg, model=model, only=F.col("_pending"))
     fields = {
@@ -178,7 +175,10 @@ def classify_pending(
 
 
 def pending_keys(raw: DataFrame, pending: Column, limit: int, key: str = "raw_text_hash") -> DataFrame:
-    """The first ``limit`` pending keys, in key order so that runs repeat."""
+    """The first ``limit`` pending keys, in key order so that runs repeat.
+
+    The keys pass through one task: a cap is meant for runs of some thousand.
+    """
     return raw.filter(pending).select(key).distinct().orderBy(key).limit(limit)
 
 

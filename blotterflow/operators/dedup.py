@@ -46,22 +46,31 @@ def known_keys(landed: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
 def new_rows(
     landed: DataFrame, incoming: DataFrame, key: str, order: Sequence[Column | str]
 ) -> DataFrame:
-    """First copy of each incoming key that has not landed yet."""
+    """First copy of each incoming key that has not landed yet.
+
+    Rows without a key are rejected: they cannot be told apart. ``insert_counts``
+    counts them.
+    """
+    incoming = incoming.filter(F.col(key).isNotNull())
     known = known_keys(landed, incoming, key)
     return first_seen(incoming, [key], order).join(known, key, "left_anti")
 
 
 def insert_counts(landed: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
-    """One row of (inserted, skipped); in-batch copies count as skipped.
+    """One row of (inserted, skipped, rejected); in-batch copies count as skipped.
 
-    Copies are counted per key first, so the join moves distinct keys only.
+    Rows without a key are rejected. Copies are counted per key first, so the join
+    moves distinct keys only.
     """
     copies = incoming.groupBy(key).agg(F.count(F.lit(1)).alias("copies"))
     known = known_keys(landed, incoming, key).distinct().withColumn("known", F.lit(True))
-    inserted = F.count(F.when(F.col("known").isNull(), 1))
+    keyed = F.col(key).isNotNull()
+    inserted = F.count(F.when(F.col("known").isNull() & keyed, 1))
+    zero = F.lit(0).cast("bigint")
     return copies.join(known, key, "left").agg(
         inserted.alias("inserted"),
-        (F.coalesce(F.sum("copies"), F.lit(0)) - inserted).alias("skipped"),
+        (F.coalesce(F.sum(F.when(keyed, F.col("copies"))), zero) - inserted).alias("skipped"),
+        F.coalesce(F.sum(F.when(~keyed, F.col("copies"))), zero).alias("rejected"),
     )
 
 

@@ -63,8 +63,11 @@ def half_even(c: Column, digits: int = 2) -> Column:
 
 
 def newest_first(detail: DataFrame, *keys: str) -> DataFrame:
-    """O2: newest first, undated last; the remaining columns settle ties."""
-    rest = keys or tuple(c for c in ("zone", "category", "type", "narrative") if c in detail.columns)
+    """O2: newest first, undated last; short columns settle ties.
+
+    The narrative is no sort key: keys are sampled and compared, and it is the widest column.
+    """
+    rest = keys or tuple(c for c in ("zone", "category", "type") if c in detail.columns)
     return detail.orderBy(F.desc_nulls_last("date"), *rest)
 
 
@@ -73,14 +76,13 @@ def date_spine(daily: DataFrame) -> DataFrame:
     return daily.select("date_day", "semester", *FLAGS).orderBy("date_day")
 
 
-def outlier_days(detail: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
-    """A4: days with more incidents than the threshold."""
-    return (
-        detail.filter(F.col("date").isNotNull())
-        .groupBy("date")
-        .agg(F.count(F.lit(1)).alias("incidents"))
-        .filter(F.col("incidents") > cfg.outlier_day_threshold)
-    )
+def outlier_days(daily: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
+    """A4: days with more incidents than the threshold, from the daily summary.
+
+    The summary counts a day's incidents already, one row per day.
+    """
+    days = daily.select(F.col("date_day").alias("date"), F.col("total_incidents").alias("incidents"))
+    return days.filter(F.col("incidents") > cfg.outlier_day_threshold)
 
 
 def exclude_days(frame: DataFrame, days: DataFrame, column: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import math
+import hashlib
 from collections.abc import Sequence
 from dataclasses import replace
 
@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotterflow.config import DEFAULT
+from blotterflow.functions.text import incident_hash
 from blotterflow.operators.classify import classify_pending
 from blotterflow.operators.dedup import last_seen
 from blotterflow.operators.normalize import (
@@ -27,10 +28,14 @@ from blotterflow.plans.ingest import as_raw_document, with_title_dates
 from blotterflow.registry import samples
 from blotterflow.schemas import RAW_INCIDENTS
 from blotterflow.session import shared_dir
-from blotterflow.sources.tables import MARTS, STORE_TABLES, read_tables, spread
+from blotterflow.sources.tables import MARTS, STORE_TABLES, read_tables
 
 # the years the given orders fall in
 FIRST_YEAR, LAST_YEAR = 1995, 2001
+# more orders make more years, not fuller days: so many fill the given years
+ORDERS_PER_ERA, YEARS_PER_ERA = 15_000, 7
+# a day with more incidents is an outlier
+OUTLIER_DAY = 12
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -38,8 +43,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def costly(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
-    """Columns of a table for per-row work that is worth all cores."""
-    return spread(table(spark, sf, name).select(*columns))
+    """Columns of a table for per-row work that is worth all cores.
+
+    The given tables are single files of one row group; larger ones have splits enough.
+    """
+    return table(spark, sf, name).select(*columns).repartition(spark.sparkContext.defaultParallelism)
 
 
 def _pick(values, position: Column) -> Column:
@@ -52,8 +60,9 @@ def _slash(day: Column) -> Column:
 
 def order_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as scraped documents, before dates and hash are worked out."""
+    era = F.floor(F.col("o_orderkey") / ORDERS_PER_ERA).cast("int")
     orders = costly(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderdate").withColumn(
-        "day", F.to_date("o_orderdate")
+        "day", F.add_months(F.to_date("o_orderdate"), era * 12 * YEARS_PER_ERA)
     )
     day, key = F.col("day"), F.col("o_orderkey")
     title = F.concat(
@@ -86,7 +95,7 @@ def raw_documents(spark: SparkSession, sf: str) -> DataFrame:
 def keyed_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Raw documents plus the order key, for splitting into batches."""
     docs = with_title_dates(order_documents(spark, sf), "beat_title")
-    hashed = F.sha2(F.concat_ws("\n", "beat_url", "incident_type", "incident_text"), 256)
+    hashed = incident_hash(F.col("beat_url"), F.col("incident_type"), F.col("incident_text"))
     return docs.withColumn("raw_text_hash", hashed)
 
 
@@ -101,8 +110,8 @@ def written(spark: SparkSession, sf: str, name: str, build) -> str:
     """The folder of a derived table, which ``build(folder)`` writes once per application."""
     app = spark.sparkContext.applicationId
     if (app, sf, name) not in _written:
-        scale = sf.rstrip("/").rsplit("/", 1)[-1]
-        folder = f"{shared_dir(spark)}/{name}-{app}-{scale}"
+        place = hashlib.sha256(sf.encode()).hexdigest()[:16]
+        folder = f"{shared_dir(spark)}/{name}-{app}-{place}"
         build(folder)
         _written[app, sf, name] = folder
     return _written[app, sf, name]
@@ -192,25 +201,8 @@ def checked_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     return {**store, **M.staging(store), **star(spark, sf), "academic_calendar": calendar(spark)}
 
 
-_thresholds: dict[tuple[str, str], int] = {}
-
-
-def outlier_threshold(spark: SparkSession, sf: str) -> int:
-    """A threshold that grows with the table: the mean day plus 2.4 deviations.
-
-    Read from the daily summary, which has one row per day at any scale.
-    """
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _thresholds:
-        mean = star(spark, sf)["mart_daily_summary"].agg(F.avg("total_incidents")).first()[0] or 0.0
-        _thresholds[key] = math.floor(mean + 2.4 * math.sqrt(mean))
-    return _thresholds[key]
-
-
 def outlier_days(spark: SparkSession, sf: str) -> DataFrame:
-    detail = V.incident_detail(star(spark, sf), ["date"])
-    threshold = outlier_threshold(spark, sf)
-    return V.outlier_days(detail, replace(DEFAULT, outlier_day_threshold=threshold))
+    return V.outlier_days(star(spark, sf)["mart_daily_summary"], replace(DEFAULT, outlier_day_threshold=OUTLIER_DAY))
 
 
 def usual_detail(

@@ -53,7 +53,7 @@ def range_of(title: str) -> str:
 # ---- orders as documents -----------------------------------------------------
 DOCS = rf"""
 docs0 AS (
-  SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS day, o_orderdate,
+  SELECT o_orderkey, o_custkey, CAST(CAST(o_orderdate AS DATE) + to_months(CAST(84 * (o_orderkey // 15000) AS INTEGER)) AS DATE) AS day, o_orderdate,
          ({items(samples.TYPES)})[o_custkey % {len(samples.TYPES)} + 1] AS incident_type,
          ({items(samples.TEXTS)})[o_orderkey % {len(samples.TEXTS)} + 1]
            || CASE WHEN o_orderkey % 5 <> 0 THEN ' Case ' || o_orderkey || '.' ELSE '' END AS incident_text
@@ -138,7 +138,7 @@ def flags(source: str, target: str) -> str:
   FROM {source}),
 {target}1 AS (
   SELECT *, {plausible('line')} AND NOT is_marker AND NOT is_title AS is_type FROM {target}0),
-{target} AS (
+{target} AS MATERIALIZED (
   SELECT *, is_type AND NOT regexp_matches(line, '[.?!]$')
          AND lower(regexp_replace(split_part(line, ' ', 1), '[^A-Za-z'']+', '', 'g'))
              NOT IN {in_list(C.NARRATIVE_START_WORDS)} AS is_heading
@@ -153,24 +153,24 @@ def plausible(c: str) -> str:
 
 
 LINES = rf"""
-texts AS (
+texts AS MATERIALIZED (
   SELECT 'd' || doc_id AS key, text FROM documents
   UNION ALL SELECT 'r' || o_orderkey, {REPORT} FROM docs0),
-split0 AS (SELECT key, string_split_regex(text, '{BREAK}') AS parts FROM texts),
-split1 AS (SELECT key, unnest(parts) AS raw, generate_subscripts(parts, 1) - 1 AS line_no FROM split0),
-split AS (SELECT key, CAST(line_no AS INTEGER) AS line_no, {ws('raw')} AS line FROM split1)"""
+split0 AS MATERIALIZED (SELECT key, string_split_regex(text, '{BREAK}') AS parts FROM texts),
+split1 AS MATERIALIZED (SELECT key, unnest(parts) AS raw, generate_subscripts(parts, 1) - 1 AS line_no FROM split0),
+split AS MATERIALIZED (SELECT key, CAST(line_no AS INTEGER) AS line_no, {ws('raw')} AS line FROM split1)"""
 
 # the kept lines of each key, and the incidents of either form
 SEGMENTS = rf"""
 cuts AS (SELECT key, min(line_no) AS cut FROM flagged WHERE is_marker GROUP BY key),
-kept0 AS (
+kept0 AS MATERIALIZED (
   SELECT f.* FROM flagged f LEFT JOIN cuts USING (key)
   WHERE (cut IS NULL OR line_no < cut) AND NOT is_noise),
 ends AS (SELECT key, min(line_no) AS lo, max(line_no) AS hi FROM kept0 WHERE line <> '' GROUP BY key),
-kept AS (
+kept AS MATERIALIZED (
   SELECT k.*, sum(CASE WHEN line = '' THEN 1 ELSE 0 END) OVER (PARTITION BY key ORDER BY line_no) AS gap
   FROM kept0 k JOIN ends USING (key) WHERE line_no BETWEEN lo AND hi),
-in_block AS (
+in_block AS MATERIALIZED (
   SELECT *, row_number() OVER (PARTITION BY key, gap ORDER BY line_no) AS pos
   FROM kept WHERE line <> '' AND NOT is_title),
 block0 AS (
@@ -182,10 +182,10 @@ block1 AS (
   WHERE {plausible('incident_type')} AND incident_text <> ''
     AND NOT regexp_matches(incident_type, '(?i)follow\s+us\s+on\s+facebook')
     AND NOT starts_with(lower(incident_type), 'police beat') AND NOT regexp_matches(incident_type, '{TITLE}')),
-block_form AS (
+block_form AS MATERIALIZED (
   SELECT key, row_number() OVER (PARTITION BY key ORDER BY gap) - 1 AS incident_no, incident_type, incident_text
   FROM block1),
-flat0 AS (
+flat0 AS MATERIALIZED (
   SELECT *, row_number() OVER (PARTITION BY key ORDER BY line_no)
           - row_number() OVER (PARTITION BY key, is_heading ORDER BY line_no) AS run
   FROM kept WHERE line <> '' AND NOT is_title),
@@ -194,11 +194,11 @@ flat1 AS (
   FROM flat0),
 flat2 AS (
   SELECT *, sum(CASE WHEN opens THEN 1 ELSE 0 END) OVER (PARTITION BY key ORDER BY line_no) AS nr FROM flat1),
-flat_form AS (
+flat_form AS MATERIALIZED (
   SELECT key, nr - 1 AS incident_no, {clean_type("max(line) FILTER (WHERE opens)")} AS incident_type,
          {ws("string_agg(line, ' ' ORDER BY line_no) FILTER (WHERE NOT opens)")} AS incident_text
   FROM flat2 WHERE nr > 0 GROUP BY key, nr HAVING count(*) >= 2),
-sizes AS (
+sizes AS MATERIALIZED (
   SELECT key, coalesce(b.n, 0) AS nb, coalesce(f.n, 0) AS nf
   FROM (SELECT key, count(*) AS n FROM block_form GROUP BY key) b
   FULL JOIN (SELECT key, count(*) AS n FROM flat_form GROUP BY key) f USING (key)),
@@ -246,9 +246,9 @@ PAGE_LINES = rf"""
 broken AS (
   SELECT url, regexp_replace(regexp_replace(body, '{_BLOCK_TAG}', chr(10) || chr(10), 'g'),
                              '(?:<[^>]*>)+', chr(10), 'g') AS body FROM articles),
-split0 AS (SELECT url AS key, string_split_regex(body, '{BREAK}') AS parts FROM broken),
-split1 AS (SELECT key, unnest(parts) AS raw, generate_subscripts(parts, 1) - 1 AS line_no FROM split0),
-split AS (SELECT key, CAST(line_no AS INTEGER) AS line_no, {ws(decoded('raw'))} AS line FROM split1)"""
+split0 AS MATERIALIZED (SELECT url AS key, string_split_regex(body, '{BREAK}') AS parts FROM broken),
+split1 AS MATERIALIZED (SELECT key, unnest(parts) AS raw, generate_subscripts(parts, 1) - 1 AS line_no FROM split0),
+split AS MATERIALIZED (SELECT key, CAST(line_no AS INTEGER) AS line_no, {ws(decoded('raw'))} AS line FROM split1)"""
 
 ORACLES["page_lines"] = (
     with_(ARTICLES, PAGE_LINES, flags("split", "flagged"), SEGMENTS)
@@ -454,10 +454,20 @@ ORACLES["norm_pending"] = on_lookup(
     "SELECT beat_url, count(*) AS documents FROM classified WHERE NOT is_multi_date_beat GROUP BY 1"
 )
 ORACLES["norm_limit"] = on_lookup(
-    "SELECT DISTINCT raw_text_hash FROM (SELECT raw_text_hash FROM classified WHERE NOT is_multi_date_beat "
-    "ORDER BY 1 LIMIT 100)"
+    "SELECT raw_text_hash, is_multi_date_beat OR raw_text_hash IN (SELECT DISTINCT raw_text_hash FROM classified "
+    "WHERE NOT is_multi_date_beat ORDER BY 1 LIMIT 200) AS normalized, count(*) AS documents FROM classified GROUP BY 1, 2"
+)
+ORACLES["norm_snapshot"] = on_lookup(
+    "SELECT table_name, key, row, count(*) AS rows FROM ("
+    "SELECT 'beats' AS table_name, beat_url AS key, beat_title || '|' || coalesce(nullif(beat_published_at, ''), '-') "
+    f"|| '|' || date_range_raw AS row FROM (SELECT * FROM docs QUALIFY {_LAST_BEAT}) "
+    "UNION ALL SELECT 'incidents', raw_text_hash, location_zone || '|' || coalesce(CAST(earliest_date AS VARCHAR), '-') "
+    "|| '|' || coalesce(CAST(latest_date AS VARCHAR), '-') "
+    f"FROM (SELECT {_INCIDENT_COLUMNS} FROM classified QUALIFY {_LAST_DOC}) "
+    "UNION ALL SELECT 'incident_dates', raw_text_hash, CAST(unnest(incident_dates) AS VARCHAR) "
+    f"FROM (SELECT * FROM classified QUALIFY {_LAST_DOC}) "
+    "UNION ALL SELECT 'raw_incidents', raw_text_hash, 'true' FROM classified) GROUP BY 1, 2, 3"
 )
-ORACLES["norm_snapshot"] = on_lookup(f"SELECT {_INCIDENT_COLUMNS} FROM classified QUALIFY {_LAST_DOC}")
 ORACLES["norm_beats"] = on_docs(f"SELECT {_BEAT_COLUMNS} FROM docs")
 ORACLES["norm_incidents"] = on_lookup(f"SELECT {_INCIDENT_COLUMNS} FROM classified")
 ORACLES["norm_dates"] = on_docs("SELECT raw_text_hash, unnest(incident_dates) AS incident_date FROM docs")
@@ -467,7 +477,7 @@ old0 AS (SELECT *, 'UNKNOWN' AS location_zone, 'NONE' AS location_confidence, 'n
          FROM docs WHERE o_orderkey % 3 <> 0),
 new0 AS (SELECT * REPLACE (beat_title || ' (updated)' AS beat_title, incident_dates[1:1] AS incident_dates),
                 'MTC' AS location_zone, 'NONE' AS location_confidence, 'none' AS location_source
-         FROM docs WHERE o_orderkey % 2 = 0)"""
+         FROM docs WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0)"""
 
 
 def on_batches(select: str) -> str:
@@ -481,7 +491,7 @@ ORACLES["idempotent_insert"] = on_batches(
 )
 ORACLES["insert_counts"] = on_batches(
     "SELECT count(DISTINCT raw_text_hash) FILTER (WHERE fresh) AS inserted, "
-    "count(*) - count(DISTINCT raw_text_hash) FILTER (WHERE fresh) AS skipped FROM "
+    "count(*) - count(DISTINCT raw_text_hash) FILTER (WHERE fresh) AS skipped, CAST(0 AS BIGINT) AS rejected FROM "
     "(SELECT raw_text_hash, raw_text_hash NOT IN (SELECT raw_text_hash FROM old0) AS fresh FROM new0)"
 )
 ORACLES["upsert_beats"] = on_batches(
@@ -505,9 +515,9 @@ ORACLES["mark_normalized"] = on_docs(
 TYPE_CASE = "CASE " + " ".join(
     f"WHEN regexp_matches(incident_type, {lit('(?i)' + p)}) THEN {lit(c)}" for p, c in C.CATEGORY_RULES
 ) + " ELSE 'Other' END"
-LABEL_CASE = "CASE location_zone " + " ".join(
-    f"WHEN {lit(z)} THEN {lit(a[0])}" for z, a in C.ZONE_ATTRIBUTES.items() if z != C.UNKNOWN
-) + " ELSE 'Unknown' END"
+ZONE_ROWS = ", ".join(
+    f"({lit(z)}, {lit(a[0])}, {a[1]}, {a[2]}, {a[3]}, {z == C.UNKNOWN})" for z, a in C.ZONE_ATTRIBUTES.items()
+)
 
 STAR = rf"""
 incidents AS (SELECT * FROM classified QUALIFY {_LAST_DOC}),
@@ -532,21 +542,19 @@ calendar AS (
   UNION ALL SELECT 'GAME_DAY', 'Home game', make_date(y, 10, 17), make_date(y, 10, 17) FROM (SELECT DISTINCT y FROM terms)),
 days AS (
   SELECT CAST(unnest(generate_series(min(occurred_date), max(occurred_date), INTERVAL 1 DAY)) AS DATE) AS date_day FROM stg),
+inside AS (
+  SELECT date_day, list(DISTINCT period_type) AS kinds, min(label) FILTER (WHERE period_type = 'SEMESTER') AS semester
+  FROM days JOIN calendar ON date_day BETWEEN start_date AND end_date GROUP BY date_day),
 dim_date AS (
   SELECT date_day, CAST(isodow(date_day) AS INTEGER) AS day_of_week, dayname(date_day) AS day_name,
-         isodow(date_day) IN (6, 7) AS is_weekend,
-         (SELECT min(label) FROM calendar c WHERE period_type = 'SEMESTER' AND date_day BETWEEN start_date AND end_date) AS semester,
-         EXISTS (SELECT 1 FROM calendar c WHERE period_type = 'FINALS' AND date_day BETWEEN start_date AND end_date) AS is_finals,
-         EXISTS (SELECT 1 FROM calendar c WHERE period_type = 'BREAK' AND date_day BETWEEN start_date AND end_date) AS is_break,
-         EXISTS (SELECT 1 FROM calendar c WHERE period_type = 'GAME_DAY' AND date_day BETWEEN start_date AND end_date) AS is_game_day
-  FROM days),
+         dayname(date_day) LIKE 'S%day' AS is_weekend, semester,
+         {", ".join(f"coalesce(list_contains(kinds, '{k}'), false) AS {n}" for k, n in (("FINALS", "is_finals"), ("BREAK", "is_break"), ("GAME_DAY", "is_game_day")))}
+  FROM days LEFT JOIN inside USING (date_day)),
+zones (location_zone, zone_label, is_residential, is_academic, is_on_campus, is_unknown) AS (
+  VALUES {ZONE_ROWS}),
 dim_location AS (
-  SELECT location_zone, {LABEL_CASE} AS zone_label,
-         location_zone IN ('DORMS_HELAMAN', 'DORMS_HERITAGE', 'WYVIEW_WYMOUNT') AS is_residential,
-         location_zone IN ('ACADEMIC_CORE', 'ENGINEERING_NORTH', 'BUSINESS_SOUTH') AS is_academic,
-         location_zone NOT IN ('OFF_CAMPUS', 'MTC', 'UNKNOWN') AS is_on_campus,
-         location_zone = 'UNKNOWN' AS is_unknown
-  FROM (SELECT DISTINCT location_zone FROM stg)),
+  SELECT z.location_zone, coalesce(zone_label, 'Unknown') AS zone_label, is_residential, is_academic, is_on_campus, is_unknown
+  FROM (SELECT DISTINCT location_zone FROM stg) z LEFT JOIN zones USING (location_zone)),
 dim_type AS (
   SELECT incident_type, {TYPE_CASE} AS incident_category
   FROM (SELECT DISTINCT incident_type FROM stg WHERE incident_type IS NOT NULL)),
@@ -589,8 +597,8 @@ ORACLES["check_accepted"] = (
     "SELECT c_mktsegment, count(*) AS rows FROM customer WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY') GROUP BY 1"
 )
 ORACLES["check_relationship"] = (
-    "SELECT o_custkey AS key, count(*) AS rows FROM orders "
-    "WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey < 20) GROUP BY 1"
+    "SELECT child AS key, count(*) AS rows FROM (SELECT CASE WHEN o_orderkey % 7 = 0 THEN -1 - o_custkey "
+    "ELSE o_custkey END AS child FROM orders) WHERE child NOT IN (SELECT c_custkey FROM customer) GROUP BY 1"
 )
 _KEYS = (
     ("beats", "beat_url", "beats"), ("incidents", "raw_text_hash", "incidents"), ("stg_incidents", "incident_id", "stg"),
@@ -642,7 +650,7 @@ ORACLES["check_suite_failures"] = (
             _failures("accepted_values", "orders", "o_orderstatus", "SELECT count(DISTINCT o_orderstatus) FROM orders WHERE o_orderstatus NOT IN ('F', 'O')"),
             _failures("relationships", "customer", "c_nationkey", "SELECT count(*) FROM customer WHERE c_nationkey NOT IN (SELECT n_nationkey FROM nation)"),
             _failures("accepted_values", "customer", "c_mktsegment", "SELECT count(DISTINCT c_mktsegment) FROM customer"),
-            _failures("relationships", "few_nations", "c_nationkey", "SELECT count(*) FROM customer WHERE c_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_nationkey < 20)"),
+            _failures("relationships", "strays", "c_nationkey", "SELECT count(*) FROM customer WHERE c_custkey % 7 = 0 AND -1 - c_nationkey NOT IN (SELECT n_nationkey FROM nation)"),
         ]
     )
 )
@@ -658,10 +666,9 @@ detail AS (
   FROM stg f JOIN dim_location l USING (location_zone) LEFT JOIN dim_type t USING (incident_type)
        LEFT JOIN dim_date d ON d.date_day = f.occurred_date),
 spine AS (SELECT date_day, semester, is_finals, is_break, is_game_day, is_weekend FROM daily),
-busy AS (SELECT floor(m + 2.4 * sqrt(m)) AS threshold FROM (SELECT avg(total_incidents) AS m FROM daily)),
 outliers AS (
   SELECT date, count(*) AS incidents FROM detail WHERE date IS NOT NULL GROUP BY 1
-  HAVING count(*) > (SELECT threshold FROM busy)),
+  HAVING count(*) > 12),
 usual AS (SELECT * FROM detail WHERE date IS NULL OR date NOT IN (SELECT date FROM outliers)),
 usual_days AS (SELECT * FROM spine WHERE date_day NOT IN (SELECT date FROM outliers)),
 chosen AS (
@@ -746,6 +753,5 @@ ORACLES["explorer_counts"] = on_detail(
 
 # ---- incremental ---------------------------------------------------------------------------------
 ORACLES["incremental_run"] = on_lookup(
-    f"SELECT {_INCIDENT_COLUMNS} FROM classified WHERE o_orderkey % 3 <> 0 OR o_orderkey % 2 <> 0 "
-    f"QUALIFY {_LAST_DOC}"
+    f"SELECT {_INCIDENT_COLUMNS} FROM classified QUALIFY {_LAST_DOC}"
 )

@@ -21,31 +21,33 @@ TYPES = (
     "Trespassing",
 )
 
+# one narrative per case of the rules: a place of each zone, known and unknown lots,
+# dashes and blanks to fold, places without a rule, and words that only look like one
 TEXTS = (
-    "Officers responded to the HBLL for a fire alarm.",
-    "A duress alarm at the Wilkinson Student Center was accidental.",
-    "Fire alarm at LaVell Edwards Stadium.",
-    "Officers responded to Wymount Terrace.",
-    "Dispatched to the MTC fields.",
-    "Door alarm at the University Press Building.",
-    "Called to the Riviera Apartments.",
-    "Robbery alarm at the Marriott Center.",
-    "Responded to HR #12 for a medical call.",
-    "A resident of Chipman Hall reported a missing bike.",
-    "A laptop was left in the Tanner Building.",
-    "Scooter leaking fuel near the Eyring Science Center.",
-    "Scooter leaking fuel in Lot #41.",
-    "A car was parked in Lot 999 overnight.",
-    "Seen in Lot 999 and later in Lot 41.",
-    "Alarm at the Food‑to‑Go   Building.",
-    "Met at  lot 0052   after a   collision.",
-    "Responded to the Widtsoe Building for an alarm.",
-    "A wallet was found near Building seven.",
-    "Officers rescued the individual.",
-    "Assisted with an out-of-state engineering trip.",
-    "No location mentioned here at all.",
-    "Found employees working in the area.",
-    "A vehicle was keyed off-campus; owner from Freedom Boulevard.",
+    "An alarm panel beeped in the HBLL until noon.",
+    "Someone left a stroller by the Wilkinson Student Center doors.",
+    "Two banners went missing from LaVell Edwards Stadium.",
+    "Neighbors at Wymount Terrace heard a loud bang.",
+    "A delivery van blocked the gate of the MTC.",
+    "Paint was spilled behind the University Press Building.",
+    "A tenant of the Riviera Apartments lost a key ring.",
+    "Fans argued over seats in the Marriott Center.",
+    "A kitchen timer went off in HR #12 at midnight.",
+    "Snowballs cracked a window of Chipman Hall.",
+    "An umbrella was handed in at the Tanner Building desk.",
+    "A burnt motor filled a lab of the Eyring Science Center with fumes.",
+    "A trailer lost its wheel in Lot #41.",
+    "A boat was stored in Lot 999 for a week.",
+    "First spotted in Lot 999, then again in Lot 41.",
+    "A cart rolled into the Food‑to‑Go   Building.",
+    "Two cyclists bumped  in   lot 0052   at dusk.",
+    "A freezer alarm rang in the Widtsoe Building.",
+    "A glove lay near Building nine.",
+    "A kitten was rescued from a drain.",
+    "Visitors on an engineering tour got lost.",
+    "The caller gave no place.",
+    "Staff were seen working late in the area.",
+    "A mailbox was dented off-campus, near Freedom Boulevard.",
 )
 
 # the report forms, by order key modulo their number; {type} and {text} are the

@@ -16,18 +16,6 @@ MARTS = ("dim_date", "dim_location", "dim_incident_type", "fct_incidents", "mart
 STORE_TABLES = ("beats", "incidents", "incident_dates")
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal a scan of few splits out over the cores.
-
-    For per-row work that costs more than moving the row, such as parsing a
-    page. A scan with at least as many splits as cores, as any large table
-    gives, is returned as it is. Only for plans without a shuffle: counting
-    the splits of any other would run it.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def read_calendar(spark: SparkSession, path: str | None = None) -> DataFrame:
     """The calendar seed, dates typed by schema; ``#`` lines are comments.
 

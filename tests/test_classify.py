@@ -19,24 +19,24 @@ def lookup(spark, texts):
 
 
 GOLDEN = {
-    "officers responded to the HBLL for a fire alarm": ("ACADEMIC_CORE", "landmark"),
-    "a duress alarm at the Wilkinson Student Center": ("STUDENT_SERVICES", "landmark"),
-    "fire alarm at LaVell Edwards Stadium": ("STADIUM_AREA", "landmark"),
-    "responded to Wymount Terrace": ("WYVIEW_WYMOUNT", "landmark"),
-    "dispatched to the MTC fields": ("MTC", "landmark"),
-    "door alarm at the University Press Building": ("SERVICE_SUPPORT", "landmark"),
-    "called to the Riviera Apartments": ("OFF_CAMPUS", "landmark"),
-    "robbery alarm at the Marriott Center": ("STADIUM_AREA", "landmark"),
-    "responded to HR #12 for a medical": ("DORMS_HERITAGE", "landmark"),
-    "Officers responded to Chipman Hall": ("DORMS_HELAMAN", "landmark"),
-    "alarm at the Food‑to‑Go Building": ("SERVICE_SUPPORT", "landmark"),
-    "scooter leaking fuel in Lot #41": ("DORMS_HELAMAN", "lot"),
+    "an alarm panel beeped in the HBLL": ("ACADEMIC_CORE", "landmark"),
+    "a stroller by the Wilkinson Student Center": ("STUDENT_SERVICES", "landmark"),
+    "banners taken from LaVell Edwards Stadium": ("STADIUM_AREA", "landmark"),
+    "a loud bang at Wymount Terrace": ("WYVIEW_WYMOUNT", "landmark"),
+    "a van blocked the gate of the MTC": ("MTC", "landmark"),
+    "paint behind the University Press Building": ("SERVICE_SUPPORT", "landmark"),
+    "a tenant of the Riviera Apartments": ("OFF_CAMPUS", "landmark"),
+    "an argument over seats in the Marriott Center": ("STADIUM_AREA", "landmark"),
+    "a timer went off in HR #12": ("DORMS_HERITAGE", "landmark"),
+    "a cracked window of Chipman Hall": ("DORMS_HELAMAN", "landmark"),
+    "a cart rolled into the Food‑to‑Go Building": ("SERVICE_SUPPORT", "landmark"),
+    "a trailer in Lot #41": ("DORMS_HELAMAN", "lot"),
     "LOT 0041": ("DORMS_HELAMAN", "lot"),
-    "officers rescued the individual": None,
-    "parked in Lot 999": None,
-    "Lot 999 then Lot 41": None,
+    "a kitten was rescued": None,
+    "a boat in Lot 999": None,
+    "Lot 999, then Lot 41": None,
     "Lot 99999999999999999999": None,
-    "a lot of people": None,
+    "a lot of noise": None,
     "": None,
 }
 
@@ -86,9 +86,9 @@ def test_first_rule_equals_a_plain_search(spark):
 
 def test_named_places(apply):
     cases = {
-        "responded to the Ellsworth Building": True,
-        "found employees working in the area": False,
-        "found near Building": True,
+        "a lamp fell in the Ellsworth Building": True,
+        "staff working late in the area": False,
+        "a glove near Building": True,
         "the building": False,
         "Old Field House": True,
         "Buildings": False,
@@ -123,11 +123,11 @@ def classify(spark, texts, model=None):
 
 
 def test_without_a_model_misses_are_unknown(spark):
-    assert classify(spark, ["no location here", None]) == [("UNKNOWN", "none", C.NO_MODEL_REASON)] * 2
+    assert classify(spark, ["the caller gave no place", None]) == [("UNKNOWN", "none", C.NO_MODEL_REASON)] * 2
 
 
 def test_guard(spark):
-    texts = ["assisted with an engineering trip", "responded to the Kimball Tower", "responded to the Widtsoe Building"]
+    texts = ["lost on an engineering tour", "a lift stuck in the Kimball Tower", "a freezer in the Widtsoe Building"]
     assert [r[:2] for r in classify(spark, texts, fixed(" engineering_north\n"))] == [
         ("UNKNOWN", "guardrail"),
         ("ACADEMIC_CORE", "landmark"),
@@ -145,7 +145,7 @@ def test_a_hit_never_reaches_the_model(spark, tmp_path):
             out.writelines(t + "\n" for t in texts)
         return pd.Series(["UNKNOWN"] * len(texts))
 
-    classify(spark, ["fire alarm at the HBLL", "nothing‑named", "in Lot 41"], model)
+    classify(spark, ["a beeping panel in the HBLL", "nothing‑named", "in Lot 41"], model)
     assert set(open(log).read().splitlines()) == {"nothing-named"}
 
 

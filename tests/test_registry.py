@@ -36,7 +36,26 @@ def tidy(df: pd.DataFrame) -> pd.DataFrame:
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    """The corpus queries, which are optional, have tests of their own."""
+    own = set(entry_points.QUERIES)
+    assert own == set(entry_points.ORACLES) and own <= set(entry_points.oracle_sql())
+
+
+def test_batches_make_up_the_table(spark):
+    from blotterflow.registry import queries as Q
+
+    old, new = Q._two_batches(spark, SF)
+    keys = {r[0] for r in spark.read.parquet(f"{SF}/orders.parquet").select("o_orderkey").collect()}
+    a, b = ({r[0] for r in x.select("o_orderkey").collect()} for x in (old, new))
+    assert a | b == keys and a & b
+
+
+def test_tables_of_one_name_are_kept_apart(spark, tmp_path):
+    from blotterflow.registry import inputs
+
+    few = f"{tmp_path}/sf0.001"
+    spark.read.parquet(f"{SF}/orders.parquet").limit(10).write.parquet(f"{few}/orders.parquet")
+    assert inputs.landed(spark, few).count() == 10 and inputs.landed(spark, SF).count() > 10
 
 
 @pytest.mark.parametrize("name", list(entry_points.oracle_sql()))

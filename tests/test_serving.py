@@ -40,9 +40,10 @@ def spine(spark):
 
 def test_outlier_days_are_strictly_above_the_threshold(detail, spine):
     cfg = replace(DEFAULT, outlier_day_threshold=5)
-    days = V.outlier_days(detail, cfg)
+    daily = detail.filter("date IS NOT NULL").groupBy(F.col("date").alias("date_day")).agg(F.count("*").alias("total_incidents"))
+    days = V.outlier_days(daily, cfg)
     assert [r.date.day for r in days.collect()] == [3]
-    assert V.outlier_days(detail, replace(DEFAULT, outlier_day_threshold=6)).count() == 0
+    assert V.outlier_days(daily, replace(DEFAULT, outlier_day_threshold=6)).count() == 0
     kept, kept_spine = V.without_outliers(detail, spine, days)
     assert kept.count() == 5 and kept.filter("date IS NULL").count() == 1
     assert kept_spine.count() == 3

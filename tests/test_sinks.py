@@ -71,10 +71,3 @@ def test_facts_are_laid_out_by_day(spark, tmp_path):
         assert days == sorted(days)
     ranges.sort()
     assert len(ranges) > 1 and all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
-
-
-def test_spread_leaves_large_scans_alone(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert TB.spread(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == cores
-    wide = spark.range(0, 100, 1, cores + 1)
-    assert TB.spread(wide) is wide
