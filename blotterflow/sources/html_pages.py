@@ -9,6 +9,7 @@ batch of large pages never becomes one huge Arrow batch.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from urllib.parse import urljoin
 
@@ -65,7 +66,15 @@ def extract_containers(pages: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataF
             for url, html in zip(batch.column(0), batch.column(1)):
                 walk = PageWalk(html.as_py() or "")
                 found = containers(walk, CONTAINER, C.MARKED_CONTAINER_TAGS, marker)
+                dropped = walk.depths(lambda e: e.name in DROPPED_TAGS or not DROPPED_CLASSES.isdisjoint(e.classes))
+                wrapped = walk.depths(lambda e: e.name == "p")
+                seen = set()
                 for number, node in enumerate(found):
+                    # a wrapper of the same text and paragraphs gives the same incidents, and ties go to the first
+                    same = (*walk.text_span(node), dropped[node.order], wrapped[node.order])
+                    if same in seen:
+                        continue
+                    seen.add(same)
                     raw = walk.line_text(node, DROPPED_TAGS, DROPPED_CLASSES, BLOCKS)
                     base, end = walk.text_span(node)
                     spans = [walk.text_span(p) for p in walk.within(node) if p.name == "p"]
@@ -84,31 +93,37 @@ def extract_containers(pages: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataF
     )
 
 
-def _list_item(walk: PageWalk, item, page_url: str) -> dict | None:
-    links = [a for a in walk.within(item) if a.name == "a" and "href" in a.attrs]
-    link = next((a for a in links if a.inside(LIST_TITLE)), None)
-    if link is None:
-        wanted = re.compile(C.LINK_TEXT_PATTERN, re.IGNORECASE)
-        link = next((a for a in links if wanted.search(walk.sole_string(a) or "")), None)
-    if link is None or not link.attrs["href"]:
-        return None
-    date = next(
-        (
-            e
-            for e in walk.within(item)
-            if PLAIN_DATE.matches(e) or (BOXED_DATE.matches(e) and e.inside(DATE_BOX))
-        ),
-        None,
-    )
-    return {
-        "url": urljoin(page_url, link.attrs["href"]),
-        "title": walk.text_of(link),
-        "published_at": walk.text_of(date) if date else "",
-    }
+def _list_items(walk: PageWalk, page_url: str) -> Iterator[dict]:
+    """The link and the date of each item: the first ones that start inside it.
+
+    Candidates are gathered once, in document order, and each item looks its own up by
+    position: open items that hold one another cost no more than others.
+    """
+    titled, boxed = walk.depths(LIST_TITLE.matches), walk.depths(DATE_BOX.matches)
+    wanted = re.compile(C.LINK_TEXT_PATTERN, re.IGNORECASE)
+    links = [e for e in walk.elements if e.name == "a" and "href" in e.attrs]
+    in_titles = [e for e in links if titled[e.order]]
+    by_text = [e for e in links if wanted.search(walk.sole_string(e) or "")]
+    dates = [e for e in walk.elements if PLAIN_DATE.matches(e) or (BOXED_DATE.matches(e) and boxed[e.order])]
+    starts = {id(c): [e.start for e in c] for c in (in_titles, by_text, dates)}
+
+    def first(candidates, item):
+        at = bisect_right(starts[id(candidates)], item.start)
+        return candidates[at] if at < len(candidates) and candidates[at].start < item.end else None
+
+    for item in walk.elements:
+        if LIST_ITEM.matches(item):
+            link, date = first(in_titles, item) or first(by_text, item), first(dates, item)
+            if link is not None and link.attrs["href"]:
+                yield {
+                    "url": urljoin(page_url, link.attrs["href"]),
+                    "title": walk.text_of(link),
+                    "published_at": walk.text_of(date) if date else "",
+                }
 
 
 def _next_page(walk: PageWalk, page_url: str) -> str | None:
-    wanted = re.compile(C.NEXT_TEXT_PATTERN, re.IGNORECASE)
+    marks = [m.span() for m in re.finditer(C.NEXT_TEXT_PATTERN, walk.text, re.IGNORECASE)]
     buttons = [
         (e, e.attrs["data-url"])
         for e in walk.elements
@@ -116,7 +131,7 @@ def _next_page(walk: PageWalk, page_url: str) -> str | None:
     ]
     links = [(e, e.attrs["href"]) for e in walk.elements if e.name == "a" and "href" in e.attrs]
     for node, target in buttons + links:
-        if wanted.search(walk.text_of(node)):
+        if walk.holds(node, marks):
             return urljoin(page_url, target)
     return None
 
@@ -132,13 +147,11 @@ def scan_list_pages(pages: DataFrame) -> DataFrame:
         for batch in batches:
             for page_no, url, html in zip(*batch.columns):
                 page_url, walk = url.as_py(), PageWalk(html.as_py() or "")
-                items = [e for e in walk.elements if LIST_ITEM.matches(e)]
-                found = [_list_item(walk, item, page_url) for item in items]
                 yield {
                     "page_no": page_no.as_py(),
                     "page_url": page_url,
                     "next_page_url": _next_page(walk, page_url),
-                    "items": [item for item in found if item],
+                    "items": list(_list_items(walk, page_url)),
                 }, len(walk.text)
 
     return pages.select(F.col("page_no").cast("bigint"), "url", "html").mapInArrow(

@@ -38,19 +38,13 @@ class Selector:
 
 
 class Element:
-    __slots__ = ("name", "classes", "attrs", "parent", "start", "end")
+    __slots__ = ("name", "classes", "attrs", "parent", "order", "start", "end")
 
-    def __init__(self, name, attrs, parent, start):
-        self.name, self.attrs, self.parent = name, attrs, parent
+    def __init__(self, name, attrs, parent, order, start):
+        self.name, self.attrs, self.parent, self.order = name, attrs, parent, order
         self.classes = tuple((attrs.get("class") or "").split())
         self.start, self.end = start, -1
 
-    def inside(self, selector: Selector) -> bool:
-        node = self.parent
-        while node is not None and not selector.matches(node):
-            node = node.parent
-        return node is not None
-
 
 class PageWalk(HTMLParser):
     """Tokens, elements in document order, and the page's joined text."""
@@ -139,7 +133,7 @@ class PageWalk(HTMLParser):
     def _push(self, tag, attrs):
         self._flush()
         attrs = {key: value or "" for key, value in attrs}
-        node = Element(tag, attrs, self._stack[-1] if self._stack else None, len(self.tokens))
+        node = Element(tag, attrs, self._stack[-1] if self._stack else None, len(self.elements), len(self.tokens))
         self.tokens.append((OPEN, node))
         self.elements.append(node)
         self._stack.append(node)
@@ -214,10 +208,28 @@ class PageWalk(HTMLParser):
 
     def sole_string(self, node: Element) -> str | None:
         """The text of an element whose only content, at any depth, is one text."""
-        inner = self.tokens[node.start + 1 : node.end - 1]
-        while inner and inner[0][0] == OPEN and inner[0][1].end - inner[0][1].start == len(inner):
-            inner = inner[1:-1]
-        return inner[0][1] if len(inner) == 1 and inner[0][0] == TEXT else None
+        low, high = node.start + 1, node.end - 1
+        while low < high and self.tokens[low][0] == OPEN and self.tokens[low][1].end == high:
+            low, high = low + 1, high - 1
+        return self.tokens[low][1] if high - low == 1 and self.tokens[low][0] == TEXT else None
+
+    def depths(self, matches) -> list[int]:
+        """How many elements around each element match, by its order; parents stand before children."""
+        own, out = [], []
+        for node in self.elements:
+            above = 0 if node.parent is None else out[node.parent.order] + own[node.parent.order]
+            own.append(bool(matches(node)))
+            out.append(above)
+        return out
+
+    def holds(self, node: Element, marks: list[tuple[int, int]]) -> bool:
+        """Whether one of the marked spans of the page's text lies in an element's.
+
+        The first mark in reach is also the first to end.
+        """
+        start, end = self.text_span(node)
+        first = bisect_left(marks, (start, 0))
+        return first < len(marks) and marks[first][1] <= end
 
 
 def containers(walk: PageWalk, selectors, marked_tags, marker: re.Pattern) -> list[Element]:
@@ -232,10 +244,6 @@ def containers(walk: PageWalk, selectors, marked_tags, marker: re.Pattern) -> li
     found = {id(node): node for _, node in sorted(ranked.items())}
     marks = [m.span() for m in marker.finditer(walk.text)]
     for node in walk.elements if marks else ():
-        if node.name in marked_tags:
-            start, end = walk.text_span(node)
-            # the first mark in reach is also the first to end
-            first = bisect_left(marks, (start, 0))
-            if first < len(marks) and marks[first][1] <= end:
-                found.setdefault(id(node), node)
+        if node.name in marked_tags and walk.holds(node, marks):
+            found.setdefault(id(node), node)
     return list(found.values())

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -150,3 +151,21 @@ def test_raw_documents_from_pages(spark):
     ]
     assert [str(d) for d in rows[0].incident_dates] == ["2026-06-01"]
     assert all(r.location_zone is None and len(r.raw_text_hash) == 64 for r in rows)
+
+
+def test_open_items_and_wrappers_cost_linear_time(spark):
+    """Items and containers that are never closed hold all that follow them."""
+
+
+    item = "<div class='ListImageSmall-items-item'><h3 class='PromoImageSmall-title'><a href='/r/{i}'>Police Beat {i}</a></h3>"
+    page = "".join(item.replace("{i}", str(i)) for i in range(800))
+    walk = PageWalk(page)
+    began = time.perf_counter()
+    items = list(H._list_items(walk, "https://x.example/"))
+    assert H._next_page(walk, "https://x.example/") is None
+    assert time.perf_counter() - began < 0.5
+    assert [i["url"] for i in items] == [f"https://x.example/r/{i}" for i in range(800)]
+
+    nested = "<main>" + "<div>" * 1000 + "Theft<p>A bag went missing.</p> Follow us on Facebook"
+    found = H.extract_containers(spark.createDataFrame([("u", nested)], "url string, html string")).collect()
+    assert len(found) <= 2 and all("A bag" in r.raw_text for r in found)
