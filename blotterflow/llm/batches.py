@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructField, StructType
 
+#: The name under which functions on pieces find the text.
+TEXT = "_llm_text"
 #: Text bytes worked on at once; a longer text is a piece of its own.
 PIECE_BYTES = 1 << 21
 
@@ -47,6 +49,11 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[df[c] for c in df.columns if c.lower() not in gone])
 
 
+def hidden(df: DataFrame) -> DataFrame:
+    """``df`` with names no operator gives; ``toDF`` with the old names undoes it."""
+    return df.toDF(*[f"_llm_given_{i}" for i in range(len(df.columns))])
+
+
 def append_columns(
     df: DataFrame,
     text: str,
@@ -56,20 +63,25 @@ def append_columns(
 ) -> DataFrame:
     """``df`` with columns that Python works out, piece by piece.
 
-    ``build()`` runs once per task and returns the function from a piece to its new
-    columns. A column of ``df`` that has the name of a new one is replaced by it;
-    columns in ``drop`` are read but not returned.
+    ``build()`` runs once per task and returns the function from a piece, whose text
+    column is named ``TEXT``, to its new columns, and what to call at the task's end, if
+    it holds memory, as the function's ``close``. A column of ``df`` that has the name
+    of a new one is replaced by it; columns in ``drop`` are read but not returned.
     """
     gone = {f.name.lower() for f in fields} | {d.lower() for d in drop}
     kept = [i for i, c in enumerate(df.columns) if c.lower() not in gone]
     schema = StructType([df.schema[i] for i in kept] + list(fields))
     names = [f.name for f in schema]
+    at = df.columns.index(text)
 
     def run(batches):
         work = build()
         for batch in batches:
-            for piece in pieces(batch, text):
+            given = [TEXT if i == at else n for i, n in enumerate(batch.schema.names)]
+            for piece in pieces(batch.rename_columns(given), TEXT):
                 columns = [piece.column(i) for i in kept] + list(work(piece))
                 yield pa.RecordBatch.from_arrays(columns, names=names)
+        getattr(work, "close", lambda: None)()
+        pa.default_memory_pool().release_unused()  # workers live on between stages
 
     return df.mapInArrow(run, schema)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from blotterflow.llm.batches import append_columns
+from blotterflow.llm.batches import TEXT, append_columns, hidden
 from blotterflow.llm.words import ALNUM, FOLD, Runs, covered, split_words
 
 WINDOW = 13
@@ -37,7 +37,6 @@ WINDOW = 13
 BLOCK_BYTES = 4 << 20
 SIEVE = 1 << 22
 
-TEXT = "_llm_text"
 FIELDS = [
     StructField("n_words", LongType()),
     StructField("n_hit", LongType()),
@@ -235,22 +234,22 @@ def contamination(
 ) -> DataFrame:
     """``docs`` with n_words, n_hit, item_ids (sorted), matches (maximal, with their places) and contaminated."""
     context = docs.sparkSession.sparkContext
-    out = docs.withColumn(TEXT, F.col(text_col))
+    out = docs
     more = [f.name for f in FIELDS]
     passes = 0
     for items in blocks_of_items(benchmark, item_id_col, item_text_col, block_bytes):
         sent = context.broadcast(items)
         names = [f"_llm_{n}" for n in more] if passes else more
         fields = [StructField(n, f.dataType) for n, f in zip(names, FIELDS, strict=True)]
-        out = append_columns(out, TEXT, fields, lambda sent=sent: _search(sent.value))
+        out = append_columns(out, text_col, fields, lambda sent=sent: _search(sent.value))
         if passes:
             out = _merge(out, names)
         passes += 1
     if not passes:
         none = Items([], [])
-        out = append_columns(out, TEXT, FIELDS, lambda: _search(none))
+        out = append_columns(out, text_col, FIELDS, lambda: _search(none))
     contaminated = (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
-    return out.drop(TEXT).withColumn("contaminated", contaminated)
+    return out.withColumn("contaminated", contaminated)
 
 
 def _merge(out: DataFrame, names: list[str]) -> DataFrame:
@@ -274,8 +273,6 @@ def _merge(out: DataFrame, names: list[str]) -> DataFrame:
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are not contaminated, as they are."""
-    marked = docs.withColumn("_llm_row", F.struct(*[docs[c] for c in docs.columns])).select(
-        "_llm_row", F.col(text_col).alias("_llm_given")
-    )
-    kept = contamination(marked, benchmark, "_llm_given").where("not contaminated")
-    return kept.select("_llm_row.*")
+    given = hidden(docs)
+    text = given.columns[docs.columns.index(text_col)]
+    return contamination(given, benchmark, text).where("not contaminated").select(given.columns).toDF(*docs.columns)

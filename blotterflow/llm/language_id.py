@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField
 
-from blotterflow.llm.batches import append_columns, pieces, strings, text_bytes
+from blotterflow.llm.batches import TEXT, append_columns, hidden, pieces, strings, text_bytes
 from blotterflow.llm.tables import stored
 from blotterflow.llm.words import FOLD, byte_class
 
@@ -46,7 +46,6 @@ FULL = 200
 ROWS = 128
 PLAIN = np.where(byte_class((0x61, 0x7A), (0x80, 0xFF))[FOLD], FOLD, 0x20).astype(np.uint8)
 
-TEXT = "_llm_text"
 FIELDS = [
     StructField("lang_pred", StringType()),
     StructField("score", DoubleType()),
@@ -231,7 +230,7 @@ def predict(docs: DataFrame, model: Centroids | None, text_col: str = "text") ->
 
         return work
 
-    return append_columns(docs.withColumn(TEXT, F.col(text_col)), TEXT, FIELDS, build, drop=[TEXT])
+    return append_columns(docs, text_col, FIELDS, build)
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -242,10 +241,6 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 def accepted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of ``docs`` in a language, as they are."""
-    whole = docs.select(
-        F.struct(*[docs[c] for c in docs.columns]).alias("_llm_row"),
-        F.col(id_col).alias("_llm_id"),
-        F.col(text_col).alias("_llm_given"),
-        F.col(lang_col).alias("_llm_lang"),
-    )
-    return identify(whole, "_llm_id", "_llm_given", "_llm_lang").where("not rejected").select("_llm_row.*")
+    given = hidden(docs)
+    names = [given.columns[docs.columns.index(c)] for c in (id_col, text_col, lang_col)]
+    return identify(given, *names).where("not rejected").select(given.columns).toDF(*docs.columns)

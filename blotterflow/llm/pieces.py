@@ -138,6 +138,10 @@ class Codec:
         self.chunks, self.parts = _Chunks(self.encode_chunk), _Chunks(self.encode_part)
         self.split = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+" if model.chunked else "(?s:.+)").findall
 
+    def forget(self) -> None:
+        for remembered in (self.chunks, self.parts, self.pairs):
+            remembered.clear()
+
     def _shorter(self, word: str) -> int:
         """The longest piece that ``word`` begins with and isn't, or -1."""
         for n in range(len(word) - 1, 0, -1):

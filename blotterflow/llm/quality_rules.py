@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField
 
-from blotterflow.llm.batches import append_columns, pieces
+from blotterflow.llm.batches import TEXT, append_columns, pieces
 from blotterflow.llm.words import NOT_BLANK, Runs, byte_class, covered, mix, split_words
 
 BUCKETS = 10_000
@@ -37,7 +37,7 @@ REPEAT = 5
 MIN_WORDS, MAX_REPEATED_PERCENT = 10, 20
 SYMBOL = byte_class(*[(ord(c), ord(c)) for c in "#*$%&|<>"])
 
-TEXT, TRUST = "_llm_text", "_llm_trust"
+TRUST = "_llm_trust"
 FIELDS = [StructField(n, LongType()) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
 FIELDS += [StructField("base_failed", BooleanType()), StructField("score", DoubleType()), StructField("kept", BooleanType())]
 
@@ -172,7 +172,7 @@ def judge(docs: DataFrame, ratio: Ratio | None, text_col: str = "text") -> DataF
 
         return work
 
-    return append_columns(docs.withColumn(TEXT, F.col(text_col)), TEXT, FIELDS, build, drop=[TEXT])
+    return append_columns(docs, text_col, FIELDS, build)
 
 
 def quality(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

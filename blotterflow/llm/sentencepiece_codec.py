@@ -15,19 +15,17 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField
 
-from blotterflow.llm.batches import append_columns, strings
+from blotterflow.llm.batches import TEXT, append_columns, strings
 from blotterflow.llm.pieces import Codec, Model
 
-TEXT = "_llm_text"
 FIELDS = [StructField("ids", ArrayType(IntegerType())), StructField("decoded", StringType())]
 _codecs: dict[int, Codec] = {}
 
 
 def _codec(sent) -> Codec:
-    """The codec of a sent model; a worker makes it once and keeps what it remembers."""
+    """The codec of a sent model; a worker makes it once. What it remembers goes with the task."""
     model = sent.value
     key = id(model)
     if key not in _codecs:
@@ -52,6 +50,7 @@ def encode_decode(docs: DataFrame, model_path: str, text_col: str = "text") -> D
                 strings([codec.decode(x) for x in encoded]),
             )
 
+        work.close = codec.forget
         return work
 
-    return append_columns(docs.withColumn(TEXT, F.col(text_col)), TEXT, FIELDS, build, drop=[TEXT])
+    return append_columns(docs, text_col, FIELDS, build)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField
 from xxhash import xxh64_intdigest
 
-from blotterflow.llm.batches import append_columns, text_bytes
+from blotterflow.llm.batches import TEXT, append_columns, text_bytes
 from blotterflow.llm.components import components
 from blotterflow.llm.gray_index import cross_roots, gray_rank, rotate, self_roots, shared
 from blotterflow.llm.tables import discard, stored
@@ -37,7 +37,6 @@ SHINGLE, SEED, LIMIT = 4, 42, 4
 TURNS = LIMIT + 1
 WIDTHS = [64 // TURNS + (i < 64 % TURNS) for i in range(TURNS)]
 PAGE = 1 << 16
-BITS = "_llm_bits"
 
 
 def fingerprint(text: bytes) -> int:
@@ -62,7 +61,7 @@ def fingerprint(text: bytes) -> int:
 
 def _fingerprints():
     def work(piece: pa.RecordBatch):
-        data, places = text_bytes(piece.column(BITS))
+        data, places = text_bytes(piece.column(TEXT))
         folded = FOLD[data].tobytes()
         places = places.tolist()
         values = [fingerprint(folded[a:b]) for a, b in zip(places, places[1:])]
@@ -73,8 +72,7 @@ def _fingerprints():
 
 def fingerprints(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with the fingerprint as a signed 64-bit ``bits``."""
-    given = docs.withColumn(BITS, F.col(text_col))
-    return append_columns(given, BITS, [StructField("bits", LongType())], _fingerprints, drop=[BITS])
+    return append_columns(docs, text_col, [StructField("bits", LongType())], _fingerprints)
 
 
 def _turn(batches):
@@ -179,8 +177,8 @@ def fingerprint_links(distinct: DataFrame, page: int = PAGE) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id_col, fingerprint (16 hexadecimal digits) and component_id of every row of ``docs``."""
-    given = docs.select(F.col(id_col), F.col(text_col).alias(BITS))
-    marks = append_columns(given, BITS, [StructField("bits", LongType())], _fingerprints, drop=[BITS])
+    given = docs.select(F.col(id_col), F.col(text_col).alias(TEXT))
+    marks = append_columns(given, TEXT, [StructField("bits", LongType())], _fingerprints, drop=[TEXT])
     marks = stored(marks, "fingerprints")
     distinct = stored(marks.groupBy("bits").agg(F.min(id_col).alias("least")), "distinct")
     linked = components(fingerprint_links(distinct))

@@ -35,14 +35,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from blotterflow.llm.batches import append_columns, pieces, strings
+from blotterflow.llm.batches import TEXT, append_columns, pieces, strings
 from blotterflow.llm.tables import discard, stored
 from blotterflow.llm.words import Runs, covered, mix, sliding_min, split_words
 
 WINDOW, ANCHOR = 20, 8
 NO_ID = (1 << 63) - 1
 # names no input column has
-KEY, TEXT, SPANS = "_llm_key", "_llm_text", "_llm_spans"
+KEY, SPANS = "_llm_key", "_llm_spans"
 
 
 def _key(id_col: str) -> Column:
@@ -233,8 +233,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     removed_spans (maximal runs of removed words)."""
     spans = repeated_spans(docs, id_col, text_col).withColumnsRenamed({"key": KEY, "spans": SPANS})
     joined = (
-        docs.withColumns({KEY: _key(id_col), TEXT: F.col(text_col)})
+        docs.withColumn(KEY, _key(id_col))
         .join(spans, KEY, "left")
         .withColumn(SPANS, F.coalesce(SPANS, F.array().cast(spans.schema[SPANS].dataType)))
     )
-    return append_columns(joined, TEXT, FIELDS, _cut, drop=[KEY, TEXT, SPANS])
+    return append_columns(joined, text_col, FIELDS, _cut, drop=[KEY, SPANS])

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField
 
-from blotterflow.llm.batches import append_columns, pieces
+from blotterflow.llm.batches import TEXT, append_columns, pieces
 from blotterflow.llm.language_id import held_out
 from blotterflow.llm.tables import stored
 from blotterflow.llm.words import ALNUM, FOLD, Runs, mix, split_words
@@ -50,7 +50,6 @@ IDENTITIES = (
     ("old", "young", "elderly", "disabled", "blind", "deaf"),
 )
 
-TEXT = "_llm_text"
 FIELDS = [StructField("score", DoubleType()), StructField("predicted", IntegerType())]
 
 
@@ -235,4 +234,4 @@ def score(docs: DataFrame, model: Linear | None, text_col: str = "text") -> Data
 
         return work
 
-    return append_columns(docs.withColumn(TEXT, F.col(text_col)), TEXT, FIELDS, build, drop=[TEXT])
+    return append_columns(docs, text_col, FIELDS, build)
