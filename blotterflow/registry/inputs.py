@@ -28,7 +28,15 @@ from blotterflow.plans.ingest import as_raw_document, with_title_dates
 from blotterflow.registry import samples
 from blotterflow.schemas import RAW_INCIDENTS
 from blotterflow.session import shared_dir
-from blotterflow.sources.tables import MARTS, STORE_TABLES, read_tables
+from blotterflow.sources.tables import (
+    MARTS,
+    STORE_TABLES,
+    marts_exist,
+    read_calendar,
+    read_tables,
+    save_marts,
+    write_csv,
+)
 
 # the years the given orders fall in
 FIRST_YEAR, LAST_YEAR = 1995, 2001
@@ -151,6 +159,12 @@ def staged_incidents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def calendar(spark: SparkSession) -> DataFrame:
+    """The calendar of the orders' years, as a seed file that is read back."""
+    path = written(spark, "", "calendar", lambda folder: write_csv(calendar_rows(spark), folder))
+    return read_calendar(spark, path)
+
+
+def calendar_rows(spark: SparkSession) -> DataFrame:
     """A calendar for the years of the orders, by rule.
 
     Four semesters a year; finals are a semester's last five days; breaks are
@@ -195,6 +209,15 @@ def star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     return read_tables(spark, written(spark, sf, "star", build), MARTS)
 
 
+def catalog(spark: SparkSession, sf: str) -> str:
+    """The catalog database of the marts of ``sf``; they are saved where they don't exist yet."""
+    place = hashlib.sha256(f"{spark.sparkContext.applicationId} {sf}".encode()).hexdigest()[:16]
+    database = f"marts_{place}"
+    if not marts_exist(spark, database):
+        save_marts(star(spark, sf), database, f"{shared_dir(spark)}/{database}")
+    return database
+
+
 def checked_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """Everything the declared checks look at."""
     store = clean_tables(spark, sf)

@@ -116,8 +116,9 @@ ORACLES["first_seen"] = (
     "FROM documents GROUP BY 1"
 )
 ORACLES["csv_flat"] = on_docs(
-    f"SELECT beat_url, beat_title, beat_published_at, date_range_raw, {joined()} AS incident_dates, "
-    "CAST(is_multi_date_beat AS VARCHAR) AS is_multi_date_beat, incident_type, incident_text, raw_text_hash, "
+    f"SELECT beat_url, beat_title, nullif(beat_published_at, '') AS beat_published_at, date_range_raw, "
+    f"nullif({joined()}, '') AS incident_dates, CAST(is_multi_date_beat AS VARCHAR) AS is_multi_date_beat, "
+    "nullif(incident_type, '') AS incident_type, incident_text, raw_text_hash, "
     "strftime(scraped_at, '%Y-%m-%dT%H:%M:%S+00:00') AS scraped_at FROM docs"
 )
 

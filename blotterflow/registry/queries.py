@@ -23,6 +23,7 @@ from blotterflow.plans import warehouse as M
 from blotterflow.registry import inputs as src
 from blotterflow.session import shared_dir
 from blotterflow.sources import html_pages as H
+from blotterflow.sources import tables as TB
 from blotterflow.sources.store import IncidentStore
 from blotterflow.streaming.catchup import run_available
 
@@ -115,7 +116,10 @@ def first_seen(spark, sf):
 
 @query
 def csv_flat(spark, sf):
-    return I.flatten_for_csv(src.raw_documents(spark, sf))
+    """The flat snapshot, written and read back."""
+    raw = src.raw_documents(spark, sf)
+    path = src.written(spark, sf, "flat-csv", lambda folder: TB.write_raw_csv(raw, folder))
+    return TB.read_csv(spark, path, I.flatten_for_csv(raw).schema)
 
 
 # ---- lines to incidents ----------------------------------------------------------
@@ -523,7 +527,8 @@ def incident_detail(spark, sf):
 
 @query
 def spine(spark, sf):
-    return V.date_spine(src.star(spark, sf)["mart_daily_summary"])
+    """The spine of the catalog's summary, which is built if the marts aren't there."""
+    return V.date_spine(spark.table(f"{src.catalog(spark, sf)}.mart_daily_summary"))
 
 
 @query
@@ -608,7 +613,10 @@ def spine_bounds(spark, sf):
 
 @query
 def explorer(spark, sf):
-    return V.explorer(_filtered(spark, sf, "type", "narrative", search=SEARCH))
+    """The explorer's table, exported and read back."""
+    table = V.explorer(_filtered(spark, sf, "type", "narrative", search=SEARCH))
+    path = src.written(spark, sf, "explorer-csv", lambda folder: TB.write_explorer_csv(table, folder))
+    return TB.read_csv(spark, path, table.schema)
 
 
 @query

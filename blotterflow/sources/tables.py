@@ -47,6 +47,12 @@ def write_csv(df: DataFrame, path: str) -> None:
     )
 
 
+def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """What ``write_csv`` wrote; nothing between two commas is NULL."""
+    options = {"header": True, "encoding": "UTF-8", "quote": '"', "escape": '"', "multiLine": True}
+    return spark.read.schema(schema).options(**options).csv(path)
+
+
 def write_raw_csv(raw: DataFrame, path: str) -> None:
     """The flat snapshot of raw documents."""
     write_csv(flatten_for_csv(raw), path)
@@ -88,10 +94,11 @@ def write_mart(df: DataFrame, root: str, name: str) -> None:
         df.write.mode("overwrite").parquet(f"{root}/{name}")
 
 
-def save_marts(marts: Mapping[str, DataFrame], database: str = "analytics") -> None:
-    """Full rebuild as catalog tables."""
+def save_marts(marts: Mapping[str, DataFrame], database: str = "analytics", location: str | None = None) -> None:
+    """Full rebuild as catalog tables, in the warehouse or at a location of their own."""
+    place = f" LOCATION '{location}'" if location else ""
     for name, df in marts.items():
-        df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
         df.write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{name}")
 
 
