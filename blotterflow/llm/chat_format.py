@@ -26,42 +26,66 @@ from pyspark.sql import functions as F
 
 PART = 256
 SYSTEM = "system"
+OWN_HEAD, SYSTEM_HEAD, USER_HEAD, USER_END, END = "<|assistant|>\n", "<|system|>\n", "<|user|> ", ":\n", "<|end|>"
 
 
 def rotate_perspectives(
     turns: DataFrame, conversation: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text"
 ) -> DataFrame:
     """conv_id, perspective, part, begin, n_turns, rendered and spans of every rendering."""
+    has = F.col(conversation).isNotNull()
     given = turns.select(
+        F.when(has, F.concat(F.lit("c"), F.col(conversation).cast("string"))).otherwise("").alias("conv_key"),
         F.col(conversation).alias("conv_id"),
-        F.col(turn).alias("turn"),
-        F.coalesce(F.col(role), F.lit("")).alias("role"),
-        F.coalesce(F.col(text), F.lit("")).alias("text"),
-    ).distinct()
-    given = given.withColumn("part", F.coalesce(F.floor(F.col("turn") / PART), F.lit(-1)))
-    speakers = given.where(F.col("role") != SYSTEM).groupBy("conv_id", "role").agg(F.lit(1)).select(
-        "conv_id", F.col("role").alias("perspective")
+        F.coalesce(F.floor(F.col(turn) / PART), F.lit(-1)).alias("part"),
+        F.struct(
+            F.coalesce(F.col(turn), F.lit(-1)).alias("turn"),
+            F.coalesce(F.col(role), F.lit("")).alias("role"),
+            F.coalesce(F.col(text), F.lit("")).alias("text"),
+        ).alias("said"),
     )
-    # the turns of one part: bounded, as repeated rows are gone and numbers are close
-    parts = given.groupBy("conv_id", "part").agg(
-        F.array_sort(F.collect_list(F.struct(F.coalesce("turn", F.lit(-1)).alias("turn"), "role", "text"))).alias("turns")
+    # a part is bounded: repeated rows are gone before the shuffle, and numbers are close.
+    # This is the only time that texts are shuffled
+    parts = given.groupBy("conv_key", "part").agg(
+        F.any_value("conv_id").alias("conv_id"), F.array_sort(F.collect_set("said")).alias("turns")
     )
-    seen = parts.join(speakers, parts["conv_id"].eqNullSafe(speakers["conv_id"])).drop(speakers["conv_id"])
+
+    def size(t):
+        """The length of a turn that is another speaker's; an own turn is shorter by the difference of heads."""
+        head = F.when(t["role"] == SYSTEM, len(SYSTEM_HEAD)).otherwise(len(USER_HEAD) + len(USER_END) + F.length(t["role"]))
+        return head + F.length(t["text"]) + len(END) + 1
+
+    lengths = parts.select(
+        "conv_key",
+        "part",
+        F.aggregate("turns", F.lit(0).cast("long"), lambda n, t: n + size(t)).alias("length"),
+        F.transform("turns", lambda t: t["role"]).alias("roles"),
+    )
+    speakers = lengths.select("conv_key", F.explode(F.array_distinct("roles")).alias("perspective"))
+    speakers = speakers.where(F.col("perspective") != SYSTEM).distinct()
+    # short rows from here on: one for each part and rendering
+    own = F.size(F.filter("roles", lambda r: r == F.col("perspective")))
+    saved = len(USER_HEAD) + len(USER_END) + F.length("perspective") - len(OWN_HEAD)
+    sized = lengths.join(speakers, "conv_key").select(
+        "conv_key", "perspective", "part", (F.col("length") - own * saved).alias("length")
+    )
+    before = Window.partitionBy("conv_key", "perspective").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    begins = sized.select("conv_key", "perspective", "part", F.coalesce(F.sum("length").over(before), F.lit(0)).alias("begin"))
 
     def head(t):
         return (
-            F.when(t["role"] == F.col("perspective"), "<|assistant|>\n")
-            .when(t["role"] == SYSTEM, "<|system|>\n")
-            .otherwise(F.concat(F.lit("<|user|> "), t["role"], F.lit(":\n")))
+            F.when(t["role"] == F.col("perspective"), OWN_HEAD)
+            .when(t["role"] == SYSTEM, SYSTEM_HEAD)
+            .otherwise(F.concat(F.lit(USER_HEAD), t["role"], F.lit(USER_END)))
         )
 
     pieces = F.transform(
         "turns",
         lambda t: F.struct(
-            head(t).alias("head"), F.concat(t["text"], F.lit("<|end|>")).alias("body"), (t["role"] == F.col("perspective")).alias("own")
+            head(t).alias("head"), F.concat(t["text"], F.lit(END)).alias("body"), (t["role"] == F.col("perspective")).alias("own")
         ),
     )
-    seen = seen.withColumn("pieces", pieces)
+    seen = parts.join(begins, ["conv_key", "part"]).withColumn("pieces", pieces)
     rendered = F.array_join(F.transform("pieces", lambda p: F.concat(p["head"], p["body"], F.lit("\n"))), "")
     start = F.struct(F.lit(0).alias("at"), F.expr("array()").cast("array<struct<begin:int,end:int>>").alias("spans"))
 
@@ -73,19 +97,12 @@ def rotate_perspectives(
             (end + 1).alias("at"), F.when(p["own"], F.concat(s["spans"], F.array(span))).otherwise(s["spans"]).alias("spans")
         )
 
-    out = seen.select(
+    return seen.select(
         "conv_id",
         "perspective",
         "part",
+        "begin",
         F.size("turns").alias("n_turns"),
         rendered.alias("rendered"),
         F.aggregate("pieces", start, step, lambda s: s["spans"]).alias("spans"),
     )
-    # one short row for each part and rendering
-    before = Window.partitionBy("conv_id", "perspective").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    lengths = out.select("conv_id", "perspective", "part", F.length("rendered").alias("length"))
-    begins = lengths.withColumn("begin", F.coalesce(F.sum("length").over(before), F.lit(0))).select(
-        F.col("conv_id").alias("c"), F.col("perspective").alias("p"), F.col("part").alias("q"), "begin"
-    )
-    same = out["conv_id"].eqNullSafe(F.col("c")) & (out["perspective"] == F.col("p")) & (out["part"] == F.col("q"))
-    return out.join(begins, same).select("conv_id", "perspective", "part", "begin", "n_turns", "rendered", "spans")
