@@ -11,8 +11,8 @@ import json
 import os
 import time
 
+import __spark_entry__
 from blotterflow.registry import inputs
-from blotterflow.registry.queries import QUERIES
 from blotterflow.session import build_session
 
 HEADLINE = (
@@ -23,19 +23,24 @@ HEADLINE = (
     "pick_form",
     "page_incidents",
     "report_page_incidents",
+    "pages_to_documents",
     "list_items",
     "deterministic",
     "guarded",
     "source_counts",
     "pending_limit",
     "norm_dates",
+    "norm_snapshot",
     "idempotent_insert",
     "upsert_incidents",
     "replace_dates",
     "dim_date",
     "daily_summary",
+    "check_unique",
+    "check_relationship",
     "check_suite",
     "incident_detail",
+    "outliers_excluded",
     "search",
     "headline",
     "daily_trend",
@@ -45,7 +50,10 @@ HEADLINE = (
     "weekday_profile",
     "filter_options",
     "explorer",
+    "incremental_run",
 )
+# of the corpus operators, where they can be imported
+CORPUS = ("op1_", "op2_", "op3_", "op5_", "op8_", "op10_")
 
 
 def timed(action) -> float:
@@ -68,7 +76,9 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
-    names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
+    known = __spark_entry__.queries()
+    names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n]
+    names = names or [*HEADLINE, *(n for n in known if n.startswith(CORPUS))]
     spark.read.parquet(f"{sf}/orders.parquet").count()  # start the executors
     seconds = {
         "build_landed": timed(lambda: inputs.landed(spark, sf)),
@@ -77,7 +87,7 @@ def main() -> None:
     }
     for name in names:
         seconds[name] = timed(
-            lambda: QUERIES[name](spark, sf).write.format("noop").mode("overwrite").save()
+            lambda: known[name](spark, sf).write.format("noop").mode("overwrite").save()
         )
     print(
         json.dumps(

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from blotterflow import schemas as S
+from blotterflow.operators.classify import source_counts
 from blotterflow.operators.dedup import last_seen
 from blotterflow.operators.normalize import (
     BEAT_ORDER,
@@ -31,6 +32,9 @@ COMMITS = T.StructType(
         T.StructField("batch_id", T.LongType()),
         T.StructField("inserted", T.LongType()),
         T.StructField("skipped", T.LongType()),
+        T.StructField("rejected", T.LongType()),
+        # Incidents per deciding layer
+        T.StructField("sources", T.MapType(T.StringType(), T.LongType())),
     ]
 )
 TABLES = {
@@ -104,7 +108,7 @@ class IncidentStore:
         }
 
     # ---- writing ------------------------------------------------------------
-    def write_batch(self, classified: DataFrame, received: int | None = None) -> int:
+    def write_batch(self, classified: DataFrame, received: int | None = None, rejected: int = 0) -> int:
         """Land classified documents and their clean rows as one unit.
 
         The landed table is read back for the clean rows, so rules and model
@@ -118,12 +122,14 @@ class IncidentStore:
         self._write(last_seen(to_beats(landed), ["beat_url"], BEAT_ORDER), "beats", batch_id)
         self._write(to_incidents(landed), "incidents", batch_id)
         self._write(to_dates(landed), "incident_dates", batch_id)
-        inserted = landed.count()
-        self._commit(batch_id, inserted, (inserted if received is None else received) - inserted)
+        sources = {r.location_source: r.incidents for r in source_counts(landed).collect()}  # a row for each layer
+        inserted = sum(sources.values())
+        skipped = (inserted + rejected if received is None else received) - inserted - rejected
+        self._commit(batch_id, inserted, skipped, rejected, {k: n for k, n in sources.items() if k})
         return batch_id
 
-    def _commit(self, batch_id: int, inserted: int, skipped: int) -> None:
-        row = self.spark.createDataFrame([(batch_id, inserted, skipped)], COMMITS)
+    def _commit(self, batch_id: int, inserted: int, skipped: int, rejected: int = 0, sources: dict | None = None) -> None:
+        row = self.spark.createDataFrame([(batch_id, inserted, skipped, rejected, sources)], COMMITS)
         self._write(row, "commits", batch_id)
 
     def compact_to(self, root: str) -> IncidentStore:

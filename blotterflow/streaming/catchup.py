@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from blotterflow.config import DEFAULT, PipelineConfig
 from blotterflow.operators.classify import Model, classify_pending
@@ -18,10 +19,13 @@ def land_batch(
     """I2, C7, N5-N8 for one batch.
 
     Repeating a batch is harmless: what it committed before has landed, so
-    nothing of it is new.
+    nothing of it is new. Documents without a hash are rejected; the commit counts them,
+    and the incidents per deciding layer (C8).
     """
     fresh = new_rows(store.raw_incidents(), batch, "raw_text_hash", DOCUMENT_ORDER)
-    return store.write_batch(classify_pending(fresh, cfg, model), received=batch.count())
+    seen = batch.agg(F.count(F.lit(1)).alias("rows"), F.count("raw_text_hash").alias("keyed")).first()
+    classified = classify_pending(fresh, cfg, model)
+    return store.write_batch(classified, received=seen.rows, rejected=seen.rows - seen.keyed)
 
 
 def run_available(

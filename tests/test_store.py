@@ -36,7 +36,9 @@ def test_batches_land_once(spark, store):
     land_batch(store, frame(spark, doc("a"), doc("b", "u2"), doc("a")))
     land_batch(store, frame(spark, doc("b", "u2"), doc("c", "u2", "in Lot 999")))
     assert keys(store.incidents()) == ["a", "b", "c"]
-    assert {tuple(r) for r in store.commits().filter("batch_id >= 0").collect()} == {(2, 1, 0), (1, 1, 1)}
+    commits = sorted(store.commits().filter("batch_id >= 0").collect(), key=lambda r: r.batch_id)
+    assert [(r.inserted, r.skipped, r.rejected) for r in commits] == [(2, 1, 0), (1, 1, 0)]
+    assert [sum(r.sources.values()) for r in commits] == [2, 1]
     zones = {r.raw_text_hash: r.location_zone for r in store.incidents().collect()}
     assert zones == {"a": "ACADEMIC_CORE", "b": "ACADEMIC_CORE", "c": "UNKNOWN"}
     assert store.raw_incidents().filter("NOT normalized").count() == 0
@@ -105,3 +107,10 @@ def test_catch_up_runs_see_only_new_files(spark, store, tmp_path):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_documents_without_a_hash_are_rejected_and_counted(spark, store):
+    land_batch(store, frame(spark, doc("a"), doc(None), doc(None)))
+    (row,) = store.commits().filter("batch_id >= 0").collect()
+    assert (row.inserted, row.skipped, row.rejected) == (1, 0, 2)
+    assert keys(store.raw_incidents()) == ["a"]
