@@ -152,22 +152,24 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .where("n > 1")
         .select("anchor", (F.col("low") == F.col("high")).alias("alike"), "earliest")
     )
+    # aggregates are written before they are joined: a join of plain shuffles is what Spark can split at a hot key
+    anchors = stored(anchors, "anchors")
     seeds = stored(found.join(anchors, "anchor"), "seeds")
     alike = seeds.where("alike and key > earliest").select("key", "first", "count", "block")
 
     mixed = seeds.where("not alike").select("key", "anchor", "block", "first", "count")
-    least = mixed.groupBy("anchor", "block").agg(F.min("key").alias("earliest"))
-    classed = stored(mixed.join(least, ["anchor", "block"]), "classes")
+    firsts = stored(mixed.groupBy("anchor", "block").agg(F.min("key").alias("earliest")), "firsts")
+    classed = stored(mixed.join(firsts, ["anchor", "block"]), "classes")
     later = classed.where("key > earliest").select("key", "first", "count", "block")
 
     heads = classed.where("key = earliest")
     to_split = _by_text(heads, "first", "count", "block", "anchor")
     windows = stored(texts.join(to_split, "key").mapInArrow(_emit_windows, BLOCKS), "windows")
-    least = windows.groupBy("anchor", "block").agg(F.min("key").alias("earliest"))
-    single = windows.join(least, ["anchor", "block"]).where("key > earliest").select("key", "first", "count", "block")
+    single_firsts = stored(windows.groupBy("anchor", "block").agg(F.min("key").alias("earliest")), "window-firsts")
+    single = windows.join(single_firsts, ["anchor", "block"]).where("key > earliest").select("key", "first", "count", "block")
 
     spans = stored(_by_text(alike.unionByName(later).unionByName(single), "first", "count", "block"), "spans")
-    discard(seeds, classed, windows)
+    discard(anchors, seeds, firsts, classed, windows, single_firsts)
     return spans
 
 
