@@ -139,7 +139,7 @@ def train(sets: list, labels: np.ndarray, vocabulary: list[int], identities=IDEN
     given = Rows(sets, len(vocabulary))
     original, swapped = [], []
     for s in sets:
-        for other in swaps(list(s), kinds):
+        for other in swaps(np.asarray(s).tolist(), kinds):
             original.append(s)
             swapped.append(other)
     before, after = Rows(original, len(vocabulary)), Rows(swapped, len(vocabulary))
@@ -208,12 +208,16 @@ def fit(
             yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(rows, pa.list_(pa.int32()))], names=["label", "words"])
 
     table = sets.mapInArrow(narrow, "label int, words array<int>").toArrow()
-    order = sorted(zip(table["label"].to_pylist(), table["words"].to_pylist(), strict=True))
+    # as bytes: the sets of all samples are no Python objects at once
+    order = sorted(
+        (label, words.values.to_numpy().astype(np.int32).tobytes())
+        for label, words in zip(table["label"].to_pylist(), table["words"], strict=True)
+    )
     got = np.array([label for label, _ in order])
     if len(set(got.tolist())) < 2:
         return None
     hashes = vocabulary.view(np.uint64)
-    w, bias = train([s for _, s in order], got, hashes.tolist(), identities)
+    w, bias = train([np.frombuffer(s, np.int32) for _, s in order], got, hashes.tolist(), identities)
     some = np.flatnonzero(w)
     by = some[np.argsort(hashes[some])]
     return Linear(hashes[by], w[by], float(bias))
