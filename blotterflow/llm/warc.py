@@ -251,7 +251,7 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     """Writes ``pages`` as archives in the shared folder and reads the records back."""
     spark = pages.sparkSession
     folder = new_path(spark, "warc")
-    if "://" not in folder and not folder.startswith("file:"):
-        folder = f"file://{folder}"
+    if "://" not in folder:  # a bare path, or file:/path
+        folder = f"file://{folder.removeprefix('file:')}"
     manifest = write_warc(pages, folder, id_col, url_col, payload_col)
     return read_warc(spark, folder, manifest)

@@ -4,7 +4,6 @@ import io
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from blotterflow.llm import warc
 from blotterflow.llm.warc import _gzip, digest, members, parse, read_warc, record, round_trip, write_warc
@@ -81,4 +80,3 @@ def test_edges(spark):
 
 def test_digest_is_bare_base32():
     assert digest(b"") == "3I42H3S6NNFQ2MSVX7XZKYAYSCX5QBYJ"
-    assert F is not None
