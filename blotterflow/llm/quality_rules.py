@@ -4,7 +4,7 @@ Words and word pairs are hashed into ``BUCKETS``. Two multinomials over the buck
 are counted: one of trusted texts, one of the whole corpus. A text's score is the mean,
 over its n-grams, of log(trusted / corpus): its length cancels out. Every text is judged
 by the same threshold, without chance: the score that all but ``STRAY`` of the trusted
-texts reach, less ``MARGIN``. A text that fails a base rule is not kept whatever it scores.
+texts reach. A text that fails a base rule is not kept whatever it scores.
 
 The corpus model counts every text. The trusted model counts at most ``TRUSTED`` texts,
 those with the smallest hashed ids, so that their ids can be sent to executors. Counts
@@ -32,7 +32,7 @@ from blotterflow.llm.words import NOT_BLANK, Runs, byte_class, covered, mix, spl
 BUCKETS = 10_000
 #: At most so many trusted texts make the trusted model.
 TRUSTED = 20_000
-STRAY, MARGIN, PRIOR = 0.005, 0.1, 2.0
+STRAY, PRIOR = 0.005, 2.0
 REPEAT = 5
 MIN_WORDS, MAX_REPEATED_PERCENT = 10, 20
 SYMBOL = byte_class(*[(ord(c), ord(c)) for c in "#*$%&|<>"])
@@ -152,7 +152,7 @@ def fit(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: s
 
     scored = marked.where(TRUST).select(TEXT).mapInArrow(score, "score double")
     low = scored.agg(F.percentile_approx("score", STRAY, 10_000).alias("low")).first().low
-    return Ratio(ratio.weights, low - MARGIN)
+    return Ratio(ratio.weights, low)
 
 
 def judge(docs: DataFrame, ratio: Ratio | None, text_col: str = "text") -> DataFrame:

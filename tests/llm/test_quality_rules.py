@@ -81,3 +81,21 @@ def test_edges(spark):
     assert all(r.kept and r.score == 0 for r in out.collect())
     assert quality(df.limit(0), none).count() == 0
     assert quality(df, spark.createDataFrame([(1,), (1,), (None,)], "doc_id long")).count() == 3
+
+
+def test_a_little_junk_is_enough_to_fail(spark):
+    """Trusted texts score alike, so a text well below all of them isn't kept."""
+    pick = random.Random(4)
+    known = sentence(pick, "xx", 40).split()
+    rows = []
+    for i in range(400):
+        words = [pick.choice(known) for _ in range(100)]
+        if i % 4 == 0:
+            words[3] = "%%%"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    out = quality(docs, spark.createDataFrame([(i,) for i in range(400) if i % 4], "doc_id long")).collect()
+    least = min(r.score for r in out if r.doc_id % 4)
+    junk = [r for r in out if r.doc_id % 4 == 0 and r.score < least]
+    assert not any(r.base_failed for r in out) and len(junk) > 90 and min(r.score for r in junk) > least - 0.1
+    assert not any(r.kept for r in junk) and sum(r.kept for r in out if r.doc_id % 4) >= 297
