@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField
 
 from blotterflow.llm.batches import TEXT, append_columns, hidden, pieces, strings, text_bytes
-from blotterflow.llm.tables import stored
+from blotterflow.llm.tables import discard, stored
 from blotterflow.llm.words import FOLD, byte_class
 
 BUCKETS = 1 << 13
@@ -171,6 +171,32 @@ def _cluster(idf: np.ndarray):
     return run
 
 
+def _sendable(by_lang: DataFrame) -> DataFrame:
+    """A written table of a row for each language, sent to executors if it is short."""
+    few = by_lang.limit(LANGUAGES + 1).collect()
+    # if it isn't, the rows have to be dealt by language
+    return F.broadcast(by_lang.sparkSession.createDataFrame(few, by_lang.schema)) if len(few) <= LANGUAGES else by_lang
+
+
+def _sample(known: DataFrame) -> DataFrame:
+    """lang, hash and text of the ``SAMPLE`` smallest distinct hashes of each language, or of all if there are fewer.
+
+    Distinct hashes are counted and ordered first, so that copies don't matter; texts are only
+    shuffled if they are picked.
+    """
+    hashed = known.withColumn("hash", F.xxhash64(TEXT))
+    distinct = stored(hashed.select("lang", "hash").distinct(), "hashes")
+    share = stored(distinct.groupBy("lang").agg((2.0 * SAMPLE / F.count("*")).alias("share")), "shares")
+    # some 2 * SAMPLE of each language: the SAMPLE smallest are among them
+    near = distinct.join(_sendable(share), "lang").where(F.col("hash") / 2.0**64 + 0.5 <= F.col("share"))
+    near = stored(near.select("lang", "hash"), "near-hashes")
+    first = F.slice(F.array_sort(F.collect_list("hash")), 1, SAMPLE)
+    last = stored(near.groupBy("lang").agg(F.array_max(first).alias("last")), "last-hashes")
+    discard(distinct, share, near)
+    picked = hashed.join(_sendable(last), "lang").where("hash <= last")
+    return picked.select("lang", "hash", TEXT).dropDuplicates(["lang", "hash"])
+
+
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Centroids | None:
     """Learns from all rows of ``labelled`` with a language; None if there are none."""
     known = labelled.select(F.col(text_col).alias(TEXT), F.col(lang_col).alias("lang")).where(f"lang is not null and {TEXT} is not null")
@@ -183,13 +209,7 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
     seen[list(found)] = list(found.values())
     idf = (np.log((1 + n) / (1 + seen)) + 1).astype(np.float32)
 
-    share = known.groupBy("lang").agg(F.least(F.lit(1.0), 2.0 * SAMPLE / F.count("*")).alias("share"))
-    few = share.limit(LANGUAGES + 1).collect()
-    if len(few) <= LANGUAGES:  # else the texts have to be dealt by language
-        share = F.broadcast(known.sparkSession.createDataFrame(few, share.schema))
-    hashed = known.withColumn("hash", F.xxhash64(TEXT))
-    picked = hashed.join(share, "lang").where(F.pmod("hash", F.lit(1 << 20)) < F.col("share") * (1 << 20))
-    sample = picked.select("lang", "hash", TEXT).dropDuplicates(["lang", "hash"])
+    sample = _sample(known)
     made = sample.groupBy("lang").applyInPandas(_cluster(idf), "lang string, centroid binary, floor double")
     rows = sorted(stored(made, "centroids").collect(), key=lambda r: (r.lang, r.centroid))
     if not rows:

@@ -80,3 +80,20 @@ def test_blocks_of_rows_change_nothing():
     whole = np.concatenate([c for _, c in L.counts(pa.array(texts))])
     single = np.concatenate([next(L.counts(pa.array([t])))[1] for t in texts])
     assert (whole == single).all()
+
+
+def test_copies_leave_no_language_out(spark):
+    pick = random.Random(6)
+    given = [(sentence(pick, "xx", 40), f"l{i}") for i in range(8)]
+    copies = spark.createDataFrame(given, "text string, lang string").crossJoin(spark.range(3000)).drop("id")
+    assert L.fit(copies).langs == [f"l{i}" for i in range(8)]
+
+
+def test_sample_is_the_smallest_hashes(spark):
+    texts = spark.range(3 * L.SAMPLE).selectExpr("concat('tha ', id) as text", "'xx' as lang")
+    texts = texts.union(texts.limit(1).crossJoin(spark.range(20_000)).drop("id")).union(spark.createDataFrame([("sch", "yy")] * 9, "text string, lang string"))
+    known = texts.withColumnRenamed("text", L.TEXT)
+    want = sorted(r.h for r in known.where("lang = 'xx'").selectExpr(f"xxhash64({L.TEXT}) as h").distinct().collect())[: L.SAMPLE]
+    got = L._sample(known).collect()
+    assert sorted(r.hash for r in got if r.lang == "xx") == want
+    assert [r[L.TEXT] for r in got if r.lang == "yy"] == ["sch"]
