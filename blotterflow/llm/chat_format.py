@@ -6,13 +6,14 @@ turns stay system turns. Each turn becomes ``<|assistant|>`` (or ``<|system|>``,
 ``<|user|> name:``), a line feed, the text, ``<|end|>`` and a line feed. The mask covers
 what the assistant is to learn: the text and ``<|end|>`` of its turns.
 
-A rendering is a row for each part: turns with one value of turn div ``PART``, so that a
-conversation of any length is no group of unbounded size. Parts in order of ``part``
-make up the whole rendering; ``begin`` says where a part starts in it, and ``spans`` are
+A rendering is a row for each part: turns are numbered in their order and cut after every
+``PART``, so that a conversation of any length, with whatever turn numbers, is no group of
+unbounded size. For that, turns are dealt out by ranges of their order, and places in a
+task become places in the conversation. Parts in order of ``part`` make up the whole rendering; ``begin`` says where a part starts in it, and ``spans`` are
 places in the part, in characters. Sums over parts are counted before they are ordered.
 
 Cases: a null text is empty. A turn without a role is a user without a name; it is a
-participant under the empty name. Null turns stand first, in part -1. Turns of equal
+participant under the empty name. Null turns stand first. Turns of equal
 number are ordered by role and text; rows that repeat conversation, turn, role and text
 are one turn. Rows without conversation are one conversation without id. A conversation
 of system turns only has no rendering. An empty table gives no rows; other columns are
@@ -24,7 +25,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from blotterflow.llm.tables import discard, stored
+
 PART = 256
+#: So many characters of a text are read for dealing out turns; their order is by all.
+HEAD = 64
 SYSTEM = "system"
 OWN_HEAD, SYSTEM_HEAD, USER_HEAD, USER_END, END = "<|assistant|>\n", "<|system|>\n", "<|user|> ", ":\n", "<|end|>"
 
@@ -37,18 +42,24 @@ def rotate_perspectives(
     given = turns.select(
         F.when(has, F.concat(F.lit("c"), F.col(conversation).cast("string"))).otherwise("").alias("conv_key"),
         F.col(conversation).alias("conv_id"),
-        F.coalesce(F.floor(F.col(turn) / PART), F.lit(-1)).alias("part"),
-        F.struct(
-            F.coalesce(F.col(turn), F.lit(-1)).alias("turn"),
-            F.coalesce(F.col(role), F.lit("")).alias("role"),
-            F.coalesce(F.col(text), F.lit("")).alias("text"),
-        ).alias("said"),
-    )
-    # a part is bounded: repeated rows are gone before the shuffle, and numbers are close.
-    # This is the only time that texts are shuffled
-    parts = given.groupBy("conv_key", "part").agg(
-        F.any_value("conv_id").alias("conv_id"), F.array_sort(F.collect_set("said")).alias("turns")
+        F.col(turn).alias("turn"),
+        F.coalesce(F.col(role), F.lit("")).alias("role"),
+        F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
+    # repeated rows are gone before the shuffle
+    order = ["conv_key", "turn", "role"]
+    dealt = given.distinct().repartitionByRange(*order, F.substring("text", 1, HEAD)).sortWithinPartitions(*order, "text")
+    written = stored(dealt.withColumn("row", F.monotonically_increasing_id()), "turns")
+    placed = written.withColumn("task", F.shiftright("row", 33))
+    # a conversation's rows in one task have numbers in a row; short rows tell what stands before them
+    runs = placed.groupBy("conv_key", "task").agg(F.min("row").alias("first"), F.count("*").alias("n"))
+    earlier = Window.partitionBy("conv_key").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.col("first") - F.coalesce(F.sum("n").over(earlier), F.lit(0))
+    runs = stored(runs.select("conv_key", "task", zero.alias("zero")), "runs")
+    numbered = placed.join(runs, ["conv_key", "task"]).withColumn("part", F.floor((F.col("row") - F.col("zero")) / PART))
+    said = F.array_sort(F.collect_list(F.struct("row", "role", "text"))).alias("turns")
+    parts = stored(numbered.groupBy("conv_key", "part").agg(F.any_value("conv_id").alias("conv_id"), said), "parts")
+    discard(written, runs)
 
     def size(t):
         """The length of a turn that is another speaker's; an own turn is shorter by the difference of heads."""

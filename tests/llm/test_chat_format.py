@@ -56,3 +56,16 @@ def test_edges(spark):
     rows = [(1, 0, "a", "x" * 100_000, 1, "p"), (1, 0, "a", "x" * 100_000, 2, "p")]
     out = rotate_perspectives(spark.createDataFrame(rows, SCHEMA + ", part int, perspective string"))
     assert joined(out) == brute([r[:4] for r in rows])
+
+
+def test_parts_are_bounded_whatever_the_turn_numbers(spark):
+    n = 3 * PART + 9
+    rows = [(None, i % 3, ("ann", "bob")[i % 2], f"x{i}") for i in range(n)]
+    rows += [(1, None, "ann", f"y{i}") for i in range(n)] + [(2, 5, "ann", "same beginning " * 9 + str(i)) for i in range(n)]
+    rows += [(3, i, "ann", "z") for i in (-300, -1, 4, None)] + [(3, -1, "ann", "z")] * 500
+    out = rotate_perspectives(spark.createDataFrame(rows, SCHEMA).repartition(4)).cache()
+    assert out.where(f"n_turns > {PART}").count() == 0 and out.count() == 2 * 4 + 4 + 4 + 1
+    got = joined(out)
+    assert len(got[3, "ann"][1]) == 4
+    want = brute([r for r in rows if r[0] != 3])
+    assert {k: v for k, v in got.items() if k[0] != 3} == want
