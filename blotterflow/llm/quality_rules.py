@@ -6,9 +6,9 @@ over its n-grams, of log(trusted / corpus): its length cancels out. Every text i
 by the same threshold, without chance: the score that all but ``STRAY`` of the trusted
 texts reach. A text that fails a base rule is not kept whatever it scores.
 
-The corpus model counts every text. The trusted model counts at most ``TRUSTED`` texts,
-those with the smallest hashed ids, so that their ids can be sent to executors. Counts
-are summed in each task first: a task sends one row for each bucket.
+The corpus model counts every text, the trusted model every trusted one, and the threshold
+comes from the scores of all of these. Trusted ids are joined by a shuffle. Counts are
+summed in each task first: a task sends one row for each bucket.
 
 Cases: null and empty texts have no words, fail the base rules and score 0. Rows with
 the same id are trusted together; a null id never is. Without trusted texts the base
@@ -24,20 +24,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField
+from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
 from blotterflow.llm.batches import TEXT, append_columns, pieces
+from blotterflow.llm.tables import discard, stored
 from blotterflow.llm.words import NOT_BLANK, Runs, byte_class, covered, mix, split_words
 
 BUCKETS = 10_000
-#: At most so many trusted texts make the trusted model.
-TRUSTED = 20_000
 STRAY, PRIOR = 0.005, 2.0
 REPEAT = 5
 MIN_WORDS, MAX_REPEATED_PERCENT = 10, 20
 SYMBOL = byte_class(*[(ord(c), ord(c)) for c in "#*$%&|<>"])
 
-TRUST = "_llm_trust"
+ID = "_llm_id"
 FIELDS = [StructField(n, LongType()) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
 FIELDS += [StructField("base_failed", BooleanType()), StructField("score", DoubleType()), StructField("kept", BooleanType())]
 
@@ -109,37 +108,33 @@ class Ratio:
 
 
 def _count_grams(batches):
-    total = np.zeros((2, BUCKETS), np.int64)
+    total = np.zeros(BUCKETS, np.int64)
     for batch in batches:
         for piece in pieces(batch, TEXT):
-            buckets, text = grams(split_words(piece.column(TEXT)))
-            total[0] += np.bincount(buckets, minlength=BUCKETS)
-            trusted = piece.column(TRUST).to_numpy(zero_copy_only=False).astype(bool)
-            total[1] += np.bincount(buckets[trusted[text]], minlength=BUCKETS)
+            total += np.bincount(grams(split_words(piece.column(TEXT)))[0], minlength=BUCKETS)
     if total.any():
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(BUCKETS, dtype=np.int32)), pa.array(total[0]), pa.array(total[1])],
-            names=["bucket", "corpus", "trusted"],
-        )
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(BUCKETS, dtype=np.int32)), pa.array(total)], names=["bucket", "n"])
+
+
+def _gram_counts(texts: DataFrame) -> np.ndarray:
+    counted = texts.mapInArrow(_count_grams, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    total = np.zeros(BUCKETS)
+    for r in counted.collect():
+        total[r.bucket] = r.n
+    return total
 
 
 def fit(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Ratio | None:
     """``trusted`` has the ids of trusted texts. None if no text is."""
     spark = docs.sparkSession
-    ids = trusted.select(F.col(id_col).alias("id")).where("id is not null").distinct()
-    ids = [r.id for r in ids.orderBy(F.xxhash64("id"), "id").limit(TRUSTED).collect()]
-    known = spark.createDataFrame([(i,) for i in ids], trusted.select(F.col(id_col).alias("_llm_id")).schema)
-    known = known.withColumn(TRUST, F.lit(True))
-    given = docs.select(F.col(id_col).alias("_llm_id"), F.col(text_col).alias(TEXT))
-    # at most TRUSTED ids are sent
-    marked = given.join(F.broadcast(known), "_llm_id", "left").select(TEXT, F.coalesce(TRUST, F.lit(False)).alias(TRUST))
-    counted = marked.mapInArrow(_count_grams, "bucket int, corpus long, trusted long").groupBy("bucket")
-    rows = counted.agg(F.sum("corpus").alias("corpus"), F.sum("trusted").alias("trusted")).collect()
-    total = np.zeros((2, BUCKETS))
-    for r in rows:
-        total[:, r.bucket] = r.corpus, r.trusted
-    if not total[1].any():
+    # written first: a join of plain shuffles is what Spark can split at a hot key
+    ids = stored(trusted.select(F.col(id_col).alias(ID)).where(F.col(ID).isNotNull()).distinct(), "trusted-ids")
+    given = docs.select(F.col(id_col).alias(ID), F.col(text_col).alias(TEXT))
+    known = given.where(F.col(ID).isNotNull())
+    own = _gram_counts(known.join(ids, ID, "left_semi").select(TEXT))
+    if not own.any():
         return None
+    total = _gram_counts(given.select(TEXT)), own
     # trusted counts against those the corpus lets expect; where few are, both are drawn together
     expected = total[0] * (total[1].sum() / total[0].sum())
     ratio = Ratio(np.log((total[1] + PRIOR) / (expected + PRIOR)), 0.0)
@@ -148,10 +143,13 @@ def fit(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: s
     def score(batches):
         for batch in batches:
             for piece in pieces(batch, TEXT):
-                yield pa.RecordBatch.from_arrays([pa.array(sent.value.scores(split_words(piece.column(TEXT))))], names=["score"])
+                scores = pa.array(sent.value.scores(split_words(piece.column(TEXT))))
+                yield pa.RecordBatch.from_arrays([piece.column(ID), scores], names=[ID, "score"])
 
-    scored = marked.where(TRUST).select(TEXT).mapInArrow(score, "score double")
+    # every text is scored, as ids and scores are shuffled for less than texts are
+    scored = known.mapInArrow(score, StructType([known.schema[ID], StructField("score", DoubleType())])).join(ids, ID, "left_semi")
     low = scored.agg(F.percentile_approx("score", STRAY, 10_000).alias("low")).first().low
+    discard(ids)
     return Ratio(ratio.weights, low)
 
 

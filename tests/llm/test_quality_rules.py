@@ -3,7 +3,7 @@ from collections import Counter
 
 import pytest
 
-from blotterflow.llm.quality_rules import quality
+from blotterflow.llm.quality_rules import fit, quality
 from tests.llm import brute
 from tests.llm.test_language_id import sentence
 
@@ -99,3 +99,9 @@ def test_a_little_junk_is_enough_to_fail(spark):
     junk = [r for r in out if r.doc_id % 4 == 0 and r.score < least]
     assert not any(r.base_failed for r in out) and len(junk) > 90 and min(r.score for r in junk) > least - 0.1
     assert not any(r.kept for r in junk) and sum(r.kept for r in out if r.doc_id % 4) >= 297
+
+
+def test_every_trusted_text_counts(spark):
+    """Where all texts are trusted, both models are the same."""
+    docs = spark.range(20_500).selectExpr("id as doc_id", "concat('w', id, ' of') as text")
+    assert not fit(docs, docs).weights.any()
