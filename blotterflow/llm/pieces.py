@@ -4,7 +4,7 @@ Merging joins, again and again, the neighbouring pieces whose joined piece has t
 score. The same result comes out without merging: a sequence of pieces is the encoding
 if and only if each two neighbours are *compatible*, that is, if merging their joined
 text gives these two pieces back. So a text is read from the left, taking the longest
-piece that fits (found for all places at once by an Aho-Corasick automaton), a shorter
+piece that fits (found by walking the trie of pieces from each place reached), a shorter
 one where the pair is not compatible, and going back where none is. A bitfield of places
 from which no encoding goes on keeps this linear.
 
