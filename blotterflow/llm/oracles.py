@@ -95,3 +95,84 @@ SELECT page_id, payload_bytes,
        CASE WHEN first < page_id THEN first END AS refers_to
 FROM payloads JOIN firsts USING (hex)
 """
+
+ORACLES["op11_jaccard_join"] = r"""
+WITH RECURSIVE texts AS MATERIALIZED (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'
+    ) AS words FROM documents
+), shingles AS MATERIALIZED (
+    SELECT DISTINCT doc_id, array_to_string(list_slice(words, spot, spot + 3), ' ') AS shingle
+    FROM (SELECT doc_id, words, unnest(generate_series(1, greatest(len(words) - 3, 1))) AS spot FROM texts WHERE len(words) > 0)
+), sizes AS MATERIALIZED (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS MATERIALIZED (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+    FROM shingles x JOIN shingles y USING (shingle) WHERE x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id
+), links AS MATERIALIZED (
+    SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+    WHERE 100 * shared >= 85 * (p.n + q.n - shared)
+), reached AS (
+    SELECT doc_id AS origin, doc_id AS seen FROM sizes
+    UNION
+    SELECT r.origin, l.b FROM reached r JOIN links l ON l.a = r.seen
+), least AS (
+    SELECT origin, min(seen) AS component_id FROM reached GROUP BY origin
+)
+SELECT t.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, coalesce(c.component_id, t.doc_id) AS component_id
+FROM texts t LEFT JOIN sizes s USING (doc_id) LEFT JOIN least c ON c.origin = t.doc_id
+"""
+
+ORACLES["op12_ranked_search"] = r"""
+WITH held AS MATERIALIZED (
+    SELECT doc_id, term, count(*) AS tf FROM (
+        SELECT doc_id, unnest(regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'
+        )) AS term FROM documents
+    ) GROUP BY doc_id, term
+), asked AS MATERIALIZED (
+    SELECT item_id, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'
+    )) AS term FROM benchmark
+), sizes AS MATERIALIZED (
+    SELECT doc_id, sum(tf)::BIGINT AS n FROM held GROUP BY doc_id
+), corpus AS (
+    SELECT count(*)::BIGINT AS total, sum(n)::BIGINT AS words FROM sizes
+), norms AS MATERIALIZED (
+    SELECT doc_id, 100 - 25 + (25 * n * total) // words AS m FROM sizes, corpus
+), weights AS MATERIALIZED (
+    SELECT term, floor(1000 * ln((2 * total + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+    FROM (SELECT term, count(*) AS df FROM held GROUP BY term), corpus
+), scores AS (
+    SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+    FROM asked JOIN held USING (term) JOIN weights USING (term) JOIN norms USING (doc_id)
+    GROUP BY item_id, doc_id
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM scores WHERE score > 0
+QUALIFY rank <= 20
+"""
+
+ORACLES["op13_hard_negatives"] = """
+WITH given AS MATERIALIZED (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS MATERIALIZED (
+    SELECT a.vec_id AS anchor_id, a.label = c.label AS kin, c.vec_id AS other_id, list_dot_product(a.v, c.v)::BIGINT AS score
+    FROM given a JOIN given c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id
+), positives AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE kin
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)::INT AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT kin AND 100 * score BETWEEN 50 * positive_score AND 95 * positive_score
+QUALIFY rank <= 3
+"""

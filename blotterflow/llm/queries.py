@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 from blotterflow.llm import (
     chat_format,
     decontaminate,
+    hard_negatives,
+    jaccard_join,
     language_id,
     quality_rules,
+    ranked_search,
     sentencepiece_codec,
     simhash_dedup,
     substring_dedup,
@@ -116,3 +119,21 @@ def op8_warc(spark, sf):
         "record_type",
         F.regexp_extract("refers_to", f"^{warc.PREFIX}(-?[0-9]+)$", 1).cast("long").alias("refers_to"),
     )
+
+
+@query
+def op11_jaccard_join(spark, sf):
+    return jaccard_join.jaccard_classes(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+@query
+def op12_ranked_search(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return ranked_search.search(docs, table(spark, sf, "benchmark"))
+
+
+@query
+def op13_hard_negatives(spark, sf):
+    vectors = table(spark, sf, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
