@@ -21,7 +21,8 @@ link of its own, so components come out as from all pairs.
 
 *Verification.* Candidates of all shingles are made distinct, then compared once, by the
 intersection of their whole sets, which are made again from the texts for the classes in
-question. Shingles and sets are known by hashes of 64 bits.
+question. Classes that share several shingles mostly share them in a row: a pair is left
+out where both have the same one before. Shingles and sets are known by hashes of 64 bits.
 
 Cases: texts without words, null too, have the empty set and are linked with nothing; their
 component is their own id. A text of fewer words than a shingle has one shingle, all of it. A null id
@@ -35,7 +36,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
@@ -264,11 +265,14 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     by_label = known.groupBy("token", "label").count()
     largest = by_label.groupBy("token").agg(F.max(F.struct("count", "label")).alias("most"), F.count("*").alias("labels"))
     mixed = stored(largest.where("labels > 1").select("token", F.col("most.label").alias("main")), "mixed")
-    rows = stored(known.join(mixed, "token"), "across")
+    before = F.lag("token").over(Window.partitionBy("key").orderBy("place"))
+    rows = stored(known.join(mixed, "token").withColumn("before", before), "across")
     left = _named(rows.where("label <> main").drop("main"), "a_", "token")
     right = _named(rows.drop("main"), "b_", "token")
     room = F.least(F.col("a_n") - F.col("a_place"), F.col("b_n") - F.col("b_place"))
-    across = left.join(right, "token").where((F.col("a_label") != F.col("b_label")) & (room >= _needed("a_n", "b_n")) & _near())
+    # two classes with the same shingle before this one have met there, with more room still
+    new = ~F.coalesce(F.col("a_before") == F.col("b_before"), F.lit(False))
+    across = left.join(right, "token").where((F.col("a_label") != F.col("b_label")) & new & (room >= _needed("a_n", "b_n")) & _near())
     second = _links(stored(_pairs(across.select(F.col("a_key").alias("a"), F.col("b_key").alias("b"))), "pairs"), classes, given)
 
     linked = components(first.unionByName(second)).select(F.col("node").alias("key"), "component")
