@@ -217,7 +217,9 @@ def _links(pairs: DataFrame, classes: DataFrame, given: DataFrame) -> DataFrame:
     one = sets.select(F.col("key").alias("a"), F.col("shingles").alias("x"))
     other = sets.select(F.col("key").alias("b"), F.col("shingles").alias("y"))
     shared = F.size(F.array_intersect("x", "y"))
-    counted = pairs.join(one, "a").join(other, "b").select("a", "b", (F.size("x") + F.size("y")).alias("both"), shared.alias("shared"))
+    # one plan at every size: sets are large, so neither side is ever sent whole
+    met = pairs.hint("merge").join(one, "a").hint("merge").join(other, "b")
+    counted = met.select("a", "b", (F.size("x") + F.size("y")).alias("both"), shared.alias("shared"))
     links = stored(counted.where(100 * F.col("shared") >= PERCENT * (F.col("both") - F.col("shared"))).select("a", "b"), "links")
     discard(wanted, sets)
     return links
