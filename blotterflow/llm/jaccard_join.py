@@ -13,14 +13,15 @@ the shingles that only one of them has are few enough (suffix): shingles are dea
 least one such shingle. Each of the three only leaves out pairs that can't be linked.
 
 *No hot group is paired with itself.* In the first round each class meets two classes of each
-of its shingles only, the one with the least key and the one with the largest. Their links, verified, are
+of its shingles only, the one with the least key and the one with the largest, and is
+compared with the ``STARS`` it meets most often. Their links, verified, are
 joined into components. The second round looks at all other pairs, but only across
 components: within the postings of a shingle the largest component isn't paired
 with itself, and shingles of one component are left out. A pair of one component needs no
 link of its own, so components come out as from all pairs.
 
-*Verification.* Candidates of all shingles are made distinct, then compared once, by the
-intersection of their whole sets, which are made again from the texts for the classes in
+*Verification.* Candidates of all shingles are made distinct, pass the suffix filter once more
+with ``FINE`` parts, then are compared once, by the intersection of their whole sets, which are made again from the texts for the classes in
 question. Classes that share several shingles mostly share them in a row: a pair is left
 out where both have the same one before. Shingles and sets are known by hashes of 64 bits.
 
@@ -51,9 +52,13 @@ BUCKETS = 1 << BUCKET_BITS
 #: Parts of the suffix filter, 64 in a column.
 SKETCH = 512
 SKETCHES = [f"s{i}" for i in range(SKETCH // 64)]
+#: Parts of the same filter as it is applied to pairs, before whole sets are moved.
+FINE = 4096
+#: Classes that a class is compared with in the first round; the second round finds the rest.
+STARS = 2
 #: Bits of a filter sent to executors, whatever the data: 64 in a row.
 FILTER_BITS = 1 << 25
-ROWS = 4096
+ROWS, FINE_ROWS = 4096, 512
 # names no input column has
 ID = "_llm_id"
 
@@ -86,11 +91,11 @@ def set_keys(text: np.ndarray, hashes: np.ndarray, texts: int) -> tuple[np.ndarr
     return n, mix(sums + mix(n.astype(np.uint64) + np.uint64(11))).view(np.int64)
 
 
-def sketches(text: np.ndarray, hashes: np.ndarray, texts: int) -> np.ndarray:
+def sketches(text: np.ndarray, hashes: np.ndarray, texts: int, parts: int = SKETCH) -> np.ndarray:
     """A bit for each part: whether a set has an odd number of shingles there."""
-    part = text * SKETCH + (hashes & np.uint64(SKETCH - 1)).astype(np.int64)
-    odd = (np.bincount(part, minlength=texts * SKETCH) & 1).astype(np.uint8)
-    return np.packbits(odd.reshape(texts, SKETCH), axis=1, bitorder="little").view(np.int64)
+    part = text * parts + (hashes & np.uint64(parts - 1)).astype(np.int64)
+    odd = (np.bincount(part, minlength=texts * parts) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(texts, parts), axis=1, bitorder="little").view(np.int64)
 
 
 def buckets(hashes: np.ndarray) -> np.ndarray:
@@ -101,12 +106,12 @@ def prefix_length(n):
     return n - -(-PERCENT * n // 100) + 1
 
 
-def _slices(batches):
-    """Pieces of bounded text and of at most ``ROWS`` rows."""
+def _slices(batches, rows: int = ROWS):
+    """Pieces of bounded text and of at most ``rows`` rows."""
     for batch in batches:
         for piece in pieces(batch, TEXT):
-            for low in range(0, piece.num_rows, ROWS):
-                yield piece.slice(low, ROWS)
+            for low in range(0, piece.num_rows, rows):
+                yield piece.slice(low, rows)
 
 
 def _described(kind: pa.DataType):
@@ -155,16 +160,23 @@ def _postings(sent):
 
 
 def _whole_sets(batches):
-    """Key and all shingles of the classes that the task sees."""
+    """Key, fine sketch and all shingles of the classes that the task sees."""
     seen = set()
-    for piece in _slices(batches):
+    for piece in _slices(batches, FINE_ROWS):
         text, hashes = shingle_sets(piece.column(TEXT))
         n, keys = set_keys(text, hashes, piece.num_rows)
-        for i, (key, low) in enumerate(zip(keys.tolist(), np.searchsorted(text, np.arange(len(n))).tolist(), strict=True)):
+        first = []
+        for i, key in enumerate(keys.tolist()):
             if n[i] and key not in seen:
                 seen.add(key)
-                own = pa.ListArray.from_arrays(pa.array([0, int(n[i])], pa.int32()), pa.array(hashes[low : low + n[i]].view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array([key]), own], names=["key", "shingles"])
+                first.append(i)
+        if first:
+            fine = sketches(text, hashes, piece.num_rows, FINE)[first]
+            own = np.isin(text, first)
+            columns = [pa.array(keys[first])]
+            for values, sizes in ((fine.reshape(-1), np.full(len(first), FINE // 64)), (hashes[own].view(np.int64), n[first])):
+                columns.append(pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.array(values)))
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "fine", "shingles"])
 
 
 def _place(value: Column) -> Column:
@@ -212,14 +224,23 @@ def _links(pairs: DataFrame, classes: DataFrame, given: DataFrame) -> DataFrame:
     keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
     wanted = stored(keys.join(classes.select("key", ID), "key"), "wanted")
     texts = _passing(given, ID, _filter(wanted, ID))
-    made = texts.mapInArrow(_whole_sets, "key long, shingles array<long>")
-    sets = stored(made.join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"]), "sets")
-    one = sets.select(F.col("key").alias("a"), F.col("shingles").alias("x"))
-    other = sets.select(F.col("key").alias("b"), F.col("shingles").alias("y"))
+    made = texts.mapInArrow(_whole_sets, "key long, fine array<long>, shingles array<long>")
+    sets = stored(made.withColumn("row", F.monotonically_increasing_id()), "sets")
+    # rows that repeat an id and a text, in several tasks, have made one set more than once
+    firsts = stored(sets.groupBy("key").agg(F.min("row").alias("row")), "firsts").withColumnRenamed("row", "first")
+
+    def beside(pairs: DataFrame, what: str) -> DataFrame:
+        """One plan at every size: sets are large, so neither side is ever sent whole."""
+        own = sets.select("key", "row", what).hint("merge").join(firsts, "key").where(F.col("row") == F.col("first"))
+        met = pairs.hint("merge").join(own.select(F.col("key").alias("a"), F.col(what).alias("x")), "a")
+        return met.hint("merge").join(own.select(F.col("key").alias("b"), F.col(what).alias("y")), "b")
+
+    sized = classes.select("key", "n")
+    both = pairs.join(_named(sized, "a_").withColumnRenamed("a_key", "a"), "a").join(_named(sized, "b_").withColumnRenamed("b_key", "b"), "b")
+    odd = F.aggregate(F.zip_with("x", "y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, n: s + n)
+    likely = beside(both, "fine").where(odd <= F.col("a_n") + F.col("b_n") - 2 * _needed("a_n", "b_n")).select("a", "b")
     shared = F.size(F.array_intersect("x", "y"))
-    # one plan at every size: sets are large, so neither side is ever sent whole
-    met = pairs.hint("merge").join(one, "a").hint("merge").join(other, "b")
-    counted = met.select("a", "b", (F.size("x") + F.size("y")).alias("both"), shared.alias("shared"))
+    counted = beside(stored(likely, "likely"), "shingles").select("a", "b", (F.size("x") + F.size("y")).alias("both"), shared.alias("shared"))
     links = stored(counted.where(100 * F.col("shared") >= PERCENT * (F.col("both") - F.col("shared"))).select("a", "b"), "links")
     discard(wanted, sets)
     return links
@@ -251,24 +272,23 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     hits = stored(few.hint("merge").join(tokens, "token").distinct(), "hits")
     discard(postings)
 
-    # first round: every class against the two ends of each of its shingles
+    # first round: every class against the ends of its shingles, those it meets most often
     sized = classes.select("key", "n", *SKETCHES)
-    starred = _pairs(hits.select(F.col("key").alias("a"), F.explode(F.array("low", "high")).alias("b")))
-    met = starred.join(_named(sized, "a_", "a").withColumnRenamed("a_key", "a"), "a")
-    met = met.join(_named(sized, "b_").withColumnRenamed("b_key", "b"), "b")
-    first = _links(stored(met.where(_near()).select("a", "b"), "starred"), classes, given)
+    meetings = hits.select(F.col("key").alias("a"), F.explode(F.array("low", "high")).alias("b")).where("a <> b").groupBy("a", "b").count()
+    met = meetings.join(_named(sized, "a_").withColumnRenamed("a_key", "a"), "a").join(_named(sized, "b_").withColumnRenamed("b_key", "b"), "b")
+    order = Window.partitionBy("a").orderBy(F.desc("count"), "b")
+    starred = met.where(_near()).select("a", "b", F.row_number().over(order).alias("place")).where(F.col("place") <= STARS)
+    first = _links(stored(_pairs(starred), "starred"), classes, given)
 
     # second round: all others, across the components of the first
     labels = components(first).select(F.col("node").alias("key"), F.col("component").alias("known"))
-    known = stored(
-        hits.select("token", "key", "place").join(sized, "key").join(labels, "key", "left").withColumn("label", F.coalesce("known", "key")).drop("known"),
-        "labelled",
-    )
+    label = F.coalesce("known", "key").alias("label")
+    known = stored(hits.select("token", "key", "place").join(labels, "key", "left").select("token", "key", "place", label), "labelled")
     by_label = known.groupBy("token", "label").count()
     largest = by_label.groupBy("token").agg(F.max(F.struct("count", "label")).alias("most"), F.count("*").alias("labels"))
     mixed = stored(largest.where("labels > 1").select("token", F.col("most.label").alias("main")), "mixed")
     before = F.lag("token").over(Window.partitionBy("key").orderBy("place"))
-    rows = stored(known.join(mixed, "token").withColumn("before", before), "across")
+    rows = stored(known.join(mixed, "token").withColumn("before", before).join(sized, "key"), "across")
     left = _named(rows.where("label <> main").drop("main"), "a_", "token")
     right = _named(rows.drop("main"), "b_", "token")
     room = F.least(F.col("a_n") - F.col("a_place"), F.col("b_n") - F.col("b_place"))
