@@ -12,24 +12,26 @@ from blotterflow.plans import warehouse as M
 from blotterflow.plans.build import build_marts
 from blotterflow.sources.tables import read_calendar
 
-AT = datetime(2026, 6, 23)
+AT = datetime(2024, 12, 3)
 
 
 def incident(key, kind, text, zone, source, *dates):
     ends = [date.fromisoformat(d) for d in dates] or [None]
     tier = "NONE" if zone == "UNKNOWN" else "HIGH"
-    return (f"hash_{key}", f"u{key}", kind, text, zone, tier, source, False, ends[0], ends[-1])
+    return (f"incident-{key}", f"u{key}", kind, text, zone, tier, source, False, ends[0], ends[-1])
 
 
 @pytest.fixture(scope="module")
 def store(spark):
+    """Five incidents around a break that ends with a game on a Saturday."""
     incidents = [
-        incident("a", "Fire Alarm", "Alarm at the HBLL.", "ACADEMIC_CORE", "landmark", "2026-06-16"),
-        incident("b", "Medical", "Response at Heritage Halls.", "DORMS_HERITAGE", "landmark", "2026-06-17"),
-        incident("c", "Traffic Accident", "Accident.", "UNKNOWN", "none", "2026-06-22"),
-        incident("d", "Theft", "Bike taken near the stadium.", "STADIUM_AREA", "landmark", "2026-06-22"),
+        incident("p", "Welfare Check", "A resident did not answer calls.", "WYVIEW_WYMOUNT", "landmark", "2024-11-26"),
+        incident("q", "Trespassing", "Two people were on a roof.", "UNKNOWN", "none", "2024-11-26"),
+        incident("r", "Parking Complaint", "A truck blocked Lot 52.", "WYVIEW_WYMOUNT", "lot", "2024-11-30"),
+        incident("s", "Fraud", "Tickets for the game were fake.", "OFF_CAMPUS", "landmark", "2024-11-30", "2024-12-01"),
+        incident("t", "Chest Pain", "A guest felt unwell.", "OFF_CAMPUS", "landmark", "2024-12-01"),
     ]
-    beats = [(f"u{k}", f" Police Beat {k} ", "", "x", AT) for k in "abcd"]
+    beats = [(f"u{k}", f" Police Beat {k} ", "", "x", AT) for k in "pqrst"]
     dates = [(i[0], i[8]) for i in incidents]
     return {
         "beats": spark.createDataFrame(beats, S.BEATS),
@@ -58,24 +60,28 @@ def test_calendar_seed(spark, tmp_path):
 
 def test_daily_summary(tables):
     rows = tables["mart_daily_summary"].orderBy("date_day").collect()
-    assert [r.date_day.day for r in rows] == list(range(16, 23))
-    assert [r.total_incidents for r in rows] == [1, 1, 0, 0, 0, 0, 2]
-    assert [r.located_incidents for r in rows] == [1, 1, 0, 0, 0, 0, 1]
-    assert [r.distinct_zones for r in rows] == [1, 1, 0, 0, 0, 0, 1]
-    assert [r.is_break for r in rows] == [False] * 3 + [True] * 3 + [False]
-    assert [r.is_finals for r in rows] == [False, True, True, False, False, False, False]
-    assert rows[0].semester == "Spring Term 2026" and rows[6].semester == "Summer Term 2026"
-    assert rows[3].semester is None
+    assert [(r.date_day.month, r.date_day.day) for r in rows] == [(11, 26), (11, 27), (11, 28), (11, 29), (11, 30), (12, 1)]
+    assert [r.total_incidents for r in rows] == [2, 0, 0, 0, 2, 1]
+    assert [r.located_incidents for r in rows] == [1, 0, 0, 0, 2, 1]
+    assert [r.distinct_zones for r in rows] == [1, 0, 0, 0, 2, 1]
+    assert [r.is_break for r in rows] == [False, True, True, True, False, False]
+    assert [r.is_game_day for r in rows] == [False] * 4 + [True, False]
+    assert [r.is_weekend for r in rows] == [False] * 4 + [True, True]
+    assert not any(r.is_finals for r in rows) and {r.semester for r in rows} == {"Fall Semester 2024"}
 
 
 def test_dimensions(tables):
     types = {tuple(r) for r in tables["dim_incident_type"].collect()}
-    assert types == {("Fire Alarm", "Alarm"), ("Medical", "Medical"), ("Traffic Accident", "Traffic"), ("Theft", "Property")}
+    assert types == {
+        ("Welfare Check", "Service"), ("Trespassing", "Conduct/Crime"), ("Parking Complaint", "Traffic"),
+        ("Fraud", "Property"), ("Chest Pain", "Medical"),
+    }
     zones = {r.location_zone: tuple(r)[1:] for r in tables["dim_location"].collect()}
+    assert set(zones) == {"UNKNOWN", "WYVIEW_WYMOUNT", "OFF_CAMPUS"}
     assert zones["UNKNOWN"] == ("Unknown", False, False, False, True)
-    assert zones["DORMS_HERITAGE"] == ("Heritage Halls", True, False, True, False)
-    assert tables["fct_incidents"].agg(F.sum("incident_count")).first()[0] == 4
-    assert {r.beat_title for r in tables["stg_beats"].collect()} == {f"Police Beat {k}" for k in "abcd"}
+    assert zones["WYVIEW_WYMOUNT"] == ("Wyview / Wymount", True, False, True, False)
+    assert tables["fct_incidents"].agg(F.sum("incident_count")).first()[0] == 5
+    assert {r.beat_title for r in tables["stg_beats"].collect()} == {f"Police Beat {k}" for k in "pqrst"}
     assert tables["stg_beats"].filter("published_at IS NOT NULL").count() == 0
 
 
