@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from blotterflow.config import DEFAULT, UNKNOWN, PipelineConfig
 from blotterflow.functions import rules as R
 from blotterflow.functions.text import fold_text
+from blotterflow.operators.caps import among_first
 
 Model = Callable[[pd.Series], pd.Series]
 
@@ -150,15 +151,13 @@ def classify_pending(
 ) -> DataFrame:
     """Rows without a zone get one; the others stay as they are.
 
-    With ``limit`` only the first pending rows by key are taken.
+    With ``limit`` only the rows of the first pending keys are taken, in key order so that
+    runs repeat.
     """
     pending = F.col("location_zone").isNull()
-    if limit is None:
-        marked = raw.withColumn("_pending", pending)
-    else:
-        chosen = pending_keys(raw, pending, limit, key).withColumn("_pending", F.lit(True))
-        marked = raw.join(chosen, key, "left")
-    done = classify(marked, cfg=cfg, model=model, only=F.col("_pending"))
+    if limit is not None:
+        pending = pending & among_first(raw.filter(pending), key, limit)
+    done = classify(raw.withColumn("_pending", pending), cfg=cfg, model=model, only=F.col("_pending"))
     fields = {
         "location_zone": F.col("location.zone"),
         "location_confidence": R.confidence(F.col("location.source"), cfg),
@@ -174,14 +173,6 @@ def classify_pending(
     return done.withColumns(filled).select(*raw.columns)
 
 
-def pending_keys(raw: DataFrame, pending: Column, limit: int, key: str = "raw_text_hash") -> DataFrame:
-    """The first ``limit`` pending keys, in key order so that runs repeat.
-
-    The keys pass through one task: a cap is meant for runs of some thousand.
-    """
-    return raw.filter(pending).select(key).distinct().orderBy(key).limit(limit)
-
-
 def source_counts(classified: DataFrame, source_col: str = "location_source") -> DataFrame:
     """Rows per deciding layer."""
     return classified.groupBy(F.col(source_col).alias("location_source")).agg(

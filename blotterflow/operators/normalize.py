@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blotterflow.functions.text import empty_to_null
+from blotterflow.operators.caps import among_first
 from blotterflow.operators.dedup import last_seen, replace_children, upsert
 
 # which of several writes of one key is the last, with no ties left
@@ -25,14 +26,10 @@ def is_ready() -> Column:
 def ready_documents(raw: DataFrame, limit: int | None = None, key: str = "raw_text_hash") -> DataFrame:
     """The documents to normalize; capped, all documents of the first keys.
 
-    Whole keys are taken, because N8 raises the flag for a key. A cap is meant for
-    runs of some thousand keys: the keys, not the documents, pass through one task.
+    Whole keys are taken, because N8 raises the flag for a key.
     """
     ready = raw.filter(is_ready())
-    if limit is None:
-        return ready
-    first = ready.filter(F.col(key).isNotNull()).select(key).distinct().orderBy(key).limit(limit)
-    return ready.join(first, key, "left_semi")
+    return ready if limit is None else ready.filter(among_first(ready, key, limit))
 
 
 def real_dates(dates: Column) -> Column:
@@ -40,14 +37,15 @@ def real_dates(dates: Column) -> Column:
     return F.filter(dates.cast("array<string>"), lambda d: d.isNotNull() & (d != "")).cast("array<date>")
 
 
-def to_beats(raw: DataFrame) -> DataFrame:
-    """One row per document; N5 reduces them to one per page."""
+def to_beats(raw: DataFrame, *kept: str) -> DataFrame:
+    """One row per document, with the columns ``kept``; N5 reduces them to one per page."""
     return raw.select(
         "beat_url",
         "beat_title",
         empty_to_null(F.col("beat_published_at")).alias("published_at"),
         "date_range_raw",
         "scraped_at",
+        *kept,
     )
 
 

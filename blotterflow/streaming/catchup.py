@@ -10,22 +10,32 @@ from blotterflow.operators.classify import Model, classify_pending
 from blotterflow.operators.dedup import new_rows
 from blotterflow.operators.normalize import DOCUMENT_ORDER
 from blotterflow.schemas import RAW_INCIDENTS
-from blotterflow.sources.store import IncidentStore
+from blotterflow.sources.landed_keys import prefix
+from blotterflow.sources.store import KEY, IncidentStore
 
 
 def land_batch(
-    store: IncidentStore, batch: DataFrame, cfg: PipelineConfig = DEFAULT, model: Model | None = None
+    store: IncidentStore,
+    batch: DataFrame,
+    cfg: PipelineConfig = DEFAULT,
+    model: Model | None = None,
+    limit: int | None = None,
 ) -> int:
-    """I2, C7, N5-N8 for one batch.
+    """I2, C7, N5-N8 for one batch; the number of documents classified.
 
     Repeating a batch is harmless: what it committed before has landed, so
     nothing of it is new. Documents without a hash are rejected; the commit counts them,
-    and the incidents per deciding layer (C8).
+    and the incidents per deciding layer (C8). Of the landed keys only those with a prefix
+    that the batch has are read. With a ``limit``, what is over waits in the store and comes first in the
+    next batch, whether that is capped or not.
     """
-    fresh = new_rows(store.raw_incidents(), batch, "raw_text_hash", DOCUMENT_ORDER)
-    seen = batch.agg(F.count(F.lit(1)).alias("rows"), F.count("raw_text_hash").alias("keyed")).first()
-    classified = classify_pending(fresh, cfg, model)
-    return store.write_batch(classified, received=seen.rows, rejected=seen.rows - seen.keyed)
+    keyed = F.when(F.col(KEY).isNotNull(), prefix(KEY))
+    seen = batch.agg(F.count(F.lit(1)).alias("rows"), F.count(KEY).alias("keyed"), F.collect_set(keyed).alias("prefixes")).first()
+    fresh = new_rows(store.landed_keys(seen.prefixes), batch, KEY, DOCUMENT_ORDER)
+    taken, progress = store.take(fresh, limit)
+    classified = classify_pending(taken, cfg, model)
+    store.write_batch(classified, received=seen.rows, rejected=seen.rows - seen.keyed, progress=progress)
+    return sum(store.last_commit().sources.values())
 
 
 def run_available(
@@ -36,20 +46,32 @@ def run_available(
     cfg: PipelineConfig = DEFAULT,
     model: Model | None = None,
     files_per_batch: int = 1000,
+    limit: int | None = None,
 ) -> None:
     """Process every landing file not seen before, then stop.
 
     The stream's checkpoint remembers the files, and the store's keys remember
     the incidents. Keys never expire, so they are looked up in the table rather
-    than kept as stream state. Call it from any scheduler.
+    than kept as stream state. Call it from any scheduler. A run classifies ``limit``
+    documents at most, over all its batches; it takes up what earlier ones have left even if no file is new.
     """
+    room = limit
+
+    def land(batch: DataFrame, number: int) -> None:
+        nonlocal room
+        done = land_batch(store, batch, cfg, model, room)
+        room = None if room is None else room - done
+
     (
         spark.readStream.schema(RAW_INCIDENTS)
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(landing)
-        .writeStream.foreachBatch(lambda batch, _: land_batch(store, batch, cfg, model))
+        .writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
         .awaitTermination()
     )
+    last = store.last_commit()
+    if last is not None and last.waiting and room != 0:
+        land(spark.createDataFrame([], RAW_INCIDENTS), -1)

@@ -4,10 +4,12 @@ from datetime import date, datetime
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from blotterflow import schemas as S
 from blotterflow.session import shared_dir
 from blotterflow.sources import store as store_module
+from blotterflow.sources.landed_keys import prefix
 from blotterflow.sources.store import IncidentStore
 from blotterflow.streaming.catchup import land_batch, run_available
 
@@ -114,3 +116,81 @@ def test_documents_without_a_hash_are_rejected_and_counted(spark, store):
     (row,) = store.commits().filter("batch_id >= 0").collect()
     assert (row.inserted, row.skipped, row.rejected) == (1, 0, 2)
     assert keys(store.raw_incidents()) == ["a"]
+
+
+def scans(df):
+    """The partition filters of each scan of the plan."""
+    leaves = df._jdf.queryExecution().sparkPlan().collectLeaves()
+    return [leaves.apply(i).partitionFilters().mkString(" ") for i in range(leaves.size())]
+
+
+def test_a_batch_reads_only_its_own_prefixes_of_committed_batches(spark, store):
+    land_batch(store, frame(spark, *[doc(f"k{i}") for i in range(40)]))
+    land_batch(store, frame(spark, doc("k3"), doc("x")))
+    batch = frame(spark, doc("k3"), doc("k7"), doc("new"))
+    prefixes = sorted(r.p for r in batch.select(prefix("raw_text_hash").alias("p")).distinct().collect())
+    known = store.landed_keys(prefixes)
+    (filters,) = scans(known)
+    assert all(str(p) in filters for p in prefixes) and "prefix" in filters and "batch_id" in filters
+    files = {r.f.rsplit("prefix=", 1)[1].split("/")[0] for r in known.select(F.input_file_name().alias("f")).collect()}
+    assert files and files <= {str(p) for p in prefixes}
+    assert {"k3", "k7"} <= set(keys(known)) and len(keys(known)) < 20
+    assert store.landed_keys([]).count() == 0 and store.landed_keys(range(256)).count() == 41
+    (filters,) = scans(store.committed("incidents"))
+    assert "batch_id" in filters and "1" in filters
+
+
+def contents(store):
+    tables = {**store.tables(), "raw": store.raw_incidents()}
+    return {name: sorted(map(str, df.select(*sorted(df.columns)).collect())) for name, df in tables.items()}
+
+
+def layers(store):
+    total: dict[str, int] = {}
+    for row in store.commits().filter("batch_id >= 0").collect():
+        for layer, n in row.sources.items():
+            total[layer] = total.get(layer, 0) + n
+    return total
+
+
+def test_capped_runs_end_where_one_uncapped_run_does(spark, tmp_path):
+    drops = [
+        [doc("b", "u1", title="one"), doc("a", "u1", title="three", at=3), doc("d", "u2", "in Lot 41")],
+        [doc("a", "u1", title="again"), doc("c", "u1", title="two", dates=2), doc("e", "u2", "nowhere"), doc(None)],
+    ]
+
+    def model(texts: pd.Series) -> pd.Series:
+        return pd.Series(["MTC"] * len(texts))
+
+    landing = str(tmp_path / "landing")
+    for drop in drops:
+        frame(spark, *drop).coalesce(1).write.mode("append").parquet(landing)
+    whole = IncidentStore(spark, str(tmp_path / "whole"))
+    run_available(spark, landing, whole, str(tmp_path / "c1"), model=model, files_per_batch=1)
+    capped = IncidentStore(spark, str(tmp_path / "capped"))
+    waiting = []
+    for limit in (2, 1, 1, 5):
+        run_available(spark, landing, capped, str(tmp_path / "c2"), model=model, files_per_batch=1, limit=limit)
+        waiting.append(capped.waiting().count())
+        assert waiting[-1] == capped.last_commit().waiting
+        assert len(keys(capped.raw_incidents())) == 5
+    assert waiting == [3, 2, 1, 0]
+    assert contents(capped) == contents(whole) and layers(capped) == layers(whole)
+    inserted = [sum(r.inserted for r in s.commits().filter("batch_id >= 0").collect()) for s in (whole, capped)]
+    assert inserted == [5, 5]
+    # nothing is new and nothing waits: no further batch
+    before = capped.next_batch_id()
+    run_available(spark, landing, capped, str(tmp_path / "c2"), model=model, limit=1)
+    assert capped.next_batch_id() == before
+
+
+def test_an_uncapped_run_takes_up_what_waits(spark, store, tmp_path):
+    land_batch(store, frame(spark, *[doc(k) for k in "fbdace"]), limit=0)
+    assert store.last_commit().waiting == 6 and store.incidents().count() == 0
+    assert land_batch(store, frame(spark, doc("a"), doc("g")), limit=4) == 4
+    assert keys(store.incidents()) == list("abcd") and keys(store.waiting()) == list("efg")
+    moved = store.compact_to(str(tmp_path / "compact"))
+    assert contents(moved) == contents(store) and keys(moved.waiting()) == list("efg")
+    for current in (store, moved):
+        assert land_batch(current, frame(spark, doc("e"))) == 3
+        assert keys(current.incidents()) == list("abcdefg") and current.waiting().count() == 0
