@@ -11,8 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Bits of the prefix: up to 256 folders in each batch.
-PREFIX_BITS = 8
+#: Bits of the prefix. More prune better, and cost a folder each in every batch with as many keys.
+PREFIX_BITS = 6
 
 
 def prefix(key: str) -> Column:

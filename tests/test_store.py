@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from blotterflow import schemas as S
 from blotterflow.session import shared_dir
 from blotterflow.sources import store as store_module
-from blotterflow.sources.landed_keys import prefix
+from blotterflow.sources.landed_keys import PREFIX_BITS, prefix
 from blotterflow.sources.store import IncidentStore
 from blotterflow.streaming.catchup import land_batch, run_available
 
@@ -135,7 +135,7 @@ def test_a_batch_reads_only_its_own_prefixes_of_committed_batches(spark, store):
     files = {r.f.rsplit("prefix=", 1)[1].split("/")[0] for r in known.select(F.input_file_name().alias("f")).collect()}
     assert files and files <= {str(p) for p in prefixes}
     assert {"k3", "k7"} <= set(keys(known)) and len(keys(known)) < 20
-    assert store.landed_keys([]).count() == 0 and store.landed_keys(range(256)).count() == 41
+    assert store.landed_keys([]).count() == 0 and store.landed_keys(range(1 << PREFIX_BITS)).count() == 41
     (filters,) = scans(store.committed("incidents"))
     assert "batch_id" in filters and "1" in filters
 
