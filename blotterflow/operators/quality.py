@@ -79,26 +79,71 @@ def relationship(
     return Check("relationships", table, column, child, parent=parent, parent_column=parent_column)
 
 
-def _profile(checks: Sequence[Check]) -> tuple[DataFrame, dict[int, int]]:
-    """How often each value of each checked column occurs, and the number of each frame."""
-    frames: dict[int, tuple[DataFrame, list[str]]] = {}
-    for check in checks:
-        for frame, column in ((check.frame, check.column), (check.parent, check.parent_column)):
-            if frame is not None:
-                columns = frames.setdefault(id(frame), (frame, []))[1]
-                if column not in columns:
-                    columns.append(column)
-    numbers = {key: i for i, key in enumerate(frames)}
-    parts = []
-    for key, (frame, columns) in frames.items():
-        cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
-        parts.append(frame.select(F.lit(numbers[key]).alias("frame"), F.inline(F.array(*cells))))
-    cells = reduce(DataFrame.unionByName, parts)
-    return cells.groupBy("frame", "column", "value").agg(F.count(F.lit(1)).alias("n")), numbers
-
-
-def _rows(sums: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """One row of sums ``c0``, ``c1``, ... as a row for each check."""
+def _findings(frame: DataFrame, checks: Sequence[tuple[int, Check]], parents: Sequence[tuple[int, str]]) -> DataFrame:
+    """What one table has to say about the checks it takes part in: (check_no, key, rows, is_parent).
+
+    Its rows are grouped once, by each column that a check compares, in the column's own
+    type; columns that are only looked through for NULL ride along as counts. A row of the result is a
+    number of failures, or one value that a link has on either side.
+    """
+    plain = [(i, c) for i, c in checks if c.kind == "not_null"]
+    keyed = [(i, c) for i, c in checks if c.kind != "not_null"]
+    columns = list(dict.fromkeys([c.column for _, c in keyed] + [column for _, column in parents]))
+    counts = [F.count(F.lit(1)).alias("n")]
+    counts += [F.count(F.when(F.col(f"looked{i}").isNull(), 1)).alias(f"nulls{i}") for i, _ in plain]
+    typed = frame.select(
+        *[F.col(c).alias(f"k{j}") for j, c in enumerate(columns)], *[F.col(c.column).alias(f"looked{i}") for i, c in plain]
+    )
+    if columns:
+        sets = [[F.col(f"k{j}")] for j in range(len(columns))]
+        seen = typed.groupingSets(sets, *[s[0] for s in sets]).agg(*counts, F.grouping_id().alias("set"))
+    else:
+        seen = typed.agg(*counts, F.lit(0).cast("bigint").alias("set"))
+    full = (1 << len(columns)) - 1
+
+    def group(j: int) -> Column:
+        return F.col("set") == full - (1 << (len(columns) - 1 - j))
+
+    def row(i: int, when: Column, rows: Column, key: Column = F.lit(None).cast("string"), is_parent: bool = False) -> Column:
+        cells = F.struct(F.lit(i).alias("check_no"), key.alias("key"), rows.cast("bigint").alias("rows"), F.lit(is_parent).alias("is_parent"))
+        return F.when(when, cells)
+
+    zero, one, n, out = F.lit(0), F.lit(1), F.col("n"), []
+    for i, _ in plain:
+        out.append(row(i, (group(0) if columns else F.lit(True)) & (F.col(f"nulls{i}") > 0), F.col(f"nulls{i}")))
+    for i, c in keyed:
+        j = columns.index(c.column)
+        value, here = F.col(f"k{j}"), group(columns.index(c.column))
+        if c.kind == "unique":
+            out.append(row(i, here & value.isNotNull() & (n > 1), one))
+        elif c.kind == "accepted_values":
+            out.append(row(i, here & value.isNotNull() & ~value.isin(*c.values), one))
+        else:
+            out.append(row(i, here & value.isNotNull(), n, value.cast("string")))
+    for i, column in parents:
+        j = columns.index(column)
+        out.append(row(i, group(j) & F.col(f"k{j}").isNotNull(), zero, F.col(f"k{j}").cast("string"), True))
+    return seen.select(F.inline(F.filter(F.array(*out), lambda x: x.isNotNull())))
+
+
+def run_suite(checks: Sequence[Check]) -> DataFrame:
+    """Q5: one row per check.
+
+    Every table is scanned once and its rows are grouped before they move, so a key that
+    holds much of a table is one row per task. What the tables find is put together in one
+    pass: failures are summed, and a link's child values that no parent has are counted.
+    """
+    if not checks:
+        raise ValueError("a suite needs a check")
+    frames: dict[int, tuple[DataFrame, list, list]] = {}
+    for i, c in enumerate(checks):
+        frames.setdefault(id(c.frame), (c.frame, [], []))[1].append((i, c))
+        if c.parent is not None:
+            frames.setdefault(id(c.parent), (c.parent, [], []))[2].append((i, c.parent_column))
+    found = reduce(DataFrame.unionByName, [_findings(*f) for f in frames.values()])
+    met = found.groupBy("check_no", "key").agg(F.sum("rows").alias("rows"), F.bool_or("is_parent").alias("found"))
+    failed = F.when(~F.col("found"), F.col("rows"))
+    sums = met.agg(*[F.sum(F.when(F.col("check_no") == i, failed)).alias(f"c{i}") for i in range(len(checks))])
     cells = [
         F.struct(
             F.lit(c.kind).alias("check_kind"),
@@ -109,44 +154,3 @@ def _rows(sums: DataFrame, checks: Sequence[Check]) -> DataFrame:
         for i, c in enumerate(checks)
     ]
     return sums.select(F.inline(F.array(*cells)))
-
-
-def run_suite(checks: Sequence[Check]) -> DataFrame:
-    """Q5: one row per check.
-
-    Every table is scanned once: the values of all its checked columns are counted
-    together, and each check is read off the counts. A key that holds much of a table
-    moves as one row per task. Values are compared as strings.
-    """
-    profile, numbers = _profile(checks)
-    own = [c for c in checks if c.kind != "relationships"]
-    links = [c for c in checks if c.kind == "relationships"]
-    out = []
-
-    def here(frame: DataFrame, column: str) -> Column:
-        return (F.col("frame") == numbers[id(frame)]) & (F.col("column") == column)
-
-    def amount(c: Check) -> Column:
-        value, at = F.col("value"), here(c.frame, c.column)
-        if c.kind == "not_null":
-            return F.when(at & value.isNull(), F.col("n"))
-        if c.kind == "unique":
-            return F.when(at & value.isNotNull() & (F.col("n") > 1), 1)
-        return F.when(at & value.isNotNull() & ~value.isin(*c.values), 1)
-
-    if own:
-        out.append(_rows(profile.agg(*[F.sum(amount(c)).alias(f"c{i}") for i, c in enumerate(own)]), own))
-    if links:
-        sides = []
-        for i, c in enumerate(links):
-            for frame, column, rows in ((c.frame, c.column, F.col("n")), (c.parent, c.parent_column, F.lit(0).cast("bigint"))):
-                is_parent = F.lit(frame is c.parent and column == c.parent_column)
-                side = F.struct(F.lit(i).alias("link"), rows.alias("rows"), is_parent.alias("is_parent"))
-                sides.append(F.when(here(frame, column), side))
-        used = profile.where("value IS NOT NULL").select(
-            "value", F.inline(F.filter(F.array(*sides), lambda side: side.isNotNull()))
-        )
-        met = used.groupBy("link", "value").agg(F.sum("rows").alias("rows"), F.bool_or("is_parent").alias("found"))
-        stray = F.when(~F.col("found"), F.col("rows"))
-        out.append(_rows(met.agg(*[F.sum(F.when(F.col("link") == i, stray)).alias(f"c{i}") for i in range(len(links))]), links))
-    return reduce(DataFrame.unionByName, out)

@@ -134,3 +134,18 @@ def test_checks_find_failures(spark):
     assert {r.check_kind: r.failures for r in got} == {
         "unique": 1, "not_null": 1, "accepted_values": 1, "relationships": 3,
     }
+
+
+def test_a_suite_scans_each_table_once(spark, tmp_path):
+    spark.range(50).selectExpr("id", "id % 7 as k", "if(id = 3, null, id) as n", "'x' as set").write.parquet(str(tmp_path / "child"))
+    spark.range(5).selectExpr("cast(id as int) as k").write.parquet(str(tmp_path / "parent"))
+    child, parent = (spark.read.parquet(str(tmp_path / t)) for t in ("child", "parent"))
+    checks = [
+        Q.unique(child, "child", "id"), Q.unique(child, "child", "k"), Q.not_null(child, "child", "n"), Q.not_null(child, "child", "id"),
+        Q.accepted_values(child, "child", "k", [0, 1, 2]), Q.accepted_values(child, "child", "set", ["x"]),
+        Q.relationship(child, "child", "k", parent, "k"), Q.unique(parent, "parent", "k"), Q.relationship(parent, "parent", "k", child, "n"),
+    ]
+    suite = Q.run_suite(checks)
+    assert [r.failures for r in suite.collect()] == [0, 7, 1, 0, 4, 0, 14, 0, 1]
+    plan = suite._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") == 2
