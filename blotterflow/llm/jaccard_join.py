@@ -43,6 +43,7 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from blotterflow.llm.batches import TEXT, pieces
 from blotterflow.llm.components import components
+from blotterflow.llm.marks import marks, passing
 from blotterflow.llm.tables import discard, stored
 from blotterflow.llm.words import FOLD, Runs, mix, split_words
 
@@ -56,8 +57,6 @@ SKETCHES = [f"s{i}" for i in range(SKETCH // 64)]
 FINE = 4096
 #: Classes that a class is compared with in the first round; the second round finds the rest.
 STARS = 2
-#: Bits of a filter sent to executors, whatever the data: 64 in a row.
-FILTER_BITS = 1 << 25
 ROWS, FINE_ROWS = 4096, 512
 # names no input column has
 ID = "_llm_id"
@@ -179,25 +178,6 @@ def _whole_sets(batches):
             yield pa.RecordBatch.from_arrays(columns, names=["key", "fine", "shingles"])
 
 
-def _place(value: Column) -> Column:
-    return F.pmod(F.xxhash64(value), F.lit(FILTER_BITS))
-
-
-def _filter(values: DataFrame, name: str) -> DataFrame:
-    """(slot, bits): a bit for each value of column ``name``, in at most ``FILTER_BITS`` / 64 rows."""
-    at = values.select(_place(F.col(name)).alias("at"))
-    bit = F.expr("shiftleft(1L, cast(at % 64 as int))")
-    return at.groupBy(F.expr("at div 64").alias("slot")).agg(F.bit_or(bit).alias("bits"))
-
-
-def _passing(df: DataFrame, name: str, marked: DataFrame) -> DataFrame:
-    """Rows whose value may be among the marked ones. The filter's size is bounded, so it is sent whole."""
-    given = df.columns
-    at = df.withColumn("_llm_at", _place(F.col(name))).withColumn("slot", F.expr("_llm_at div 64"))
-    both = at.join(F.broadcast(marked), "slot")
-    return both.where("(shiftright(bits, cast(_llm_at % 64 as int)) & 1L) = 1").select(given)
-
-
 def _needed(a: str, b: str) -> Column:
     """Shingles that two sets have to share."""
     return F.ceil(PERCENT * (F.col(a) + F.col(b)) / F.lit(100 + PERCENT) - F.lit(1e-9))
@@ -223,7 +203,7 @@ def _links(pairs: DataFrame, classes: DataFrame, given: DataFrame) -> DataFrame:
     """Those of the distinct pairs (a, b) of classes that are linked."""
     keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
     wanted = stored(keys.join(classes.select("key", ID), "key"), "wanted")
-    texts = _passing(given, ID, _filter(wanted, ID))
+    texts = passing(given, ID, marks(wanted, ID))
     made = texts.mapInArrow(_whole_sets, "key long, fine array<long>, shingles array<long>")
     sets = stored(made.withColumn("row", F.monotonically_increasing_id()), "sets")
     # rows that repeat an id and a text, in several tasks, have made one set more than once
@@ -259,15 +239,15 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     for r in described.where("counted").groupBy("key").agg(F.sum("n").alias("n")).toArrow().to_pylist():
         counts[r["key"]] = r["n"]
     sent = spark.sparkContext.broadcast(counts)
-    marks = described.where("not counted").drop("counted")
-    firsts = marks.where("n > 0").groupBy("key").agg(F.min(ID).alias(ID), *[F.min(c).alias(c) for c in ("n", *SKETCHES)])
+    rows = described.where("not counted").drop("counted")
+    firsts = rows.where("n > 0").groupBy("key").agg(F.min(ID).alias(ID), *[F.min(c).alias(c) for c in ("n", *SKETCHES)])
     classes = stored(firsts, "classes")
 
     posting = StructType([StructField("token", LongType()), StructField("key", LongType()), StructField("place", IntegerType())])
     postings = stored(given.mapInArrow(_postings(sent), posting), "postings")
     ends = postings.groupBy("token").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high")
     tokens = stored(ends, "tokens")
-    few = _passing(postings, "token", _filter(tokens, "token"))
+    few = passing(postings, "token", marks(tokens, "token"))
     # copies in other tasks have made the same postings
     hits = stored(few.hint("merge").join(tokens, "token").distinct(), "hits")
     discard(postings)
@@ -301,7 +281,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     grouped = stored(classes.select("key", ID).join(linked, "key", "left").withColumn("component", F.coalesce("component", "key")), "grouped")
     least = stored(grouped.groupBy("component").agg(F.min(ID).alias("component_id")), "least")
     named = stored(grouped.join(least, "component").select("key", "component_id"), "named")
-    out = marks.join(named, "key", "left").select(
+    out = described.where("not counted").join(named, "key", "left").select(
         F.col(ID).alias(id_col),
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col(ID)).alias("component_id"),

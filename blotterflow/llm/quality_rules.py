@@ -4,11 +4,13 @@ Words and word pairs are hashed into ``BUCKETS``. Two multinomials over the buck
 are counted: one of trusted texts, one of the whole corpus. A text's score is the mean,
 over its n-grams, of log(trusted / corpus): its length cancels out. Every text is judged
 by the same threshold, without chance: the score that all but ``STRAY`` of the trusted
-texts reach. A text that fails a base rule is not kept whatever it scores.
+texts reach, found exactly by counting, whatever the partitions. A text that fails a base rule is not
+kept whatever it scores.
 
 The corpus model counts every text, the trusted model every trusted one, and the threshold
-comes from the scores of all of these. Trusted ids are joined by a shuffle. Counts are
-summed in each task first: a task sends one row for each bucket.
+comes from the scores of all of these. Texts are joined to the trusted ids by a shuffle, after a filter
+of bounded size has left out most others. Counts are summed in each task first: a task sends
+one row for each bucket.
 
 Cases: null and empty texts have no words, fail the base rules and score 0. Rows with
 the same id are trusted together; a null id never is. Without trusted texts the base
@@ -18,6 +20,7 @@ rows. Columns of the input with the names of the output are replaced.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,11 +30,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
 from blotterflow.llm.batches import TEXT, append_columns, pieces
+from blotterflow.llm.marks import marks, passing
 from blotterflow.llm.tables import discard, stored
 from blotterflow.llm.words import NOT_BLANK, Runs, byte_class, covered, mix, split_words
 
 BUCKETS = 10_000
 STRAY, PRIOR = 0.005, 2.0
+#: Widths of the steps that scores are counted in; a score is a mean of log ratios, some tens at most.
+STEPS = (1e-3, 1e-6, 1e-9)
 REPEAT = 5
 MIN_WORDS, MAX_REPEATED_PERCENT = 10, 20
 SYMBOL = byte_class(*[(ord(c), ord(c)) for c in "#*$%&|<>"])
@@ -124,14 +130,42 @@ def _gram_counts(texts: DataFrame) -> np.ndarray:
     return total
 
 
+def low_score(scored: DataFrame, share: float) -> float:
+    """The least score, but for a ``share`` of the rows: exact, and the same in any order.
+
+    Scores are counted in steps of ``STEPS[0]``, then those of the step in question in smaller ones;
+    of the last step, the scores themselves are counted.
+    """
+    here, rank, low = scored.select("score"), None, 0.0
+    for step in STEPS:
+        bins = here.groupBy(F.floor((F.col("score") - low) / step).alias("bin")).agg(F.count("*").alias("n"))
+        counts = sorted((r.bin, r.n) for r in bins.collect())
+        rank = math.floor(share * sum(n for _, n in counts)) if rank is None else rank
+        at, rank = _find(counts, rank)
+        here = here.where(F.floor((F.col("score") - low) / step) == at)
+        low += at * step
+    values = sorted((r.score, r.n) for r in here.groupBy("score").agg(F.count("*").alias("n")).collect())
+    return _find(values, rank)[0]
+
+
+def _find(counts: list[tuple], rank: int) -> tuple:
+    """The key that holds the ``rank``-th row, and the row's rank among its own."""
+    for key, n in counts:
+        if rank < n:
+            return key, rank
+        rank -= n
+    raise ValueError("no such rank")
+
+
 def fit(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Ratio | None:
     """``trusted`` has the ids of trusted texts. None if no text is."""
     spark = docs.sparkSession
     # written first: a join of plain shuffles is what Spark can split at a hot key
     ids = stored(trusted.select(F.col(id_col).alias(ID)).where(F.col(ID).isNotNull()).distinct(), "trusted-ids")
     given = docs.select(F.col(id_col).alias(ID), F.col(text_col).alias(TEXT))
-    known = given.where(F.col(ID).isNotNull())
-    own = _gram_counts(known.join(ids, ID, "left_semi").select(TEXT))
+    # one plan at every size: texts that may be trusted are shuffled, others stay where they are
+    known = passing(given.where(F.col(ID).isNotNull()), ID, marks(ids, ID))
+    own = _gram_counts(known.hint("merge").join(ids, ID, "left_semi").select(TEXT))
     if not own.any():
         return None
     total = _gram_counts(given.select(TEXT)), own
@@ -146,10 +180,11 @@ def fit(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: s
                 scores = pa.array(sent.value.scores(split_words(piece.column(TEXT))))
                 yield pa.RecordBatch.from_arrays([piece.column(ID), scores], names=[ID, "score"])
 
-    # every text is scored, as ids and scores are shuffled for less than texts are
-    scored = known.mapInArrow(score, StructType([known.schema[ID], StructField("score", DoubleType())])).join(ids, ID, "left_semi")
-    low = scored.agg(F.percentile_approx("score", STRAY, 10_000).alias("low")).first().low
-    discard(ids)
+    # scored before they are joined, as ids and scores are shuffled for less than texts are
+    scored = known.mapInArrow(score, StructType([known.schema[ID], StructField("score", DoubleType())]))
+    scored = stored(scored.hint("merge").join(ids, ID, "left_semi"), "scored")
+    low = low_score(scored, STRAY)
+    discard(ids, scored)
     return Ratio(ratio.weights, low)
 
 

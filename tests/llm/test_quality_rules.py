@@ -1,9 +1,12 @@
+import math
 import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
-from blotterflow.llm.quality_rules import fit, quality
+from blotterflow.llm.quality_rules import BUCKETS, PRIOR, STRAY, fit, low_score, quality
+from blotterflow.llm.words import BASE
 from tests.llm import brute
 from tests.llm.test_language_id import sentence
 
@@ -105,3 +108,52 @@ def test_every_trusted_text_counts(spark):
     """Where all texts are trusted, both models are the same."""
     docs = spark.range(20_500).selectExpr("id as doc_id", "concat('w', id, ' of') as text")
     assert not fit(docs, docs).weights.any()
+
+
+def mixed(h):
+    h ^= h >> 32
+    h = h * 0xD6E8FEB86659FD93 % 2**64
+    h ^= h >> 29
+    h = h * 0xA0761D6478BD642F % 2**64
+    return h ^ h >> 32
+
+
+def run_hash(items):
+    return mixed(sum(x * pow(BASE, i, 2**64) for i, x in enumerate(items)) % 2**64)
+
+
+def buckets(text):
+    words = [run_hash([b + 1 for b in w.encode()]) for w in brute.BLANK.findall(text or "")]
+    return [mixed(w) % BUCKETS for w in words] + [run_hash(p) % BUCKETS for p in zip(words, words[1:])]
+
+
+def test_scores_and_verdicts_as_brute_force(judged):
+    rows, out = judged
+    held = {i: buckets(t) for i, t in rows}
+    corpus = Counter(b for x in held.values() for b in x)
+    trusted = [i for i in range(300) if i % 5 and i % 2]
+    own = Counter(b for i in trusted for b in held[i])
+    share = sum(own.values()) / sum(corpus.values())
+    weight = {b: math.log((own[b] + PRIOR) / (n * share + PRIOR)) for b, n in corpus.items()}
+    scores = {i: sum(weight[b] for b in x) / max(len(x), 1) for i, x in held.items()}
+    got = {r.doc_id: r for r in out}
+    assert all(abs(scores[i] - got[i].score) < 1e-9 for i in scores)
+    limit = sorted(got[i].score for i in trusted)[math.floor(STRAY * len(trusted))]
+    assert all(r.kept == (not r.base_failed and r.score >= limit) for r in out)
+
+
+@pytest.mark.parametrize("share", [0.0, 0.005, 0.37, 0.9999])
+def test_threshold_is_exact(spark, share):
+    pick = random.Random(5)
+    values = [round(pick.gauss(-0.3, 0.05), pick.choice([2, 5, 17])) for _ in range(3000)]
+    scored = spark.createDataFrame([(v,) for v in values], "score double")
+    assert low_score(scored, share) == sorted(values)[math.floor(share * len(values))]
+
+
+def test_threshold_does_not_depend_on_partitions(spark):
+    docs = spark.range(60_000).selectExpr(
+        "id as doc_id", "concat('w', id % 701, ' w', id % 97, ' of w', pmod(hash(id), 500), if(id % 3 = 0, ' #', '')) as text"
+    )
+    trusted = docs.where("doc_id % 3 <> 0 or doc_id % 7 = 0").select("doc_id")
+    found = {fit(docs.repartition(n, F.rand(n)), trusted.repartition(n)).threshold for n in (3, 17, 64)}
+    assert len(found) == 1
