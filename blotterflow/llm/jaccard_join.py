@@ -207,20 +207,26 @@ def _links(pairs: DataFrame, classes: DataFrame, given: DataFrame) -> DataFrame:
     made = texts.mapInArrow(_whole_sets, "key long, fine array<long>, shingles array<long>")
     sets = stored(made.withColumn("row", F.monotonically_increasing_id()), "sets")
     # rows that repeat an id and a text, in several tasks, have made one set more than once
-    firsts = stored(sets.groupBy("key").agg(F.min("row").alias("row")), "firsts").withColumnRenamed("row", "first")
-
-    def beside(pairs: DataFrame, what: str) -> DataFrame:
-        """One plan at every size: sets are large, so neither side is ever sent whole."""
-        own = sets.select("key", "row", what).hint("merge").join(firsts, "key").where(F.col("row") == F.col("first"))
-        met = pairs.hint("merge").join(own.select(F.col("key").alias("a"), F.col(what).alias("x")), "a")
-        return met.hint("merge").join(own.select(F.col("key").alias("b"), F.col(what).alias("y")), "b")
+    firsts = stored(sets.groupBy("key").agg(F.min("row").alias("row")), "firsts")
+
+    def beside(pairs: DataFrame, own: DataFrame, what: str) -> DataFrame:
+        """One plan at every size: sets are large, so neither side is ever sent whole, and each set is dealt once."""
+        for side in ("a", "b"):
+            place = firsts.select(F.col("key").alias(side), F.col("row").alias(f"{side}_row"))
+            pairs = pairs.join(place, side)
+        for side, name in (("a", "x"), ("b", "y")):
+            its = own.select(F.col("key").alias(side), F.col("row").alias(f"{side}_row"), F.col(what).alias(name))
+            pairs = pairs.hint("merge").join(its, [side, f"{side}_row"])
+        return pairs
 
     sized = classes.select("key", "n")
     both = pairs.join(_named(sized, "a_").withColumnRenamed("a_key", "a"), "a").join(_named(sized, "b_").withColumnRenamed("b_key", "b"), "b")
     odd = F.aggregate(F.zip_with("x", "y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, n: s + n)
-    likely = beside(both, "fine").where(odd <= F.col("a_n") + F.col("b_n") - 2 * _needed("a_n", "b_n")).select("a", "b")
+    few = odd <= F.col("a_n") + F.col("b_n") - 2 * _needed("a_n", "b_n")
+    likely = stored(beside(both, sets, "fine").where(few).select("a", "b"), "likely")
     shared = F.size(F.array_intersect("x", "y"))
-    counted = beside(stored(likely, "likely"), "shingles").select("a", "b", (F.size("x") + F.size("y")).alias("both"), shared.alias("shared"))
+    moved = passing(sets, "key", marks(likely.select(F.explode(F.array("a", "b")).alias("key")), "key"))
+    counted = beside(likely, moved, "shingles").select("a", "b", (F.size("x") + F.size("y")).alias("both"), shared.alias("shared"))
     links = stored(counted.where(100 * F.col("shared") >= PERCENT * (F.col("both") - F.col("shared"))).select("a", "b"), "links")
     discard(wanted, sets)
     return links
