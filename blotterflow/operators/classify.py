@@ -14,6 +14,8 @@ from blotterflow.functions.text import fold_text
 from blotterflow.operators.caps import among_first
 
 Model = Callable[[pd.Series], pd.Series]
+#: Distinct texts to their answers: ``text`` to ``text, proposed``.
+Answers = Callable[[DataFrame], DataFrame]
 
 LOOKUP_TYPE = "struct<zone:string,source:string,reasoning:string>"
 # fixed values: the four reasons
@@ -86,6 +88,11 @@ def model_fallback(model: Model) -> Callable[[Column], Column]:
     return F.pandas_udf(propose, "string").asNondeterministic()
 
 
+def ask(texts: DataFrame, model: Model) -> DataFrame:
+    """The model's answer to each row of ``texts(text)``."""
+    return texts.select("text", model_fallback(model)(F.col("text")).alias("proposed"))
+
+
 def guarded(hit: Column, proposed: Column, names_place: Column, cfg: PipelineConfig) -> Column:
     """C6 with a model: a zone stands only if the text names a place."""
     known = F.when(proposed.isin(*cfg.zones), proposed).otherwise(UNKNOWN)
@@ -114,19 +121,31 @@ def classify(
     model: Model | None = None,
     only: Column | None = None,
     out: str = "location",
+    answers: Answers | None = None,
 ) -> DataFrame:
     """Adds a struct of zone, source and reasoning.
 
     One pass over the input: rules run in the JVM, and the model column gets
     the text of misses and NULL for every other row. Rows outside ``only`` get
     NULL and cost no rule.
+
+    With ``answers`` in place of ``model``, each distinct text that the rules miss is looked up there
+    once, and the answer is joined to its rows: rules run twice, and the model as seldom as can be.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     wanted = F.lit(True) if only is None else F.coalesce(only, F.lit(False))
     looked = with_lookup(
         df.withColumn("_wanted", wanted), F.when(F.col("_wanted"), text), "_hit", cfg
     )
-    if model is None:
+    missing = F.col("_hit").isNull() & F.col("_wanted")
+    if answers is not None:
+        given = answers(looked.filter(missing).select(F.col("_text").alias("text")).distinct())
+        # rows that ask nothing are spread by their own text, and find no answer that is used
+        key = F.coalesce("_text", text)
+        named = given.select(F.col("text").alias("_asked"), F.col("proposed").alias("_proposed"))
+        looked = looked.withColumn("_key", key).join(named, F.col("_key") == F.col("_asked"), "left")
+        result = guarded(F.col("_hit"), F.col("_proposed"), R.names_place(F.col("_text"), cfg), cfg)
+    elif model is None:
         missed = F.struct(
             F.lit(UNKNOWN).alias("zone"),
             F.lit("none").alias("source"),
@@ -134,7 +153,7 @@ def classify(
         )
         result = F.coalesce("_hit", missed)
     else:
-        asked = F.when(F.col("_hit").isNull() & F.col("_wanted"), F.col("_text"))
+        asked = F.when(missing, F.col("_text"))
         looked = looked.withColumn("_proposed", model_fallback(model)(asked))
         result = guarded(
             F.col("_hit"), F.col("_proposed"), R.names_place(F.col("_text"), cfg), cfg
@@ -148,6 +167,7 @@ def classify_pending(
     model: Model | None = None,
     limit: int | None = None,
     key: str = "raw_text_hash",
+    answers: Answers | None = None,
 ) -> DataFrame:
     """Rows without a zone get one; the others stay as they are.
 
@@ -157,7 +177,7 @@ def classify_pending(
     pending = F.col("location_zone").isNull()
     if limit is not None:
         pending = pending & among_first(raw.filter(pending), key, limit)
-    done = classify(raw.withColumn("_pending", pending), cfg=cfg, model=model, only=F.col("_pending"))
+    done = classify(raw.withColumn("_pending", pending), cfg=cfg, model=model, only=F.col("_pending"), answers=answers)
     fields = {
         "location_zone": F.col("location.zone"),
         "location_confidence": R.confidence(F.col("location.source"), cfg),

@@ -24,6 +24,8 @@ EXPLORER_COLUMNS = ("date", "zone", "category", "type", "narrative")
 DETAIL_COLUMNS = (
     "date", "zone", "zone_unknown", "category", "type", "narrative", "semester", *FLAGS,
 )
+# given on demand: what tells the rows of a day apart
+ROW_ID = "incident_id"
 
 
 def incident_detail(
@@ -53,8 +55,9 @@ def incident_detail(
         "narrative": F.col("incident_text"),
         "semester": F.col("semester"),
         **{flag: F.coalesce(F.col(flag), F.lit(False)) for flag in FLAGS},
+        ROW_ID: F.col(ROW_ID),
     }
-    return out.select(*[source[c].alias(c) for c in DETAIL_COLUMNS if c in columns])
+    return out.select(*[source[c].alias(c) for c in (*DETAIL_COLUMNS, ROW_ID) if c in columns])
 
 
 def half_even(c: Column, digits: int = 2) -> Column:
@@ -63,10 +66,14 @@ def half_even(c: Column, digits: int = 2) -> Column:
 
 
 def newest_first(detail: DataFrame, *keys: str) -> DataFrame:
-    """O2: newest first, undated last; short columns settle ties.
+    """O2: newest first, undated last; within a day by incident, whose id is dropped.
 
-    The narrative is no sort key: keys are sampled and compared, and it is the widest column.
+    Date and id are unique together, so the order is the same in every run, and they
+    are narrow: sort keys are sampled and compared. Without the id, short columns settle ties as far
+    as they can.
     """
+    if ROW_ID in detail.columns and not keys:
+        return detail.orderBy(F.desc_nulls_last("date"), ROW_ID).drop(ROW_ID)
     rest = keys or tuple(c for c in ("zone", "category", "type") if c in detail.columns)
     return detail.orderBy(F.desc_nulls_last("date"), *rest)
 
@@ -288,8 +295,9 @@ def spine_bounds(spine: DataFrame) -> DataFrame:
 
 
 def explorer(detail: DataFrame) -> DataFrame:
-    """Five title-cased columns, newest first."""
-    return newest_first(detail.select(*EXPLORER_COLUMNS)).toDF(*[c.title() for c in EXPLORER_COLUMNS])
+    """Five title-cased columns, newest first; a total order if ``detail`` has the row id."""
+    row_id = [c for c in (ROW_ID,) if c in detail.columns]
+    return newest_first(detail.select(*EXPLORER_COLUMNS, *row_id)).toDF(*[c.title() for c in EXPLORER_COLUMNS])
 
 
 def match_counts(filtered: DataFrame, detail: DataFrame) -> DataFrame:

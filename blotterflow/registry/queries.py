@@ -524,7 +524,7 @@ def _filtered_spine(spark, sf):
 
 @query
 def incident_detail(spark, sf):
-    return V.newest_first(V.incident_detail(src.star(spark, sf)))
+    return V.newest_first(V.incident_detail(src.star(spark, sf), (*V.DETAIL_COLUMNS, V.ROW_ID)))
 
 
 @query
@@ -616,7 +616,7 @@ def spine_bounds(spark, sf):
 @query
 def explorer(spark, sf):
     """The explorer's table, exported and read back."""
-    table = V.explorer(_filtered(spark, sf, "type", "narrative", search=SEARCH))
+    table = V.explorer(_filtered(spark, sf, "type", "narrative", V.ROW_ID, search=SEARCH))
     path = src.written(spark, sf, "explorer-csv", lambda folder: TB.write_explorer_csv(table, folder))
     return TB.read_csv(spark, path, table.schema)
 

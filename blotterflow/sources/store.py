@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from blotterflow import schemas as S
 from blotterflow.operators.caps import nth_key
-from blotterflow.operators.classify import source_counts
+from blotterflow.operators.classify import Model, ask, source_counts
 from blotterflow.operators.dedup import last_seen
 from blotterflow.operators.normalize import (
     BEAT_ORDER,
@@ -47,6 +47,8 @@ COMMITS = T.StructType(
 # the batch that landed a document, which isn't the one that classified it after a capped run
 LANDED_IN = T.StructField("landed_in", T.LongType())
 KEY = "raw_text_hash"
+# What the model said; it belongs to no batch, so that a batch that dies need not ask again
+ANSWERS = T.StructType([T.StructField("text", T.StringType()), T.StructField("proposed", T.StringType())])
 TABLES = {
     **{n: T.StructType([*S.TABLES[n].fields, LANDED_IN]) for n in ("raw_incidents", "beats")},
     **{n: S.TABLES[n] for n in ("incidents", "incident_dates")},
@@ -63,6 +65,7 @@ class IncidentStore:
             # batch -1 holds no rows; it makes every table readable from the start
             place = "-1/prefix=0" if name == "landed_keys" else "-1"
             self._write(spark.createDataFrame([], TABLES[name]), name, place, mode="ignore")
+        spark.createDataFrame([], ANSWERS).write.mode("ignore").parquet(self._path("answers"))
 
     def _path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -156,6 +159,19 @@ class IncidentStore:
         }
 
     # ---- writing ------------------------------------------------------------
+    def answers(self) -> DataFrame:
+        """Every text the model has been asked, with one answer."""
+        return self.spark.read.schema(ANSWERS).parquet(self._path("answers")).dropDuplicates(["text"])
+
+    def ask(self, texts: DataFrame, model: Model) -> DataFrame:
+        """The answers to ``texts(text)``, from the model only where it hasn't been asked yet.
+
+        Answers are kept for good: a store goes with one model.
+        """
+        new = texts.join(self.answers(), "text", "left_anti")
+        ask(new, model).write.mode("append").parquet(self._path("answers"))
+        return texts.join(self.answers(), "text")
+
     def take(self, fresh: DataFrame, limit: int | None) -> tuple[DataFrame, tuple]:
         """The documents to classify now, and how far the backlog is done with them.
 
@@ -233,6 +249,7 @@ class IncidentStore:
         waiting = self.waiting().drop("landed_in")
         target._write(waiting, "backlog", batch_id)
         write_keys(self.committed("landed_keys"), KEY, f"{target._path('landed_keys')}/batch_id={batch_id}")
+        self.answers().write.mode("append").parquet(target._path("answers"))
         left = target._all("backlog").where(F.col("batch_id") == batch_id).count()
         target._commit(batch_id, target._all("incidents").count(), 0, progress=(-1, None, left))
         return target

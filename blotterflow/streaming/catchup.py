@@ -26,14 +26,15 @@ def land_batch(
     Repeating a batch is harmless: what it committed before has landed, so
     nothing of it is new. Documents without a hash are rejected; the commit counts them,
     and the incidents per deciding layer (C8). Of the landed keys only those with a prefix
-    that the batch has are read. With a ``limit``, what is over waits in the store and comes first in the
+    that the batch has are read. The model is asked for each distinct text once, over all batches. With a ``limit``, what is over waits in the store and comes first in the
     next batch, whether that is capped or not.
     """
     keyed = F.when(F.col(KEY).isNotNull(), prefix(KEY))
     seen = batch.agg(F.count(F.lit(1)).alias("rows"), F.count(KEY).alias("keyed"), F.collect_set(keyed).alias("prefixes")).first()
     fresh = new_rows(store.landed_keys(seen.prefixes), batch, KEY, DOCUMENT_ORDER)
     taken, progress = store.take(fresh, limit)
-    classified = classify_pending(taken, cfg, model)
+    answers = None if model is None else lambda texts: store.ask(texts, model)
+    classified = classify_pending(taken, cfg, answers=answers)
     store.write_batch(classified, received=seen.rows, rejected=seen.rows - seen.keyed, progress=progress)
     return sum(store.last_commit().sources.values())
 

@@ -150,3 +150,23 @@ def test_detail_joins_only_what_it_needs(spark):
     assert narrow.columns == ["date", "zone"] and narrow.count() == 2
     newest = V.newest_first(V.incident_detail(t)).collect()
     assert [r.date for r in newest] == [FIRST, None]
+
+
+def test_newest_first_is_one_order_whatever_the_partitions(spark):
+    days = [FIRST, None]
+    rows = [(f"i{n:03}", days[n % 2], "MTC", "Theft", f"text {n}") for n in range(200)]
+    t = {
+        "dim_location": spark.createDataFrame([("MTC", "Center", False)], "location_zone string, zone_label string, is_unknown boolean"),
+        "dim_incident_type": spark.createDataFrame([("Theft", "Property")], "incident_type string, incident_category string"),
+        "dim_date": spark.createDataFrame([spine_row(0)], SPINE),
+    }
+    schema = "incident_id string, occurred_date date, location_zone string, incident_type string, incident_text string"
+    seen = []
+    for n in (1, 3, 8):
+        facts = spark.createDataFrame(rows, schema).repartition(n, F.rand(n))
+        detail = V.incident_detail({**t, "fct_incidents": facts}, (*V.DETAIL_COLUMNS, V.ROW_ID))
+        shown = V.newest_first(detail)
+        assert tuple(shown.columns) == V.DETAIL_COLUMNS
+        seen.append([r.narrative for r in shown.collect()])
+        assert seen[-1] == [r.Narrative for r in V.explorer(detail).collect()]
+    assert seen[0] == seen[1] == seen[2] == [f"text {n}" for n in (*range(0, 200, 2), *range(1, 200, 2))]

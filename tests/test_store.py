@@ -194,3 +194,26 @@ def test_an_uncapped_run_takes_up_what_waits(spark, store, tmp_path):
     for current in (store, moved):
         assert land_batch(current, frame(spark, doc("e"))) == 3
         assert keys(current.incidents()) == list("abcdefg") and current.waiting().count() == 0
+
+
+def test_the_model_sees_each_distinct_text_once(spark, store, tmp_path):
+    asked = tmp_path / "asked"
+
+    def model(texts: pd.Series) -> pd.Series:
+        with open(asked, "a") as out:
+            out.writelines(t + "\n" for t in texts)
+        if any("odd" in t for t in texts):
+            raise ValueError("no answer")
+        return pd.Series(["OFF_CAMPUS"] * len(texts))
+
+    place, odd = "the Widtsoe Building", "the odd Widtsoe Building"
+    land_batch(store, frame(spark, *[doc(k, text=place) for k in "abcd"], doc("e", text=odd), doc("f")), model=model)
+    land_batch(store, frame(spark, doc("g", text=place + "  "), doc("h", text="a trip"), doc("i", text=odd)), model=model, limit=2)
+    land_batch(store, frame(spark), model=model)
+    lines = asked.read_text().splitlines()
+    # a batch that fails is asked again row by row, but never by a later run
+    assert lines.count("a trip") == 1 and lines.count(place) <= 2 and lines.count(odd) <= 2
+    got = {r.raw_text_hash: (r.location_zone, r.location_source) for r in store.incidents().collect()}
+    assert all(got[k] == ("OFF_CAMPUS", "llm") for k in "abcdg")
+    assert got["e"] == got["i"] == ("UNKNOWN", "llm") and got["f"][1] == "landmark" and got["h"] == ("UNKNOWN", "guardrail")
+    assert {r.text: r.proposed for r in store.answers().collect()} == {place: "OFF_CAMPUS", odd: "UNKNOWN", "a trip": "OFF_CAMPUS"}
