@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Sequence
 from dataclasses import replace
 
@@ -40,10 +41,10 @@ from blotterflow.sources.tables import (
 
 # the years the given orders fall in
 FIRST_YEAR, LAST_YEAR = 1995, 2001
-# more orders make more years, not fuller days: so many fill the given years
-ORDERS_PER_ERA, YEARS_PER_ERA = 15_000, 7
-# a day with more incidents is an outlier
-OUTLIER_DAY = 12
+# more orders make more sites, not more years: a site has so many, and so many on a day
+ORDERS_PER_SITE, ORDERS_PER_DAY = 15_000, 6.237
+# a day is an outlier that exceeds the usual number by so many times its square root
+OUTLIER_SPREAD = 2.4
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -53,9 +54,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def costly(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
     """Columns of a table for per-row work that is worth all cores.
 
-    The given tables are single files of one row group; larger ones have splits enough.
+    The given tables are small single files, which make one split; only such are dealt
+    out. Larger ones have splits enough and are not shuffled.
     """
-    return table(spark, sf, name).select(*columns).repartition(spark.sparkContext.defaultParallelism)
+    rows, cores = table(spark, sf, name).select(*columns), spark.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
 
 
 def _pick(values, position: Column) -> Column:
@@ -68,10 +71,12 @@ def _slash(day: Column) -> Column:
 
 def order_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as scraped documents, before dates and hash are worked out."""
-    era = F.floor(F.col("o_orderkey") / ORDERS_PER_ERA).cast("int")
-    orders = costly(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderdate").withColumn(
-        "day", F.add_months(F.to_date("o_orderdate"), era * 12 * YEARS_PER_ERA)
-    )
+    orders = costly(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderdate")
+    return documents_of(orders.withColumn("day", F.to_date("o_orderdate")))
+
+
+def documents_of(orders: DataFrame) -> DataFrame:
+    site = F.expr(f"(o_orderkey - 1) div {ORDERS_PER_SITE}").cast("string")
     day, key = F.col("day"), F.col("o_orderkey")
     title = F.concat(
         F.lit("Police Beat - "),
@@ -84,7 +89,7 @@ def order_documents(spark: SparkSession, sf: str) -> DataFrame:
     note = F.when(key % 5 != 0, F.concat(F.lit(" Case "), key.cast("string"), F.lit("."))).otherwise("")
     return orders.select(
         key.alias("o_orderkey"),
-        F.concat(F.lit("https://beat.example/"), F.date_format(day, "yyyy-MM-dd")).alias("beat_url"),
+        F.concat(F.lit("https://beat.example/"), site, F.lit("/"), F.date_format(day, "yyyy-MM-dd")).alias("beat_url"),
         title.alias("beat_title"),
         F.when(F.col("o_custkey") % 7 == 0, "")
         .otherwise(F.date_format(F.date_add(day, 1), "yyyy-MM-dd"))
@@ -224,8 +229,15 @@ def checked_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     return {**store, **M.staging(store), **star(spark, sf), "academic_calendar": calendar(spark)}
 
 
+def outlier_threshold(spark: SparkSession, sf: str) -> int:
+    """What a day of all sites together may have; it grows with their number."""
+    last = table(spark, sf, "orders").agg(F.max("o_orderkey").alias("key")).first().key or 1
+    usual = ORDERS_PER_DAY * ((last - 1) // ORDERS_PER_SITE + 1)
+    return math.floor(usual + OUTLIER_SPREAD * math.sqrt(usual))
+
+
 def outlier_days(spark: SparkSession, sf: str) -> DataFrame:
-    return V.outlier_days(star(spark, sf)["mart_daily_summary"], replace(DEFAULT, outlier_day_threshold=OUTLIER_DAY))
+    return V.outlier_days(star(spark, sf)["mart_daily_summary"], replace(DEFAULT, outlier_day_threshold=outlier_threshold(spark, sf)))
 
 
 def usual_detail(

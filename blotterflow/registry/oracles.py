@@ -53,13 +53,13 @@ def range_of(title: str) -> str:
 # ---- orders as documents -----------------------------------------------------
 DOCS = rf"""
 docs0 AS (
-  SELECT o_orderkey, o_custkey, CAST(CAST(o_orderdate AS DATE) + to_months(CAST(84 * (o_orderkey // 15000) AS INTEGER)) AS DATE) AS day, o_orderdate,
+  SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS day, o_orderdate,
          ({items(samples.TYPES)})[o_custkey % {len(samples.TYPES)} + 1] AS incident_type,
          ({items(samples.TEXTS)})[o_orderkey % {len(samples.TEXTS)} + 1]
            || CASE WHEN o_orderkey % 5 <> 0 THEN ' Case ' || o_orderkey || '.' ELSE '' END AS incident_text
   FROM orders),
 docs1 AS (
-  SELECT *, 'https://beat.example/' || strftime(day, '%Y-%m-%d') AS beat_url,
+  SELECT *, 'https://beat.example/' || ((o_orderkey - 1) // 15000) || '/' || strftime(day, '%Y-%m-%d') AS beat_url,
          'Police Beat - ' || strftime(day, '%m/%d/%Y')
            || CASE WHEN date_part('day', day) % 5 = 0 THEN ' - ' || strftime(day + 2, '%m/%d/%Y') ELSE '' END
            || CASE WHEN dayofyear(day) % 97 = 0 THEN ' - ' || strftime(day - INTERVAL 20 YEAR, '%m/%d/%Y') ELSE '' END
@@ -669,7 +669,7 @@ detail AS (
 spine AS (SELECT date_day, semester, is_finals, is_break, is_game_day, is_weekend FROM daily),
 outliers AS (
   SELECT date, count(*) AS incidents FROM detail WHERE date IS NOT NULL GROUP BY 1
-  HAVING count(*) > 12),
+  HAVING count(*) > (SELECT floor(m + 2.4 * sqrt(m)) FROM (SELECT 6.237::DOUBLE * ((max(o_orderkey) - 1) // 15000 + 1) AS m FROM orders))),
 usual AS (SELECT * FROM detail WHERE date IS NULL OR date NOT IN (SELECT date FROM outliers)),
 usual_days AS (SELECT * FROM spine WHERE date_day NOT IN (SELECT date FROM outliers)),
 chosen AS (

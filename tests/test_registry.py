@@ -7,8 +7,11 @@ from pathlib import Path
 import duckdb
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
+from blotterflow.plans.ingest import with_title_dates
+from blotterflow.registry import inputs
 
 SF = "/root/testdata/sf0.001"
 TABLES = (
@@ -69,3 +72,28 @@ def test_query_equals_its_sql(spark, duck, name):
 def test_entry(spark):
     df = entry_points.entry(spark)
     assert "total_incidents" in df.columns and df.count() > 0
+
+
+def test_dates_stay_in_the_calendar_at_any_size(spark):
+    """Keys up to a billion: every document has dates of the given years, one each unless its title has more."""
+    orders = spark.range(1, 1_000_000_000, 999_983).selectExpr(
+        "id as o_orderkey", "id % 1000 as o_custkey", "timestamp(date_add(date'1995-01-01', cast(id % 2405 as int))) as o_orderdate"
+    )
+    docs = with_title_dates(inputs.documents_of(orders.withColumn("day", F.to_date("o_orderdate"))), "beat_title")
+    row = docs.agg(
+        F.min(F.array_max("incident_dates")).alias("first"), F.max(F.array_max("incident_dates")).alias("last"),
+        F.min(F.size("incident_dates")).alias("least"), F.count_distinct(F.split("beat_url", "/")[3]).alias("sites"), F.count("*").alias("n"),
+    ).first()
+    assert row.least >= 1 and row.first.year >= 1995 and row.last.year <= 2001
+    assert row.sites == row.n == 1001
+
+
+def test_tables_with_splits_enough_are_not_shuffled(spark, tmp_path):
+    spark.range(1000).repartition(40).write.parquet(str(tmp_path / "many.parquet"))
+    spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "one.parquet"))
+    spark.conf.set("spark.sql.files.openCostInBytes", "200m")
+    try:
+        plans = [inputs.costly(spark, str(tmp_path), n, "id")._jdf.queryExecution().executedPlan().toString() for n in ("many", "one")]
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert "Exchange" not in plans[0] and "Exchange" in plans[1]
