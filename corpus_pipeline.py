@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotterflow.llm import decontaminate, language_id, sentencepiece_codec, simhash_dedup, substring_dedup
+from blotterflow.llm.batches import hidden
 from blotterflow.llm.tables import new_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -29,11 +30,14 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     A document that loses no word keeps its text as it is.
     """
-    cut = substring_dedup.substring_dedup(docs)
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    left = cut.where("n_removed = 0 or n_removed < n_words").withColumn("text", text)
-    counted = F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return left.withColumn("n_chars", counted).select(docs.columns)
+    given = hidden(docs)  # a column of docs may have the name of one that the operator adds
+    own = dict(zip(docs.columns, given.columns, strict=True))
+    cut = substring_dedup.substring_dedup(given, own["doc_id"], own["text"]).where("n_removed = 0 or n_removed < n_words")
+    removed = F.col("n_removed") > 0
+    left = cut.withColumn(own["text"], F.when(removed, F.col("kept_text")).otherwise(F.col(own["text"])))
+    counted = F.length(own["text"]).cast(docs.schema["n_chars"].dataType)
+    left = left.withColumn(own["n_chars"], F.when(removed, counted).otherwise(F.col(own["n_chars"])))
+    return left.select(given.columns).toDF(*docs.columns)
 
 
 def contamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -87,6 +87,17 @@ def test_stages_take_empty_tables(spark, folder):
 
 def test_registry_has_one_query_for_each_operator():
     names = [n for n in __spark_entry__.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in __spark_entry__.queries()
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_stages_keep_columns_with_names_of_their_own(spark, folder):
+    path, docs, _ = folder
+    names = ["n_words", "N_removed", "kept_text", "removed_spans", "bits", "least", "component_id", "score", "contaminated", "n_hit", "_llm_key"]
+    given = spark.read.parquet(f"{path}/documents.parquet").selectExpr("*", *[f"concat('{n}', doc_id) as {n}" for n in names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, given, path)
+        assert out.columns == given.columns, name
+        rows = out.select("doc_id", *names).collect()
+        assert rows and all(tuple(r)[1:] == tuple(f"{n}{r.doc_id}" for n in names) for r in rows), name
