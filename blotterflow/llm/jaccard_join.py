@@ -199,10 +199,14 @@ def _pairs(rows: DataFrame) -> DataFrame:
     return rows.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    """The classes of pairs; each side is made distinct before they meet."""
+    return pairs.select(F.col("a").alias("key")).distinct().union(pairs.select("b").distinct()).distinct()
+
+
 def _links(pairs: DataFrame, classes: DataFrame, given: DataFrame) -> DataFrame:
     """Those of the distinct pairs (a, b) of classes that are linked."""
-    keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    wanted = stored(keys.join(classes.select("key", ID), "key"), "wanted")
+    wanted = stored(_ends(pairs).join(classes.select("key", ID), "key"), "wanted")
     texts = passing(given, ID, marks(wanted, ID))
     made = texts.mapInArrow(_whole_sets, "key long, fine array<long>, shingles array<long>")
     sets = stored(made.withColumn("row", F.monotonically_increasing_id()), "sets")
@@ -225,7 +229,7 @@ def _links(pairs: DataFrame, classes: DataFrame, given: DataFrame) -> DataFrame:
     few = odd <= F.col("a_n") + F.col("b_n") - 2 * _needed("a_n", "b_n")
     likely = stored(beside(both, sets, "fine").where(few).select("a", "b"), "likely")
     shared = F.size(F.array_intersect("x", "y"))
-    moved = passing(sets, "key", marks(likely.select(F.explode(F.array("a", "b")).alias("key")), "key"))
+    moved = passing(sets, "key", marks(_ends(likely), "key"))
     counted = beside(likely, moved, "shingles").select("a", "b", (F.size("x") + F.size("y")).alias("both"), shared.alias("shared"))
     links = stored(counted.where(100 * F.col("shared") >= PERCENT * (F.col("both") - F.col("shared"))).select("a", "b"), "links")
     discard(wanted, sets)
