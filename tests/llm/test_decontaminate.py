@@ -74,3 +74,41 @@ def test_suffix_array_order():
     order = suffix_array(words, last, np.arange(200), 200)
     suffixes = [tuple(words[i : last[i]].tolist()) for i in order]
     assert suffixes == sorted(suffixes)
+
+
+def test_one_word_over_and_over(spark):
+    rows, items = [(1, "na " * 20_000), (2, "na " * 12), (3, "na " * 2_500)], [(1, "NA " * 2_000), (2, "na " * 300), (3, "na")]
+    out = contamination(spark.createDataFrame(rows, DOCS), spark.createDataFrame(items, ITEMS))
+    got = {r.doc_id: r for r in out.collect()}
+    assert result(out) == {
+        1: (20_000, 20_000, ["1", "2", "3"], True),
+        2: (12, 12, ["3"], True),
+        3: (2_500, 2_500, ["1", "2", "3"], True),
+    }
+    assert tuple(got[1].matches[0]) == ("1", 0, 0, 2_000) and got[1].match_sharers[0] == 1
+    # 501 places have all of item 1 before them; the last 12 have a window of item 3 alone
+    assert len(got[3].matches) == 501 + 12
+
+
+def test_passage_that_items_and_texts_share(spark):
+    shared = " ".join(f"s{i}" for i in range(40))
+    items = [(i, f"head{i} {shared} tail{i}") for i in range(1_000)] + [(5_000, " ".join(f"o{i}" for i in range(20)))]
+    rows = [(i, f"begin{i} {shared} end{i}") for i in range(1_000)] + [(5_000, "clean text")]
+    out = contamination(spark.createDataFrame(rows, DOCS).coalesce(1), spark.createDataFrame(items, ITEMS)).collect()
+    names = sorted(str(i) for i in range(1_000))
+    for r in out:
+        if r.doc_id == 5_000:
+            assert not r.item_ids and not r.matches
+        else:
+            assert r.n_hit == 40 and list(r.item_ids) == names
+            assert [tuple(m)[1:] for m in r.matches] == [(1, 1, 40)] and r.match_sharers == [1_000]
+
+
+def test_deep_ties_are_sorted_by_doubling():
+    pick = random.Random(5)
+    words = np.concatenate([np.zeros(300, np.uint64), np.tile(np.array([1, 2], np.uint64), 200), np.zeros(250, np.uint64)])
+    last = np.repeat([300, 700, 950], [300, 400, 250])
+    places = np.array(sorted(pick.sample(range(950), 600)))
+    order = suffix_array(words, last, places, 950)
+    suffixes = [tuple(words[i : last[i]].tolist()) for i in order]
+    assert suffixes == sorted(suffixes) and sorted(order.tolist()) == places.tolist()
