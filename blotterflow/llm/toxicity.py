@@ -4,13 +4,17 @@ A text is the set of its words and of their beginnings of 4 to 6 bytes, as insul
 many endings; the classifier adds up the weights of the set. In a labelled
 sentence that names a group, the group's term is swapped for every other term of its
 kind, and the squared change of the logit is a penalty (``PAIR``): the weights of
-groups are drawn together, and the words around them have to explain the label. An L1
-penalty leaves weight on few words, so that the length of a text tells nothing.
+groups are drawn together, and the words around them have to explain the label. As few
+sentences name a group, terms are also put into every labelled sentence: the change
+from one term of a kind to the next is penalised alike (where in the sentence, makes no
+difference to a set). An L1 penalty leaves weight on few words, so that the length of a
+text tells nothing.
 
 Fitting reads the words of at most ``SAMPLE`` labelled texts of each label, those with
-the smallest hashed ids; so their ids can be sent to executors, and their words, of at
-most ``VOCABULARY`` kinds, fit on the driver. Words are told apart by 64-bit hashes.
-Scoring is row-local and reads whole texts.
+the smallest hashes of id, then of text; so their ids can be sent to executors, and
+their words, of at most ``VOCABULARY`` kinds, fit on the driver: 2 GB at worst, if every
+one of these texts holds every word. Words are told apart by 64-bit hashes. Scoring is
+row-local and reads whole texts.
 
 Cases: null and empty texts have no words and get the score of the bias alone. Rows
 with the same id share their label; with several labels, 1 wins. Rows held out, without
@@ -21,8 +25,11 @@ Columns of the input with the names of the output are replaced.
 
 from __future__ import annotations
 
+import operator
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +61,8 @@ FIELDS = [StructField("score", DoubleType()), StructField("predicted", IntegerTy
 
 
 BEGINNINGS = (4, 5, 6)
+#: The label of a text, and the order in which texts are sampled.
+KEY = ("label", "by_id", "by_text")
 
 
 def features(column: pa.Array):
@@ -103,7 +112,7 @@ def _word_sets(batches):
             places = np.searchsorted(text[new], np.arange(n + 1)).astype(np.int32)
             flat = hashes[new]
             yield pa.RecordBatch.from_arrays(
-                [piece.column("label"), pa.ListArray.from_arrays(pa.array(places), pa.array(flat))], names=["label", "words"]
+                [*(piece.column(c) for c in KEY), pa.ListArray.from_arrays(pa.array(places), pa.array(flat))], names=[*KEY, "words"]
             )
 
 
@@ -117,6 +126,22 @@ def swaps(words: list[int], kinds: Sequence[Sequence[Sequence[int]]]) -> list[li
     return out
 
 
+def insertions(sets: list, kinds: Sequence[Sequence[Sequence[int]]]) -> Counter:
+    """How often a term put into a set, and then the next of its kind, differ by which words.
+
+    Only words that the set lacks and the two terms don't share can change the logit, so
+    most sets give the same differences, which are counted.
+    """
+    out = Counter()
+    for s in sets:
+        own = set(np.asarray(s).tolist())
+        for kind in kinds:
+            added = [frozenset(term) - own for term in kind]
+            for a, b in zip(added, added[1:] + added[:1], strict=True):
+                out[a - b, b - a] += 1
+    return out
+
+
 class Rows:
     """Sets of word numbers, as one flat array."""
 
@@ -142,15 +167,21 @@ def train(sets: list, labels: np.ndarray, vocabulary: list[int], identities=IDEN
         for other in swaps(np.asarray(s).tolist(), kinds):
             original.append(s)
             swapped.append(other)
-    before, after = Rows(original, len(vocabulary)), Rows(swapped, len(vocabulary))
+    put = sorted((sorted(a), sorted(b), n) for (a, b), n in insertions(sets, kinds).items())
+    total = max(sum(n for _, _, n in put), 1)
+    changes = [  # the two sides of each change, and the share of each in the penalty
+        (original, swapped, np.full(len(original), 1 / max(len(original), 1))),
+        ([a for a, _, _ in put], [b for _, b, _ in put], np.array([n / total for _, _, n in put])),
+    ]
+    changes = [(Rows(a, len(vocabulary)), Rows(b, len(vocabulary)), part) for a, b, part in changes if len(part)]
     share = np.where(labels == 1, 0.5 / max((labels == 1).sum(), 1), 0.5 / max((labels == 0).sum(), 1))
     w, bias = np.zeros(len(vocabulary)), 0.0
     seen_w, seen_b = np.full(len(vocabulary), 1e-8), 1e-8  # adaptive steps
     for _ in range(ROUNDS):
         error = (1 / (1 + np.exp(-np.clip(given.times(w) + bias, -500, 500))) - labels) * share
         slope = given.back(error)
-        if before.n:
-            change = 2 * pair * (before.times(w) - after.times(w)) / before.n
+        for before, after, part in changes:
+            change = 2 * pair * (before.times(w) - after.times(w)) * part
             slope += before.back(change) - after.back(change)
         seen_w += slope**2
         seen_b += error.sum() ** 2
@@ -182,9 +213,18 @@ def fit(
         return None
     chosen = spark.createDataFrame(ids, known.schema)
     given = docs.select(F.col(id_col).alias("_llm_id"), F.col(text_col).alias(TEXT))
-    # at most 2 * SAMPLE ids are sent; rows that repeat an id and text count once
-    sample = given.join(F.broadcast(chosen), "_llm_id").select("label", TEXT).distinct()
-    sets = stored(sample.mapInArrow(_word_sets, "label int, words array<long>"), "word-sets")
+    # at most 2 * SAMPLE ids are sent; rows of equal text and label count once
+    sample = given.join(F.broadcast(chosen), "_llm_id").groupBy("label", TEXT).agg(F.min(F.xxhash64("_llm_id")).alias("by_id"))
+    sample = sample.select("label", "by_id", F.xxhash64(TEXT).alias("by_text"), TEXT)
+    sets = stored(sample.mapInArrow(_word_sets, "label int, by_id long, by_text long, words array<long>"), "word-sets")
+    # an id may have any number of texts: the last one of each label that counts
+    last = []
+    for label in (0, 1):
+        keys = sets.select(*KEY).where(F.col("label") == label).orderBy(*KEY).limit(SAMPLE)
+        last += [tuple(r) for r in keys.agg(F.max(F.struct(*KEY)).alias("key")).select("key.*").collect() if r[0] is not None]
+    within = [F.struct(*KEY) <= F.struct(*[F.lit(x).cast(t) for x, t in zip(key, ("int", "long", "long"))]) for key in last]
+    mine = [(F.col("label") == key[0]) & ok for key, ok in zip(last, within)]
+    sets = sets.where(reduce(operator.or_, mine, F.lit(False)))
     often = sets.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     often = often.where(F.col("n") >= LEAST).orderBy(F.desc("n"), "word").limit(VOCABULARY)
     # group terms always have a weight, for a swap may bring in one that no text has
