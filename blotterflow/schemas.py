@@ -121,12 +121,27 @@ TABLES = {
 }
 
 # ---- what the HTML walk returns -------------------------------------------
-CONTAINERS = _struct(
+# One row per page: its texts once, its containers as ranges of them.
+PAGE_TEXTS = _struct(
     ("url", STR),
-    ("candidate_no", INT),
-    ("raw_text", STR),
-    ("flat_text", STR),
-    ("paragraph_spans", T.ArrayType(_struct(("start", INT), ("length", INT)))),
+    ("layers", T.ArrayType(STR)),
+    ("text", STR),
+    ("paragraphs", T.ArrayType(_struct(("start", INT), ("length", INT)))),
+    (
+        "containers",
+        T.ArrayType(
+            _struct(
+                ("candidate_no", INT),
+                ("layer", INT),
+                ("raw_start", INT),
+                ("raw_length", INT),
+                ("flat_start", INT),
+                ("flat_length", INT),
+                ("first_paragraph", INT),
+                ("n_paragraphs", INT),
+            )
+        ),
+    ),
 )
 
 LIST_PAGES = _struct(

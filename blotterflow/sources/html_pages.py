@@ -1,15 +1,15 @@
 """HTML scans (S1, S2): pages in, rows of text out.
 
 Only finding the containers needs Python. A task gets ``(url, html)`` Arrow
-batches and gives back the raw text of each container; splitting, cleaning and
-segmenting that text is Catalyst's work. Output is flushed by size, so one
+batches and gives back the texts of each page, and where its containers lie in them;
+cutting out, splitting, cleaning and segmenting is Catalyst's work. Output is flushed by size, so one
 batch of large pages never becomes one huge Arrow batch.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from urllib.parse import urljoin
 
@@ -22,7 +22,7 @@ from blotterflow import config as C
 from blotterflow.config import DEFAULT, PipelineConfig
 from blotterflow.functions.dates import date_range, is_multi_date
 from blotterflow.functions.text import collapse_ws
-from blotterflow.schemas import CONTAINERS, LIST_PAGES
+from blotterflow.schemas import LIST_PAGES, PAGE_TEXTS
 from blotterflow.sources.html_walk import PageWalk, Selector, containers
 
 FLUSH_CHARS = 8 << 20
@@ -51,45 +51,87 @@ def _batches(rows: Iterator[tuple[dict, int]], schema: pa.Schema) -> Iterator[pa
         yield pa.RecordBatch.from_pylist(pending, schema=schema)
 
 
-def extract_containers(pages: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
-    """One row per content container of each page.
-
-    ``raw_text`` holds the text nodes by line. ``flat_text`` is the container's
-    text on one line, in which ``paragraph_spans`` mark the ``<p>`` elements:
-    nested paragraphs overlap, and spans keep them from being copied.
+def _dropped(node) -> bool:
+    return node.name in DROPPED_TAGS or not DROPPED_CLASSES.isdisjoint(node.classes)
+
+
+def _ranges(walk: PageWalk, found: list, spans: list, paragraphs: list) -> Iterator[dict]:
+    """The ranges of each container; a wrapper of the same text and paragraphs is left out."""
+    dropped = walk.depths(_dropped)
+    wrapped = walk.depths(lambda e: e.name == "p")
+    starts = [p.start for p in paragraphs]
+    seen = set()
+    for number, node in enumerate(found):
+        base, end = walk.text_span(node)
+        # it would give the same incidents, and ties go to the first
+        same = (base, end, dropped[node.order], wrapped[node.order])
+        if same in seen:
+            continue
+        seen.add(same)
+        layer, raw, raw_end = spans[node.order]
+        first = bisect_right(starts, node.start)
+        yield {
+            "candidate_no": number,
+            "layer": layer,
+            "raw_start": raw,
+            "raw_length": raw_end - raw,
+            "flat_start": base,
+            "flat_length": end - base,
+            "first_paragraph": first,
+            "n_paragraphs": max(bisect_left(starts, node.end) - first, 0),
+        }
+
+
+def scan_pages(pages: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
+    """One row per page: its texts once, its content containers as ranges of them.
+
+    Output is linear in the page, however its containers hold one another.
     """
     marker = re.compile(cfg.marker_pattern, re.IGNORECASE)
-    schema = to_arrow_schema(CONTAINERS)
+    schema = to_arrow_schema(PAGE_TEXTS)
 
     def rows(batches):
         for batch in batches:
             for url, html in zip(batch.column(0), batch.column(1)):
                 walk = PageWalk(html.as_py() or "")
+                layers, spans = walk.lines(_dropped, BLOCKS)
+                paragraphs = [e for e in walk.elements if e.name == "p"]
                 found = containers(walk, CONTAINER, C.MARKED_CONTAINER_TAGS, marker)
-                dropped = walk.depths(lambda e: e.name in DROPPED_TAGS or not DROPPED_CLASSES.isdisjoint(e.classes))
-                wrapped = walk.depths(lambda e: e.name == "p")
-                seen = set()
-                for number, node in enumerate(found):
-                    # a wrapper of the same text and paragraphs gives the same incidents, and ties go to the first
-                    same = (*walk.text_span(node), dropped[node.order], wrapped[node.order])
-                    if same in seen:
-                        continue
-                    seen.add(same)
-                    raw = walk.line_text(node, DROPPED_TAGS, DROPPED_CLASSES, BLOCKS)
-                    base, end = walk.text_span(node)
-                    spans = [walk.text_span(p) for p in walk.within(node) if p.name == "p"]
-                    yield {
-                        "url": url.as_py(),
-                        "candidate_no": number,
-                        "raw_text": raw,
-                        "flat_text": walk.text[base:end],
-                        "paragraph_spans": [
-                            {"start": a - base, "length": b - a} for a, b in spans
-                        ],
-                    }, len(raw) + end - base
+                yield {
+                    "url": url.as_py(),
+                    "layers": layers,
+                    "text": walk.text,
+                    "paragraphs": [{"start": a, "length": b - a} for a, b in map(walk.text_span, paragraphs)],
+                    "containers": list(_ranges(walk, found, spans, paragraphs)),
+                }, sum(map(len, layers)) + len(walk.text) + 8 * len(found)
 
     return pages.select("url", "html").mapInArrow(
-        lambda batches: _batches(rows(batches), schema), CONTAINERS
+        lambda batches: _batches(rows(batches), schema), PAGE_TEXTS
+    )
+
+
+def extract_containers(pages: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
+    """One row per content container of each page.
+
+    ``raw_text`` holds the text nodes by line. ``flat_text`` is the container's
+    text on one line, in which ``paragraph_spans`` mark the ``<p>`` elements:
+    nested paragraphs overlap, and spans keep them from being copied. Texts are
+    cut out here, row by row, from what ``scan_pages`` gives once per page.
+    """
+    c = F.col("c")
+    inside = F.slice("paragraphs", c["first_paragraph"] + 1, c["n_paragraphs"])
+    return (
+        scan_pages(pages, cfg)
+        .withColumn("c", F.explode("containers"))
+        .select(
+            "url",
+            c["candidate_no"].alias("candidate_no"),
+            F.substring(F.element_at("layers", c["layer"] + 1), c["raw_start"] + 1, c["raw_length"]).alias("raw_text"),
+            F.substring("text", c["flat_start"] + 1, c["flat_length"]).alias("flat_text"),
+            F.transform(
+                inside, lambda p: F.struct((p["start"] - c["flat_start"]).alias("start"), p["length"].alias("length"))
+            ).alias("paragraph_spans"),
+        )
     )
 
 

@@ -12,6 +12,7 @@ import re
 from bisect import bisect_left
 from html.entities import html5
 from html.parser import HTMLParser
+from itertools import accumulate
 
 VOID_TAGS = frozenset(
     "area base br col embed hr img input keygen link menuitem meta param source "
@@ -174,37 +175,45 @@ class PageWalk(HTMLParser):
         start, end = self.text_span(node)
         return self.text[start:end]
 
-    def within(self, node: Element):
-        """Descendant elements in document order."""
-        for kind, value in self.tokens[node.start + 1 : node.end - 1]:
-            if kind == OPEN:
-                yield value
-
-    def line_text(self, node: Element, dropped_tags, dropped_classes, blocks) -> str:
-        """Text nodes joined by newlines, with newlines around blocks and for br."""
-        pieces: list[str] = []
-        joinable = False  # is the last piece a text with no tag after it
-        i = node.start
-        while i < node.end:
-            kind, value = self.tokens[i]
-            i += 1
+    def lines(self, dropped, blocks) -> tuple[list[str], list[tuple[int, int, int]]]:
+        """Text nodes joined by newlines, with newlines around blocks and for br, without dropped elements.
+
+        What lies in n dropped elements is in the text of layer n, so an element's text is
+        one range of one layer: ``(layer, start, end)`` by its order. A dropped element has none.
+        """
+        pieces: list[list[str]] = [[]]
+        joinable = [False]  # is the layer's last piece a text with no tag after it
+        spans: list = [None] * len(self.elements)
+        depth = 0
+        for kind, value in self.tokens:
+            mine = pieces[depth]
             if kind == TEXT:
-                if joinable:
-                    pieces[-1] += value
+                if joinable[depth]:
+                    mine[-1] += value
                 else:
-                    pieces.append(value)
-                joinable = True
+                    mine.append(value)
+                joinable[depth] = True
                 continue
-            joinable = False
-            if kind == OPEN and (
-                value.name in dropped_tags or not dropped_classes.isdisjoint(value.classes)
-            ):
-                i = value.end
-            elif kind == OPEN and value.name == "br":
-                pieces.append("\n")
-            elif kind != OTHER and value.name in blocks:
-                pieces.append("\n")
-        return "\n".join(pieces)
+            joinable[depth] = False
+            if kind != OTHER and dropped(value):
+                depth += 1 if kind == OPEN else -1
+                if depth == len(pieces):
+                    pieces.append([])
+                    joinable.append(False)
+                joinable[depth] = False
+                continue
+            if kind == OPEN:
+                spans[value.order] = depth, len(mine), 0
+            if kind != OTHER and (value.name in blocks or (kind == OPEN and value.name == "br")):
+                mine.append("\n")
+            if kind == CLOSE:
+                spans[value.order] = *spans[value.order][:2], len(mine)
+        starts = [[0, *accumulate(len(piece) + 1 for piece in mine)] for mine in pieces]
+        for order, span in enumerate(spans):
+            layer, first, end = span or (0, 0, 0)
+            begin = starts[layer][first]
+            spans[order] = layer, begin, max(begin, starts[layer][end] - 1)
+        return ["\n".join(mine) for mine in pieces], spans
 
     def sole_string(self, node: Element) -> str | None:
         """The text of an element whose only content, at any depth, is one text."""

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 import time
 
@@ -9,7 +10,7 @@ from blotterflow.config import MARKER_PATTERN, MARKED_CONTAINER_TAGS
 from blotterflow.operators import segment as G
 from blotterflow.plans import ingest as I
 from blotterflow.sources import html_pages as H
-from blotterflow.sources.html_walk import PageWalk, containers
+from blotterflow.sources.html_walk import CLOSE, OPEN, TEXT, PageWalk, containers
 
 MARKER = re.compile(MARKER_PATTERN, re.IGNORECASE)
 
@@ -21,8 +22,9 @@ def found(html):
 def lines(html, tag="article"):
     walk = PageWalk(html)
     node = next(e for e in walk.elements if e.name == tag)
-    text = walk.line_text(node, H.DROPPED_TAGS, H.DROPPED_CLASSES, H.BLOCKS)
-    return [line.strip() for line in text.splitlines()]
+    layers, spans = walk.lines(H._dropped, H.BLOCKS)
+    layer, start, end = spans[node.order]
+    return [line.strip() for line in layers[layer][start:end].splitlines()]
 
 
 def packed(html):
@@ -169,3 +171,56 @@ def test_open_items_and_wrappers_cost_linear_time(spark):
     nested = "<main>" + "<div>" * 1000 + "Theft<p>A bag went missing.</p> Follow us on Facebook"
     found = H.extract_containers(spark.createDataFrame([("u", nested)], "url string, html string")).collect()
     assert len(found) <= 2 and all("A bag" in r.raw_text for r in found)
+
+
+def plain_lines(walk, node):
+    """The text of one element by a walk of its own."""
+    pieces, joinable, gone = [], False, 0
+    for kind, value in walk.tokens[node.start : node.end]:
+        if kind in (OPEN, CLOSE) and H._dropped(value):
+            gone += 1 if kind == OPEN else -1
+            joinable = False
+        elif not gone and kind == TEXT:
+            pieces[len(pieces) - joinable :] = [pieces[-1] + value if joinable else value]
+            joinable = True
+        elif not gone:
+            joinable = False
+            if kind in (OPEN, CLOSE) and (value.name in H.BLOCKS or (value.name, kind) == ("br", OPEN)):
+                pieces.append("\n")
+    return "\n".join(pieces)
+
+
+def test_ranges_are_the_texts_of_single_walks(spark):
+    pick = random.Random(6)
+    dropped = [f"<{t}>" for t in sorted(H.DROPPED_TAGS)] + [f"<i class='{c}'>" for c in sorted(H.DROPPED_CLASSES)]
+    parts = ["<div>", "<p>", "</p>", "</div>", "<br>", "<b>", "</b>", "é𝄞 ", "Follow us on Facebook", "a\nb", "<!-- x -->", "&amp;"]
+    parts += ["<article>", "</article>", "<main>", "<section>", "<article class='x y'>", "</i>", *dropped]
+    parts += [f"</{t}>" for t in sorted(H.DROPPED_TAGS)]
+    pages = [(f"u{i}", "".join(pick.choice(parts) for _ in range(pick.randrange(60)))) for i in range(150)] + [("none", None)]
+    got = {}
+    for r in H.extract_containers(spark.createDataFrame(pages, "url string, html string")).collect():
+        got.setdefault(r.url, {})[r.candidate_no] = r
+    deep = 0
+    for url, html in pages:
+        walk = PageWalk(html or "")
+        wanted = found(html or "")
+        assert set(got.get(url, {})) <= set(range(len(wanted))) and bool(wanted) == (url in got)
+        for number, r in got.get(url, {}).items():
+            node = wanted[number]
+            assert r.raw_text == plain_lines(walk, node) and r.flat_text == walk.text_of(node)
+            inside = [e for e in walk.elements if e.name == "p" and node.start < e.start < node.end]
+            assert [r.flat_text[s.start : s.start + s.length] for s in r.paragraph_spans] == [walk.text_of(e) for e in inside]
+            deep += len(H.DROPPED_TAGS) > 0 and any(H._dropped(e) and e.start < node.start < e.end for e in walk.elements)
+    assert deep and sum(map(len, got.values())) > 100
+
+
+def test_output_is_linear_where_each_level_adds_a_word(spark):
+    nested = lambda n: "<main>" + "".join(f"<div>word{i} " for i in range(n)) + "Follow us on Facebook"
+    pages = [(str(n), nested(n)) for n in (500, 1000, 2000)]
+    frame = H.scan_pages(spark.createDataFrame(pages, "url string, html string"))
+    size = {r.url: sum(map(len, r.layers)) + len(r.text) + 8 * len(r.containers) for r in frame.collect()}
+    assert all(len(r.containers) > 500 for r in frame.where("url = '1000'").collect())
+    assert size["2000"] < 4.5 * size["500"] and size["2000"] < 4 * len(pages[2][1])
+    # and each container still has its own text
+    rows = H.extract_containers(spark.createDataFrame(pages[:1], "url string, html string")).orderBy("candidate_no").collect()
+    assert len({r.raw_text for r in rows}) == len(rows) == 500  # the first div holds all that main does
