@@ -135,8 +135,6 @@ PAGE_TEXTS = _struct(
                 ("layer", INT),
                 ("raw_start", INT),
                 ("raw_length", INT),
-                ("flat_start", INT),
-                ("flat_length", INT),
                 ("first_paragraph", INT),
                 ("n_paragraphs", INT),
             )

@@ -75,8 +75,6 @@ def _ranges(walk: PageWalk, found: list, spans: list, paragraphs: list) -> Itera
             "layer": layer,
             "raw_start": raw,
             "raw_length": raw_end - raw,
-            "flat_start": base,
-            "flat_length": end - base,
             "first_paragraph": first,
             "n_paragraphs": max(bisect_left(starts, node.end) - first, 0),
         }
@@ -113,13 +111,12 @@ def scan_pages(pages: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
 def extract_containers(pages: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
     """One row per content container of each page.
 
-    ``raw_text`` holds the text nodes by line. ``flat_text`` is the container's
-    text on one line, in which ``paragraph_spans`` mark the ``<p>`` elements:
-    nested paragraphs overlap, and spans keep them from being copied. Texts are
-    cut out here, row by row, from what ``scan_pages`` gives once per page.
+    ``raw_text`` holds the text nodes by line, cut out of what ``scan_pages`` gives
+    once per page. ``flat_text`` is the page's text on one line, in which
+    ``paragraph_spans`` mark the container's ``<p>`` elements: nested paragraphs
+    overlap, and spans keep them from being copied.
     """
     c = F.col("c")
-    inside = F.slice("paragraphs", c["first_paragraph"] + 1, c["n_paragraphs"])
     return (
         scan_pages(pages, cfg)
         .withColumn("c", F.explode("containers"))
@@ -127,10 +124,8 @@ def extract_containers(pages: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataF
             "url",
             c["candidate_no"].alias("candidate_no"),
             F.substring(F.element_at("layers", c["layer"] + 1), c["raw_start"] + 1, c["raw_length"]).alias("raw_text"),
-            F.substring("text", c["flat_start"] + 1, c["flat_length"]).alias("flat_text"),
-            F.transform(
-                inside, lambda p: F.struct((p["start"] - c["flat_start"]).alias("start"), p["length"].alias("length"))
-            ).alias("paragraph_spans"),
+            F.col("text").alias("flat_text"),
+            F.slice("paragraphs", c["first_paragraph"] + 1, c["n_paragraphs"]).alias("paragraph_spans"),
         )
     )
 

@@ -207,7 +207,7 @@ def test_ranges_are_the_texts_of_single_walks(spark):
         assert set(got.get(url, {})) <= set(range(len(wanted))) and bool(wanted) == (url in got)
         for number, r in got.get(url, {}).items():
             node = wanted[number]
-            assert r.raw_text == plain_lines(walk, node) and r.flat_text == walk.text_of(node)
+            assert r.raw_text == plain_lines(walk, node) and r.flat_text == walk.text
             inside = [e for e in walk.elements if e.name == "p" and node.start < e.start < node.end]
             assert [r.flat_text[s.start : s.start + s.length] for s in r.paragraph_spans] == [walk.text_of(e) for e in inside]
             deep += len(H.DROPPED_TAGS) > 0 and any(H._dropped(e) and e.start < node.start < e.end for e in walk.elements)
