@@ -3,6 +3,8 @@ from __future__ import annotations
 import random
 import re
 import time
+from html.parser import HTMLParser
+from urllib.parse import urljoin
 
 from pyspark.sql import functions as F
 
@@ -224,3 +226,41 @@ def test_output_is_linear_where_each_level_adds_a_word(spark):
     # and each container still has its own text
     rows = H.extract_containers(spark.createDataFrame(pages[:1], "url string, html string")).orderBy("candidate_no").collect()
     assert len({r.raw_text for r in rows}) == len(rows) == 500  # the first div holds all that main does
+
+
+ODD = ["<div>", "</div>", "<p>", "</p>", "<br/>", "<br>", "</br>", "a\nb", "&amp;", "&nbsp", "& ", "&", "&#", "&#65;", "&#x41", "&zz;", "&a-b;", "<!-- x -->"]
+ODD += ["<!--", "<!doctype html>", "<?xml a?>", "<?", "<![CDATA[x<y]]>", "</>", "</ p>", "<", "<1", ">", "<script>", "</script>", "<script src='a'>'<p>'</Script >"]
+ODD += ["<a href='/x?z=1'>", '<a HREF="a&amp;b" class=" c  d ">', "<a href=x>", "<a  href = 'q' >", "<a b='", "<a b='x'c>", "<a/b>", "<é>", "</a>", "\x00", "<style/>"]
+
+
+def test_plain_markup_gives_the_events_of_the_parser():
+    """The short way through plain markup and the library's own loop walk alike."""
+
+    class Slow(PageWalk):
+        def goahead(self, end):
+            HTMLParser.goahead(self, end)
+
+    def seen(walk):
+        marks = [(e.name, e.attrs, e.classes, e.parent and e.parent.order, e.start, e.end) for e in walk.elements]
+        return marks, [(kind, value if kind == TEXT else value and value.order) for kind, value in walk.tokens], walk.text
+
+    pick = random.Random(3)
+    for _ in range(3000):
+        html = "".join(pick.choice(ODD) for _ in range(pick.randrange(20)))
+        assert seen(PageWalk(html)) == seen(Slow(html)), html
+
+
+def test_plain_markup_does_not_go_through_the_parser(monkeypatch):
+    """A list page of thousands of items asks the library's loop and link resolver nothing per tag."""
+    asked = []
+    monkeypatch.setattr(HTMLParser, "parse_starttag", lambda self, at: asked.append(at))
+    monkeypatch.setattr(H, "urljoin", lambda base, link: asked.append(link) or urljoin(base, link))
+    item = "<div class='ListImageSmall-items-item'><h3 class='PromoImageSmall-title'><a href='/r/{}'>Police Beat &amp; {}</a></h3></div>"
+    items = list(H._list_items(PageWalk("".join(item.format(i, i) for i in range(2000))), "https://plain.example/list"))
+    assert [i["url"] for i in items] == [f"https://plain.example/r/{i}" for i in range(2000)] and len(asked) <= 1
+
+
+def test_plain_links_are_resolved_as_urljoin_does():
+    links = ["/x", "/x/", "a/b.html", "a/b/", "?x=1", "/a?b=1&c=2", "", "/", "//h/x", "../a", "./a", "a/../b", "/a//b", "#f", "?", "/a?", "a:b", "a;b", "..", "a..b", "/.a", "%41", " a", "é"]
+    bases = ["https://h.example/list/", "https://h.example", "http://h/a/b?c#d", "", "a/b", "mailto:x@y", "http://h/a/../b/", "http://h/a;p", "//h/z", "http://h//a//b"]
+    assert all(H._joined(base, link) == urljoin(base, link) for base in bases for link in links)
