@@ -97,3 +97,12 @@ def test_tables_with_splits_enough_are_not_shuffled(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert "Exchange" not in plans[0] and "Exchange" in plans[1]
+
+
+def test_many_short_rows_are_dealt_out(spark, tmp_path, monkeypatch):
+    """Splits go by bytes; a split of many short rows is one long task of per-row work."""
+    spark.range(2000).withColumn("text", F.lit("x")).coalesce(1).write.parquet(f"{tmp_path}/t.parquet")
+    monkeypatch.setattr(inputs, "ROWS_PER_TASK", 100)
+    dealt = inputs.costly(spark, str(tmp_path), "t", "id", "text")
+    sizes = [n for n in dealt.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect() if n]
+    assert sum(sizes) == 2000 and max(sizes) <= 200
