@@ -71,3 +71,14 @@ def test_facts_are_laid_out_by_day(spark, tmp_path):
         assert days == sorted(days)
     ranges.sort()
     assert len(ranges) > 1 and all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+def test_csv_files_are_bounded(spark, tmp_path):
+    """A file is read back by one task, since fields may hold line breaks."""
+    n = 2 * TB.ROWS_PER_CSV + 1
+    rows = spark.range(n).selectExpr("id", "concat('a\n', id) AS text").coalesce(1)
+    TB.write_csv(rows, str(tmp_path / "flat"))
+    back = TB.read_csv(spark, str(tmp_path / "flat"), rows.schema)
+    files = [r["count"] for r in back.groupBy("_metadata.file_path").count().collect()]
+    assert len(files) == 3 and max(files) <= TB.ROWS_PER_CSV
+    assert back.distinct().count() == n and back.where("text = concat('a\n', id)").count() == n
