@@ -135,3 +135,19 @@ def test_one_key_may_hold_most_rows(spark):
     assert first.count() == 10_001 and first.filter("k = 'hot'").first().n == 1
     plan = first._jdf.queryExecution().executedPlan().toString()
     assert "partial_min_by" in plan and "Window" not in plan
+
+
+def test_stored_rows_that_are_alone_with_their_key_are_not_grouped(spark, tmp_path, monkeypatch):
+    rows = [(f"k{i}", i % 3, f"v{i}") for i in range(50)] + [("k7", 9, "late"), ("k8", -1, "early"), (None, 1, "a"), (None, 2, "b")]
+    spark.createDataFrame(rows, "key string, at int, value string").write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    wanted = sorted(map(str, K.last_seen(df, ["key"], ["at"]).collect()))
+    got = K.last_seen_stored(df, ["key"], ["at"], f"{tmp_path}/recurring")
+    assert sorted(map(str, got.collect())) == wanted and len(wanted) == 51
+    met = spark.read.parquet(f"{tmp_path}/recurring")
+    assert met.count() == 3  # k7, k8 and NULL
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti, BuildRight" in plan and "LeftSemi, BuildRight" in plan and "SortMergeJoin" not in plan
+    monkeypatch.setattr(K, "FEW_RECURRING", 2)
+    assert sorted(map(str, K.last_seen_stored(df, ["key"], ["at"], f"{tmp_path}/many").collect())) == wanted
+
