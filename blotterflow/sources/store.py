@@ -200,17 +200,19 @@ class IncidentStore:
         return rows, (batch_id, None, 0)
 
     def write_batch(
-        self, classified: DataFrame, received: int | None = None, rejected: int = 0, progress: tuple | None = None
+        self, classified: DataFrame, received: int | None = None, rejected: int = 0, progress: tuple | None = None,
+        one_a_key: bool = False,
     ) -> int:
         """Land classified documents and their clean rows as one unit.
 
         The landed table is read back for the clean rows, so rules and model
         run once however often a later write is retried. N8's flag is raised in
         the landed rows: they become visible together with the clean rows. ``progress`` is what
-        ``take`` gave with the documents.
+        ``take`` gave with the documents. With ``one_a_key`` no key comes twice, and rows are not grouped by it again.
         """
         batch_id, last = self.next_batch_id(), self.last_commit()
-        documents = last_seen(classified, [KEY], DOCUMENT_ORDER).withColumn("normalized", F.lit(True))
+        single = classified if one_a_key else last_seen(classified, [KEY], DOCUMENT_ORDER)
+        documents = single.withColumn("normalized", F.lit(True))
         if "landed_in" not in documents.columns:
             documents = documents.withColumn("landed_in", F.lit(batch_id).cast("long"))
         if progress is None:

@@ -35,7 +35,8 @@ def land_batch(
     taken, progress = store.take(fresh, limit)
     answers = None if model is None else lambda texts: store.ask(texts, model)
     classified = classify_pending(taken, cfg, answers=answers)
-    store.write_batch(classified, received=seen.rows, rejected=seen.rows - seen.keyed, progress=progress)
+    # new rows hold each key once, and what waits had not landed before either
+    store.write_batch(classified, received=seen.rows, rejected=seen.rows - seen.keyed, progress=progress, one_a_key=True)
     return sum(store.last_commit().sources.values())
 
 

@@ -217,3 +217,13 @@ def test_the_model_sees_each_distinct_text_once(spark, store, tmp_path):
     assert all(got[k] == ("OFF_CAMPUS", "llm") for k in "abcdg")
     assert got["e"] == got["i"] == ("UNKNOWN", "llm") and got["f"][1] == "landmark" and got["h"] == ("UNKNOWN", "guardrail")
     assert {r.text: r.proposed for r in store.answers().collect()} == {place: "OFF_CAMPUS", odd: "UNKNOWN", "a trip": "OFF_CAMPUS"}
+
+
+def test_a_landed_batch_is_grouped_by_its_keys_once(spark, store, monkeypatch):
+    """New rows hold each key once; writing them doesn't look for the last one again."""
+    asked = []
+    plain = store_module.last_seen
+    monkeypatch.setattr(store_module, "last_seen", lambda df, by, order: asked.append(tuple(by)) or plain(df, by, order))
+    land_batch(store, frame(spark, doc("a"), doc("a", at=2), doc("b")))
+    assert asked == [("beat_url",)]
+    assert keys(store.incidents()) == ["a", "b"]
